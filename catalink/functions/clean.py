@@ -19,7 +19,10 @@ DEFAULT_VERSION = "0.0.0"
 ASSEMBLY_VERSION = " "
 EMPTY = ""
 
-_EPOCH = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+
+
+def _epoch() -> Column:
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
 
 
 def _c(col: Column | str) -> Column:
@@ -53,7 +56,7 @@ def text_or_empty(col: Column | str) -> Column:
 
 def epoch_to_ts(col: Column | str) -> Column:
     """Epoch seconds to UTC timestamp; NULL stays NULL, 0 is 1970-01-01."""
-    return _EPOCH + F.make_dt_interval(secs=_c(col).cast("decimal(18,6)"))
+    return _epoch() + F.make_dt_interval(secs=_c(col).cast("decimal(18,6)"))
 
 
 def epoch_to_ts_zero_null(col: Column | str) -> Column:

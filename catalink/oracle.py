@@ -30,6 +30,92 @@ trk_fix as (select distinct k.pkg_vrs_id, v.vid from fx_trk_cve dc join fx_trk_c
   join vul v on v.name=dc.cve_name)
 """
 
+def ts(x: str) -> str:
+    """Epoch seconds to a zone-less UTC timestamp (NULL stays NULL)."""
+    return f"make_timestamp(cast({x} as bigint) * 1000000)"
+
+
+STAGED_PROJECTS = "select p.*, b.name vendor from fx_projects p join fx_publishers b on p.pbr_ref = b.id"
+XW = "fx_id_mappings"
+
+
+def xw_ids(table: str) -> str:
+    return f"(select old_id from {XW} where table_name = '{table}')"
+
+
+def xw_max(table: str) -> str:
+    return f"coalesce((select max(new_id) from {XW} where table_name = '{table}'), 0)"
+
+
+CLEAN_PROJECTS = f"""
+select id old_id, coalesce(name, 'unknown') prj_name, nullif(rls_ref, 0) rel_id, description prj_desc,
+  coalesce(vendor, 'unknown') vendor, nullif(arc_ref, 0) arch_id from ({STAGED_PROJECTS}) sp
+"""
+
+CLEAN_VERSIONS = f"""
+cv as (select id old_id, coalesce({ts('nullif(time, 0)')}, {RUN_TS}) pkg_date_created, nullif(maintainer, '') author_name,
+  src_pkg_ref, coalesce(nullif(version, ''), '0.0.0') version from fx_pkg_versions)
+"""
+
+PACKAGES = f"""
+ex as (select m.new_id pkg_id, s.name pkg_name from {XW} m join fx_src_packages s on m.old_id = s.id
+  where m.table_name = 'src_packages' and s.name is not null),
+known as (select pkg_name, min(pkg_id) pkg_id from ex group by pkg_name),
+todo as (select id old_id, name pkg_name from fx_src_packages where name is not null and id not in {xw_ids('src_packages')}),
+fresh as (select pkg_name, min(old_id) first_old from todo where pkg_name not in (select pkg_name from known) group by pkg_name),
+numbered as (select pkg_name, coalesce((select max(pkg_id) from ex), 0) + row_number() over (order by first_old) pkg_id from fresh),
+keyed as (select pkg_name, pkg_id from known union all select pkg_name, pkg_id from numbered),
+pkg_mapping as (select t.old_id, t.pkg_name, k.pkg_id from todo t join keyed k on t.pkg_name = k.pkg_name)
+"""
+
+VERSIONS = f"""
+pkgmap as (select old_id, new_id pkg_id from {XW} where table_name = 'src_packages' union all select old_id, pkg_id from pkg_mapping),
+exv as (select mv.new_id pkg_vrs_id, ms.new_id pkg_id, cv.version from cv
+  join {XW} mv on mv.table_name = 'pkg_versions' and mv.old_id = cv.old_id
+  join {XW} ms on ms.table_name = 'src_packages' and ms.old_id = cv.src_pkg_ref),
+vknown as (select pkg_id, version, min(pkg_vrs_id) pkg_vrs_id from exv group by pkg_id, version),
+vtodo as (select cv.old_id, pm.pkg_id, cv.version from cv join pkgmap pm on cv.src_pkg_ref = pm.old_id
+  where cv.old_id not in {xw_ids('pkg_versions')}),
+vfresh as (select pkg_id, version, min(old_id) first_old from vtodo t
+  where not exists (select 1 from vknown k where k.pkg_id = t.pkg_id and k.version = t.version) group by pkg_id, version),
+vnum as (select pkg_id, version, coalesce((select max(pkg_vrs_id) from exv), 0) + row_number() over (order by first_old) pkg_vrs_id from vfresh),
+vkeyed as (select pkg_id, version, pkg_vrs_id from vknown union all select pkg_id, version, pkg_vrs_id from vnum),
+ver_mapping as (select t.old_id, t.pkg_id, t.version, k.pkg_vrs_id from vtodo t join vkeyed k on t.pkg_id = k.pkg_id and t.version = k.version)
+"""
+
+LINKS_LEFT = f"""
+fx_asm_pkg_vsn_lnk l left join {XW} ma on ma.table_name = 'assemblies' and l.asm_ref = ma.old_id
+  left join {XW} mp on mp.table_name = 'pkg_versions' and l.pkg_vsn_ref = mp.old_id
+"""
+
+REMAPPED_LINKS = f"""
+rl as (select ma.new_id assm_id, mp.new_id pkg_vrs_id from fx_asm_pkg_vsn_lnk l
+  join {XW} ma on ma.table_name = 'assemblies' and l.asm_ref = ma.old_id
+  join {XW} mp on mp.table_name = 'pkg_versions' and l.pkg_vsn_ref = mp.old_id)
+"""
+
+IDENTS = """
+ids as (select c.id chg_id, coalesce(string_agg(v.name, ', ' order by v.name), '') log_ident from fx_changes c
+  left join fx_chg_vln_lnk l on c.id = l.chg_ref left join fx_vulnerabilities v on l.vln_ref = v.id group by c.id)
+"""
+
+
+def changelog_rows(zero_is_null: bool, with_idents: bool, only_new: bool) -> str:
+    t = ts("nullif(v.time, 0)") if zero_is_null else ts("v.time")
+    ident = "i.log_ident" if with_idents else "''"
+    join_ids = "join ids i on i.chg_id = c.id" if with_idents else ""
+    where = f"where c.id not in {xw_ids('changes')}" if only_new else ""
+    return f"""
+rows as (select c.id old_id, coalesce(c.special, '') log_desc, cast(null as bigint) urg_id, m.new_id pkg_vrs_id,
+  coalesce({t}, {RUN_TS}) date_added, cast(null as varchar) rep_name, {ident} log_ident from fx_changes c
+  join {XW} m on m.table_name = 'pkg_versions' and c.pkg_vsn_ref = m.old_id
+  join fx_pkg_versions v on c.pkg_vsn_ref = v.id {join_ids} {where})
+"""
+
+
+SOURCE_FIXTURES = ("publishers", "projects", "assemblies", "src_packages", "pkg_versions", "asm_pkg_vsn_lnk",
+                   "changes", "urgency", "vulnerabilities", "chg_vln_lnk")
+
 ORACLE: dict[str, str] = {
     # --- step 2: CVE evidence ------------------------------------------------
     "cve_mentions": oracle("select chg_id, pkg_vrs_id, cve from mentions", MENTIONS),
@@ -60,4 +146,115 @@ ev1 as (select h.pkg_vrs_id, v.vid, min(h.id) chg_no from hit h join vul v on h.
 ev2 as (select t.pkg_vrs_id, t.vid, f.mid trk_no from trk_fix t left join first_chg f on f.pkg_vrs_id = t.pkg_vrs_id)
 """,
     ),
+
+    # --- step 3: staging and cleaning --------------------------------------------
+    "projects_with_vendor": oracle(
+        "select id old_id, name, rls_ref, description, vendor, arc_ref from sp", f"sp as ({STAGED_PROJECTS})"
+    ),
+    "mapped_projection": oracle(
+        f"select id assm_id, {ts('time')} assm_date_created, description assm_desc, prj_ref prj_id, "
+        "cast(null as varchar) assm_version from fx_assemblies"
+    ),
+    "clean_projects": oracle(CLEAN_PROJECTS),
+    "clean_assemblies": oracle(
+        f"select id old_id, coalesce({ts('nullif(time, 0)')}, {RUN_TS}) assm_date_created, "
+        "coalesce(description, 'No description') assm_desc, prj_ref, ' ' assm_version from fx_assemblies"
+    ),
+    "clean_pkg_versions": oracle("select * from cv", CLEAN_VERSIONS),
+    "epoch_zero_as_null": oracle(f"select id old_id, {ts('nullif(time, 0)')} pkg_date_created from fx_pkg_versions"),
+    "epoch_zero_as_1970": oracle(f"select id old_id, coalesce({ts('time')}, {RUN_TS}) assm_date_created from fx_assemblies"),
+    "time_missing_sample": oracle(
+        "select id old_id, time from fx_assemblies where time = 0 or time is null order by id limit 5"
+    ),
+    # --- step 4: crosswalk ---------------------------------------------------------
+    "delta_projects": oracle(f"select * from ({CLEAN_PROJECTS}) c where old_id not in {xw_ids('projects')}"),
+    "new_keys_assemblies": oracle(
+        f"""select a.id old_id, {xw_max('assemblies')} + row_number() over (order by a.id) new_id
+from fx_assemblies a join {XW} m on m.table_name = 'projects' and a.prj_ref = m.old_id
+where a.id not in {xw_ids('assemblies')}"""
+    ),
+    "remap_assemblies": oracle(
+        f"select a.id old_id, a.prj_ref, m.new_id prj_id from fx_assemblies a join {XW} m "
+        "on m.table_name = 'projects' and a.prj_ref = m.old_id"
+    ),
+    "crosswalk_merge": oracle(
+        f"""select table_name, old_id, new_id from {XW}
+union all select n.table_name, n.old_id, n.new_id from newkeys n
+where not exists (select 1 from {XW} m where m.table_name = n.table_name and m.old_id = n.old_id)""",
+        f"""
+newp as (select 'projects' table_name, old_id, {xw_max('projects')} + row_number() over (order by old_id) new_id
+  from ({CLEAN_PROJECTS}) c where old_id not in {xw_ids('projects')}),
+newa as (select 'assemblies' table_name, a.id old_id, {xw_max('assemblies')} + row_number() over (order by a.id) new_id
+  from fx_assemblies a join {XW} m on m.table_name = 'projects' and a.prj_ref = m.old_id),
+newkeys as (select * from newp union all select * from newa)
+""",
+    ),
+    "crosswalk_sizes": oracle(f"select table_name, count(*) n_mappings from {XW} group by table_name"),
+    "crosswalk_from_targets": oracle(
+        "select 'urgency' table_name, id old_id, id new_id from fx_urgency "
+        "union all select 'vulnerabilities', id, id from fx_vulnerabilities "
+        "union all select 'pkg_version', pkg_vrs_id, pkg_vrs_id from fx_repo_pkg_version"
+    ),
+    # --- step 5: natural keys -------------------------------------------------------
+    "package_get_or_create": oracle("select old_id, pkg_name, pkg_id from pkg_mapping", PACKAGES),
+    "version_get_or_create": oracle(
+        "select old_id, pkg_id, version, pkg_vrs_id from ver_mapping", PACKAGES + "," + CLEAN_VERSIONS + "," + VERSIONS
+    ),
+    "distinct_names": oracle(
+        "select name, row_number() over (order by first_old) id, n_old_ids from "
+        "(select name, min(id) first_old, count(*) n_old_ids from fx_vulnerabilities where name is not null group by name) t"
+    ),
+    # --- step 6: links ----------------------------------------------------------------
+    "link_remap": oracle("select assm_id, pkg_vrs_id from rl", REMAPPED_LINKS),
+    "link_remap_new_only": oracle(
+        "select distinct assm_id, pkg_vrs_id from rl where not exists (select 1 from rl e where e.assm_id % 3 = 0 "
+        "and e.assm_id = rl.assm_id and e.pkg_vrs_id = rl.pkg_vrs_id)",
+        REMAPPED_LINKS,
+    ),
+    # --- step 7: changelog --------------------------------------------------------------
+    "changelog_idents": oracle("select chg_id, log_ident from ids", IDENTS),
+    "changelog_idents_known_only": oracle(
+        "select c.id chg_id, coalesce(k.log_ident, '') log_ident, coalesce(k.n_known, 0) n_known "
+        "from fx_changes c left join k on c.id = k.chg_ref",
+        "k as (select l.chg_ref, string_agg(v.name, ', ' order by v.name) log_ident, count(*) n_known "
+        "from fx_chg_vln_lnk l join fx_vulnerabilities v on l.vln_ref = v.id where v.name is not null group by l.chg_ref)",
+    ),
+    "changelog_full": oracle(
+        "select *, row_number() over (order by old_id) id from rows",
+        IDENTS + "," + changelog_rows(zero_is_null=False, with_idents=True, only_new=False),
+    ),
+    "changelog_delta": oracle(
+        f"select *, {xw_max('changes')} + row_number() over (order by old_id) id from rows",
+        changelog_rows(zero_is_null=True, with_idents=False, only_new=True),
+    ),
+    # --- step 8: audits -------------------------------------------------------------------
+    "row_counts": oracle(
+        " union all ".join(f"select '{t}' table_name, count(*) n_rows from fx_{t}" for t in SOURCE_FIXTURES)
+    ),
+    "orphan_refs": oracle(
+        f"""select 'assemblies.prj_ref' check_name, count(distinct prj_ref) distinct_refs, count(*) n_rows from fx_assemblies
+  where prj_ref not in (select id from ({STAGED_PROJECTS}) sp)
+union all
+select 'pkg_versions.src_pkg_ref', count(distinct src_pkg_ref), count(*) from fx_pkg_versions
+  where src_pkg_ref not in (select id from fx_src_packages)"""
+    ),
+    "link_audit": oracle(
+        "select count(*) total_links, count(*) filter (where ma.new_id is null) missing_assemblies, "
+        f"count(*) filter (where mp.new_id is null) missing_versions from {LINKS_LEFT}"
+    ),
+    "link_audit_sample": oracle(
+        "select l.asm_ref, l.pkg_vsn_ref, ma.new_id mapped_asm_id, mp.new_id mapped_pkg_id from "
+        f"{LINKS_LEFT} where ma.new_id is null or mp.new_id is null order by l.asm_ref, l.pkg_vsn_ref limit 10"
+    ),
+    "rejected_versions": oracle(
+        f"""select v.id old_id, v.src_pkg_ref from fx_pkg_versions v where v.id not in {xw_ids('pkg_versions')}
+and not exists (select 1 from {XW} m where m.table_name = 'src_packages' and m.old_id = v.src_pkg_ref)"""
+    ),
+    "rejected_change_links": oracle(
+        """select l.chg_ref, l.vln_ref, cm.id is not null change_mapped, vm.id is not null cve_mapped
+from fx_chg_vln_lnk l left join chmap cm on cm.id = l.chg_ref left join vmap vm on vm.id = l.vln_ref
+where cm.id is null or vm.id is null""",
+        f"""chmap as (select id from fx_changes where pkg_vsn_ref in {xw_ids('pkg_versions')}),
+vmap as (select id from fx_vulnerabilities where name is not null)""",
+    ),
 }

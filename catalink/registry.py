@@ -12,7 +12,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .operators import evidence as ev
+from .functions import clean as C
+from .operators import audit, changelog as cl, crosswalk as xw, evidence as ev, links as lk, projection as pj
+from .operators.keys import crosswalk_rows, dense_keys, union_crosswalks
+from .operators.natural_key import distinct_names_keyed, get_or_create_by_name, get_or_create_version
 from .sources.fixtures import FixtureCatalogue, fixture_catalogue
 
 # Fixed load time for every registered job, so that results repeat.
@@ -69,6 +72,227 @@ def q_cve_fix_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.cve_fix_status(fx.repo_versions, fx.links_versions, _changelog(fx), fx.sources.vulnerabilities, fx.tracker)
 
 
+# --- step 3: staging and cleaning ---------------------------------------------
+def q_projects_with_vendor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    src = fixtures(spark, sf_dir).sources
+    return pj.projects_with_vendor(src.projects, src.publishers)
+
+
+def q_mapped_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pj.mapped_projection(fixtures(spark, sf_dir).sources.assemblies, "assembly")
+
+
+def q_clean_projects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    src = fixtures(spark, sf_dir).sources
+    return pj.clean_projects(pj.projects_with_vendor(src.projects, src.publishers))
+
+
+def q_clean_assemblies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pj.clean_assemblies(fixtures(spark, sf_dir).sources.assemblies, RUN_TS)
+
+
+def q_clean_pkg_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pj.clean_pkg_versions(fixtures(spark, sf_dir).sources.pkg_versions, RUN_TS)
+
+
+def q_epoch_zero_as_null(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pv = fixtures(spark, sf_dir).sources.pkg_versions
+    return pv.select(F.col("id").alias("old_id"), C.epoch_to_ts_zero_null("time").alias("pkg_date_created"))
+
+
+def q_epoch_zero_as_1970(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a = fixtures(spark, sf_dir).sources.assemblies
+    return a.select(F.col("id").alias("old_id"), C.epoch_or_load_time("time", RUN_TS, zero_is_null=False).alias("assm_date_created"))
+
+
+def q_time_missing_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pj.missing_time_sample(fixtures(spark, sf_dir).sources.assemblies, 5)
+
+
+# --- step 4: crosswalk -----------------------------------------------------------
+def _delta_projects(fx: FixtureCatalogue) -> DataFrame:
+    src = fx.sources
+    return xw.only_new(pj.clean_projects(pj.projects_with_vendor(src.projects, src.publishers)), fx.crosswalk, "projects")
+
+
+def q_delta_projects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _delta_projects(fixtures(spark, sf_dir))
+
+
+def _new_assembly_keys(fx: FixtureCatalogue, only_delta: bool = True) -> DataFrame:
+    a = fx.sources.assemblies.select(F.col("id").alias("old_id"), "prj_ref")
+    if only_delta:
+        a = xw.only_new(a, fx.crosswalk, "assemblies")
+    mapped = xw.remap(a, fx.crosswalk, "projects", "prj_ref", "prj_id")
+    return dense_keys(mapped.select("old_id"), "old_id", "new_id", xw.max_new_id(fx.crosswalk, "assemblies"))
+
+
+def q_new_keys_assemblies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _new_assembly_keys(fixtures(spark, sf_dir))
+
+
+def q_remap_assemblies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fx = fixtures(spark, sf_dir)
+    a = fx.sources.assemblies.select(F.col("id").alias("old_id"), "prj_ref")
+    return xw.remap(a, fx.crosswalk, "projects", "prj_ref", "prj_id")
+
+
+def q_crosswalk_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fx = fixtures(spark, sf_dir)
+    projects = dense_keys(_delta_projects(fx).select("old_id"), "old_id", "new_id", xw.max_new_id(fx.crosswalk, "projects"))
+    # Keys for every assembly with a mapped project, already-mapped ones included:
+    # the merge must keep each existing pair.
+    assemblies = _new_assembly_keys(fx, only_delta=False)
+    new = union_crosswalks(crosswalk_rows(projects, "projects"), crosswalk_rows(assemblies, "assemblies"))
+    return xw.merge_crosswalk(fx.crosswalk, new)
+
+
+def q_crosswalk_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return xw.crosswalk_sizes(fixtures(spark, sf_dir).crosswalk)
+
+
+def q_crosswalk_from_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fx = fixtures(spark, sf_dir)
+    targets = {
+        "urgency": fx.sources.urgency.select(F.col("id").alias("urg_id"), F.col("name").alias("urg_name")),
+        "vulnerabilities": fx.sources.vulnerabilities,
+        "pkg_version": fx.repo_versions,
+    }
+    return xw.crosswalk_from_targets(targets)
+
+
+# --- step 5: natural keys ----------------------------------------------------------
+def existing_packages(fx: FixtureCatalogue) -> DataFrame:
+    """Stand-in package target: names of source packages the crosswalk says are loaded."""
+    pairs = xw.for_table(fx.crosswalk, "src_packages")
+    src = fx.sources.src_packages.where(F.col("name").isNotNull())
+    return pairs.join(src, pairs["old_id"] == src["id"]).select(F.col("new_id").alias("pkg_id"), F.col("name").alias("pkg_name"))
+
+
+def existing_versions(fx: FixtureCatalogue) -> DataFrame:
+    """Stand-in pkg_version target: loaded versions whose package is loaded too."""
+    pv = pj.clean_pkg_versions(fx.sources.pkg_versions, RUN_TS)
+    loaded = xw.remap(pv, fx.crosswalk, "pkg_versions", "old_id", "pkg_vrs_id")
+    keyed = xw.remap(loaded, fx.crosswalk, "src_packages", "src_pkg_ref", "pkg_id")
+    return keyed.select("pkg_vrs_id", "pkg_date_created", "author_name", "pkg_id", "version")
+
+
+def _package_mapping(fx: FixtureCatalogue) -> DataFrame:
+    named = fx.sources.src_packages.where(F.col("name").isNotNull()).select(F.col("id").alias("old_id"), F.col("name").alias("pkg_name"))
+    delta = xw.only_new(named, fx.crosswalk, "src_packages")
+    mapping, _ = get_or_create_by_name(delta, existing_packages(fx))
+    return mapping
+
+
+def q_package_get_or_create(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _package_mapping(fixtures(spark, sf_dir)).select("old_id", "pkg_name", "pkg_id")
+
+
+def q_version_get_or_create(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fx = fixtures(spark, sf_dir)
+    pkg_pairs = union_crosswalks(
+        fx.crosswalk, crosswalk_rows(_package_mapping(fx), "src_packages", new_col="pkg_id")
+    )
+    pv = pj.clean_pkg_versions(fx.sources.pkg_versions, RUN_TS)
+    delta = xw.only_new(pv, fx.crosswalk, "pkg_versions")
+    mapped = xw.remap(delta, pkg_pairs, "src_packages", "src_pkg_ref", "pkg_id").drop("src_pkg_ref")
+    mapping, _ = get_or_create_version(mapped, existing_versions(fx))
+    return mapping.select("old_id", "pkg_id", "version", "pkg_vrs_id")
+
+
+def q_distinct_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v = fixtures(spark, sf_dir).sources.vulnerabilities.select(F.col("id").alias("old_id"), "name")
+    return distinct_names_keyed(v, "name", "id")
+
+
+# --- step 6: links -------------------------------------------------------------------
+def q_link_remap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fx = fixtures(spark, sf_dir)
+    return lk.remap_links(fx.sources.asm_pkg_vsn_lnk, fx.crosswalk).select("assm_id", "pkg_vrs_id")
+
+
+def q_link_remap_new_only(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fx = fixtures(spark, sf_dir)
+    remapped = lk.remap_links(fx.sources.asm_pkg_vsn_lnk, fx.crosswalk)
+    # Stand-in for links loaded earlier: the pairs of every third build.
+    existing = remapped.where(F.col("assm_id") % 3 == 0).select("assm_id", "pkg_vrs_id")
+    return lk.new_links_only(remapped, existing)
+
+
+# --- step 7: changelog ----------------------------------------------------------------
+def q_changelog_idents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    src = fixtures(spark, sf_dir).sources
+    idents = cl.idents_per_change(src.chg_vln_lnk, src.vulnerabilities)
+    return cl.attach_idents(src.changes.select(F.col("id").alias("chg_id")), idents, key="chg_id")
+
+
+def q_changelog_idents_known_only(spark: SparkSession, sf_dir: str) -> DataFrame:
+    src = fixtures(spark, sf_dir).sources
+    idents = cl.known_idents_per_change(src.chg_vln_lnk, src.vulnerabilities)
+    out = cl.attach_idents(src.changes.select(F.col("id").alias("chg_id")), idents, key="chg_id")
+    return out.withColumn("n_known", F.coalesce("n_known", F.lit(0)))
+
+
+def _changelog_keyed(fx_: FixtureCatalogue, full: bool) -> DataFrame:
+    src = fx_.sources
+    changes = src.changes if full else xw.only_new(src.changes, fx_.crosswalk, "changes", key_col="id")
+    idents = cl.idents_per_change(src.chg_vln_lnk, src.vulnerabilities) if full else None
+    rows = cl.changelog_rows(changes, fx_.crosswalk, src.pkg_versions, RUN_TS, zero_is_null=not full, idents=idents)
+    return dense_keys(rows, "old_id", "id", 0 if full else xw.max_new_id(fx_.crosswalk, "changes"))
+
+
+def q_changelog_full(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _changelog_keyed(fixtures(spark, sf_dir), full=True)
+
+
+def q_changelog_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _changelog_keyed(fixtures(spark, sf_dir), full=False)
+
+
+# --- step 8: audits ----------------------------------------------------------------------
+def q_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.row_counts(fixtures(spark, sf_dir).sources.items())
+
+
+def q_orphan_refs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    src = fixtures(spark, sf_dir).sources
+    staged = pj.projects_with_vendor(src.projects, src.publishers)
+    return audit.orphan_refs(src.assemblies, "prj_ref", staged, "old_id", "assemblies.prj_ref").unionByName(
+        audit.orphan_refs(src.pkg_versions, "src_pkg_ref", src.src_packages, "id", "pkg_versions.src_pkg_ref")
+    )
+
+
+def q_link_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fx = fixtures(spark, sf_dir)
+    return audit.link_audit(fx.sources.asm_pkg_vsn_lnk, fx.crosswalk)
+
+
+def q_link_audit_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fx = fixtures(spark, sf_dir)
+    return audit.link_audit_sample(fx.sources.asm_pkg_vsn_lnk, fx.crosswalk, 10)
+
+
+def q_rejected_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fx = fixtures(spark, sf_dir)
+    delta = xw.only_new(fx.sources.pkg_versions, fx.crosswalk, "pkg_versions", key_col="id")
+    return audit.rejected_by_parent(delta, fx.crosswalk, "src_packages", "src_pkg_ref").select(
+        F.col("id").alias("old_id"), "src_pkg_ref"
+    )
+
+
+def q_rejected_change_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fx = fixtures(spark, sf_dir)
+    src = fx.sources
+    # The run's own maps: a change is loaded when its version is mapped; a CVE when it has a name.
+    changes = xw.remap(src.changes, fx.crosswalk, "pkg_versions", "pkg_vsn_ref", "_v").select(F.col("id").alias("old_id"))
+    cves = src.vulnerabilities.where(F.col("name").isNotNull()).select(F.col("id").alias("old_id"))
+    run_map = union_crosswalks(
+        crosswalk_rows(changes.withColumn("new_id", F.col("old_id")), "changes"),
+        crosswalk_rows(cves.withColumn("new_id", F.col("old_id")), "vulnerabilities"),
+    )
+    return audit.rejected_change_links(src.chg_vln_lnk, run_map)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "cve_mentions": q_cve_mentions,
     "cve_unknown_mentions": q_cve_unknown_mentions,
@@ -76,4 +300,33 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "repo_version_key": q_repo_version_key,
     "tracker_fixes": q_tracker_fixes,
     "cve_fix_status": q_cve_fix_status,
+    "projects_with_vendor": q_projects_with_vendor,
+    "mapped_projection": q_mapped_projection,
+    "clean_projects": q_clean_projects,
+    "clean_assemblies": q_clean_assemblies,
+    "clean_pkg_versions": q_clean_pkg_versions,
+    "epoch_zero_as_null": q_epoch_zero_as_null,
+    "epoch_zero_as_1970": q_epoch_zero_as_1970,
+    "time_missing_sample": q_time_missing_sample,
+    "delta_projects": q_delta_projects,
+    "new_keys_assemblies": q_new_keys_assemblies,
+    "remap_assemblies": q_remap_assemblies,
+    "crosswalk_merge": q_crosswalk_merge,
+    "crosswalk_sizes": q_crosswalk_sizes,
+    "crosswalk_from_targets": q_crosswalk_from_targets,
+    "package_get_or_create": q_package_get_or_create,
+    "version_get_or_create": q_version_get_or_create,
+    "distinct_names": q_distinct_names,
+    "link_remap": q_link_remap,
+    "link_remap_new_only": q_link_remap_new_only,
+    "changelog_idents": q_changelog_idents,
+    "changelog_idents_known_only": q_changelog_idents_known_only,
+    "changelog_full": q_changelog_full,
+    "changelog_delta": q_changelog_delta,
+    "row_counts": q_row_counts,
+    "orphan_refs": q_orphan_refs,
+    "link_audit": q_link_audit,
+    "link_audit_sample": q_link_audit_sample,
+    "rejected_versions": q_rejected_versions,
+    "rejected_change_links": q_rejected_change_links,
 }
