@@ -14,12 +14,19 @@ from .links import remap_links
 
 
 def row_counts(frames: list[tuple[str, DataFrame]]) -> DataFrame:
-    """``(table_name, n_rows)`` for each named frame."""
-    parts = [df.select(F.lit(name).alias("table_name"), F.lit(1).alias("_one")) for name, df in frames]
-    unioned = parts[0]
+    """``(table_name, n_rows)`` for each named frame, 0 for an empty one.
+
+    One global aggregate per frame (a global aggregate always yields a row);
+    each counts partially per task, so only one row per task is shuffled.
+    """
+    parts = [
+        df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("table_name"), "n_rows")
+        for name, df in frames
+    ]
+    out = parts[0]
     for part in parts[1:]:
-        unioned = unioned.unionByName(part)
-    return unioned.groupBy("table_name").agg(F.count("_one").alias("n_rows"))
+        out = out.unionByName(part)
+    return out
 
 
 def orphan_refs(child: DataFrame, ref_col: str, parent: DataFrame, parent_key: str, check: str) -> DataFrame:

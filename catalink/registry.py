@@ -16,7 +16,13 @@ from .functions import clean as C
 from .operators import audit, changelog as cl, crosswalk as xw, evidence as ev, links as lk, projection as pj
 from .operators.keys import crosswalk_rows, dense_keys, union_crosswalks
 from .operators.natural_key import distinct_names_keyed, get_or_create_by_name, get_or_create_version
+from .plans.cve_status import merge_fix_status
+from .plans.integrity import integrity_report
+from .plans.load import full_load, incremental_load
+from .plans.mapped_load import mapped_load
+from .sources.catalog import conform
 from .sources.fixtures import FixtureCatalogue, fixture_catalogue
+from .sources.schemas import TARGET_SCHEMAS
 
 # Fixed load time for every registered job, so that results repeat.
 RUN_TS = "2025-02-11 00:00:00"
@@ -293,6 +299,55 @@ def q_rejected_change_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.rejected_change_links(src.chg_vln_lnk, run_map)
 
 
+# --- step 9: merge into the fix-status table ------------------------------------------
+def q_cve_fix_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    status = q_cve_fix_status(spark, sf_dir)
+    # Stand-in for the table as saved by an earlier run: every third version's rows,
+    # one number missing on even CVE ids, tracker gaps filled with -1, a user id set.
+    existing = status.where(F.col("pkg_vrs_id") % 3 == 0).select(
+        "pkg_vrs_id",
+        "vulnerability_id",
+        F.when(F.col("vulnerability_id") % 2 == 0, None).otherwise(F.col("changelog_string_number")).alias("changelog_string_number"),
+        F.coalesce("fixed_tracker_string_number", F.lit(-1)).cast("long").alias("fixed_tracker_string_number"),
+        F.lit(1).cast("long").alias("manual_input_user_id"),
+    )
+    incoming = status.withColumn("manual_input_user_id", F.lit(None).cast("long"))
+    return merge_fix_status(existing, incoming)
+
+
+# --- step 10: whole flows ----------------------------------------------------------------
+def q_full_load_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return full_load(fixtures(spark, sf_dir).sources, RUN_TS).counts()
+
+
+def existing_targets(fx: FixtureCatalogue) -> dict[str, DataFrame]:
+    """Stand-in targets matching the fixture crosswalk (rows an earlier run loaded)."""
+    loaded_links = lk.remap_links(fx.sources.asm_pkg_vsn_lnk, fx.crosswalk).select("assm_id", "pkg_vrs_id").distinct()
+    return {
+        "project": conform(xw.for_table(fx.crosswalk, "projects").select(F.col("new_id").alias("prj_id")), TARGET_SCHEMAS["project"]),
+        "assembly": conform(xw.for_table(fx.crosswalk, "assemblies").select(F.col("new_id").alias("assm_id")), TARGET_SCHEMAS["assembly"]),
+        "package": existing_packages(fx),
+        "pkg_version": existing_versions(fx),
+        "assm_pkg_vrs": loaded_links,
+    }
+
+
+def q_incremental_load_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fx = fixtures(spark, sf_dir)
+    return incremental_load(fx.sources, RUN_TS, existing_targets(fx), fx.crosswalk).counts()
+
+
+def q_mapped_load_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    result = mapped_load(fixtures(spark, sf_dir).sources)
+    rejects = audit.row_counts([(f"reject:{name}", df) for name, df in result.rejects.items()])
+    return result.counts().unionByName(rejects)
+
+
+def q_integrity_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fx = fixtures(spark, sf_dir)
+    return integrity_report(fx.sources, fx.crosswalk)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "cve_mentions": q_cve_mentions,
     "cve_unknown_mentions": q_cve_unknown_mentions,
@@ -329,4 +384,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "link_audit_sample": q_link_audit_sample,
     "rejected_versions": q_rejected_versions,
     "rejected_change_links": q_rejected_change_links,
+    "cve_fix_upsert": q_cve_fix_upsert,
+    "full_load_counts": q_full_load_counts,
+    "incremental_load_counts": q_incremental_load_counts,
+    "mapped_load_counts": q_mapped_load_counts,
+    "integrity_report": q_integrity_report,
 }
