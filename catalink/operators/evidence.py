@@ -94,9 +94,10 @@ def log_evidence(mentions: DataFrame, cve_ids: DataFrame) -> DataFrame:
 
     ``min`` fixes the choice the reference left to read order (R13).  The
     min is computed map-side first, so a hot version or CVE shrinks to one
-    row per task before the shuffle.
+    row per task before the shuffle.  Pass ``cve_ids`` through
+    ``broadcast_if_small`` first to broadcast it behind a size check.
     """
-    names = broadcast_if_small(cve_ids.withColumnRenamed("name", "cve"))
+    names = cve_ids.withColumnRenamed("name", "cve")
     return (
         mentions.join(names, "cve")
         .groupBy("pkg_vrs_id", "vulnerability_id")
@@ -145,7 +146,7 @@ def tracker_fixes(tracker: TrackerCatalogue, version_key: DataFrame, cve_ids: Da
     matched = rows.join(
         key, (rows["pkg_name"] == key["_kn"]) & rows["version"].eqNullSafe(key["_kv"])
     ).select("cve_name", "pkg_vrs_id")
-    names = broadcast_if_small(cve_ids.withColumnRenamed("name", "cve_name"))
+    names = cve_ids.withColumnRenamed("name", "cve_name")
     return matched.join(names, "cve_name").select("pkg_vrs_id", "vulnerability_id").distinct()
 
 
@@ -173,7 +174,9 @@ def cve_fix_status(
     """The fix-status rows to merge into ``fixed_cve_status``."""
     scope = versions_in_builds(versions, links)
     changes = changes_in_scope(changelog, scope)
-    cve_ids = cve_ids_by_name(vulnerabilities)
+    # One id per CVE name: bounded by the number of published CVEs, checked
+    # once here and broadcast to both evidence sides.
+    cve_ids = broadcast_if_small(cve_ids_by_name(vulnerabilities))
     log_ev = log_evidence(change_mentions(changes), cve_ids)
     fixes = tracker_fixes(tracker, repo_version_key(scope), cve_ids)
     trk_ev = tracker_evidence(fixes, first_change_per_version(changes))

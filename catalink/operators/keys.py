@@ -39,18 +39,26 @@ def bucket_shift(lo: int, hi: int, max_bucket_bits: int = MAX_BUCKET_BITS) -> in
     return max(0, span.bit_length() - max_bucket_bits)
 
 
+def key_bounds(order_col: str) -> dict[str, Column]:
+    """Aggregates ``dense_keys`` needs, for observing them while a frame is written."""
+    return {"lo": F.min(order_col), "hi": F.max(order_col), "n": F.count(F.lit(1))}
+
+
 def dense_keys(
     df: DataFrame,
     order_col: str,
     key_col: str,
     base: int = 0,
     max_bucket_bits: int = MAX_BUCKET_BITS,
+    bounds: tuple[int | None, int | None] | None = None,
 ) -> DataFrame:
     """Add ``key_col = base + rank of order_col`` (1-based, dense).
 
-    ``order_col`` must be unique and non-null in ``df``.
+    ``order_col`` must be unique and non-null in ``df``.  ``bounds`` (min,
+    max of ``order_col``) may be passed when already known, e.g. observed
+    while ``df`` was staged; otherwise one small aggregate job finds them.
     """
-    lo, hi = df.agg(F.min(order_col), F.max(order_col)).first()
+    lo, hi = bounds if bounds is not None else df.agg(F.min(order_col), F.max(order_col)).first()
     if lo is None:
         return df.withColumn(key_col, F.lit(None).cast("long"))
     shift = bucket_shift(int(lo), int(hi), max_bucket_bits)

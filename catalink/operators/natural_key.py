@@ -13,10 +13,11 @@ Both follow the same set-based recipe, in place of a row-at-a-time
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.sizing import broadcast_if_small
 from .keys import dense_keys, max_value
 
 
@@ -42,13 +43,15 @@ def get_or_create_by_name(
     name_col: str = "pkg_name",
     key_col: str = "pkg_id",
     base: int | None = None,
+    materialize: Callable[[DataFrame], DataFrame] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """K3: resolve ``rows (old_id, name)`` against ``existing (key, name)``.
 
     Returns ``(mapping, created)``: ``mapping`` has ``(old_id, name, key)``
     for every row with a non-null name; ``created`` the new target rows
     ``(key, name)``.  New keys start after ``base`` (default: the largest
-    existing key).
+    existing key).  ``materialize`` (e.g. a staging write) is applied to the
+    newly numbered names, which both outputs read.
     """
     rows = rows.where(F.col(name_col).isNotNull())
     known = existing.groupBy(name_col).agg(F.min(key_col).alias(key_col))
@@ -56,7 +59,11 @@ def get_or_create_by_name(
     fresh = firsts.join(known.select(name_col), name_col, "left_anti")
     start = max_value(existing, key_col) if base is None else base
     created = dense_keys(fresh, "_first", key_col, start).select(key_col, name_col)
-    keyed = broadcast_if_small(known.select(name_col, key_col).unionByName(created.select(name_col, key_col)))
+    if materialize is not None:
+        created = materialize(created)
+    # One row per name; AQE broadcasts it when its runtime size is small and
+    # splits a hot name's partition otherwise.
+    keyed = known.select(name_col, key_col).unionByName(created.select(name_col, key_col))
     mapping = rows.select("old_id", name_col).join(keyed, name_col)
     return mapping, created
 
@@ -67,6 +74,7 @@ def get_or_create_version(
     key_cols: tuple[str, str] = ("pkg_id", "version"),
     id_col: str = "pkg_vrs_id",
     base: int | None = None,
+    materialize: Callable[[DataFrame], DataFrame] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """K4 + J5: insert unless ``(pkg_id, version)`` exists, then reuse its id.
 
@@ -82,6 +90,8 @@ def get_or_create_version(
     fresh = firsts.join(known.select(*keys), keys, "left_anti")
     start = max_value(existing, id_col) if base is None else base
     numbered = dense_keys(fresh, "_first", id_col, start)
+    if materialize is not None:
+        numbered = materialize(numbered)
     attrs = [c for c in rows.columns if c not in keys and c != "old_id"]
     created = numbered.join(
         rows.select(F.col("old_id").alias("_first"), *attrs), "_first"

@@ -19,10 +19,13 @@ Repairs over the original: keys are carried beside old ids instead of being
 paired by position or joined back on values (R3-R5); links are de-duplicated
 (R11); rejects are reported instead of silently dropped (R12, R17).
 
-Each step's keyed output is checkpointed (``cut_lineage=True``) to the
-session's shared checkpoint folder, so later steps and the final writes read
-it back instead of recomputing the chain, and a lost executor only redoes the
-current step.
+With ``cut_lineage=True`` each step's delta and keyed output are written as
+parquet under the session's shared checkpoint folder (``StageArea``), so
+later steps and the final writes read files instead of recomputing the chain
+of joins, Catalyst plans joins from real file sizes, and a lost executor only
+redoes the current step.  The delta's key bounds are observed during its
+write, so numbering needs no extra pass.  Call ``LoadResult.release()`` after
+writing the outputs to drop the staged files.
 """
 
 from __future__ import annotations
@@ -36,12 +39,12 @@ from pyspark.sql import functions as F
 from ..operators import audit
 from ..operators.changelog import changelog_rows, idents_per_change
 from ..operators.crosswalk import max_new_id, only_new, remap
-from ..operators.keys import crosswalk_rows, dense_keys, max_value
+from ..operators.keys import crosswalk_rows, dense_keys, key_bounds, max_value
 from ..operators.links import links_with_unmapped_end, new_links_only, remap_links
 from ..operators.natural_key import distinct_names_keyed, get_or_create_by_name, get_or_create_version
 from ..operators.projection import clean_assemblies, clean_pkg_versions, clean_projects, projects_with_vendor, rejected_projects
-from ..session import ensure_checkpoint_dir
 from ..sources.catalog import SourceCatalogue, conform, empty_crosswalk, empty_target
+from ..sources.sinks import StageArea
 from ..sources.schemas import TARGET_SCHEMAS
 
 
@@ -52,6 +55,12 @@ class LoadResult:
     targets: dict[str, DataFrame]
     crosswalk: DataFrame
     rejects: dict[str, DataFrame] = field(default_factory=dict)
+    stage: StageArea | None = None
+
+    def release(self) -> None:
+        """Drop the run's staged files (after the outputs have been written)."""
+        if self.stage is not None:
+            self.stage.release()
 
     def counts(self) -> DataFrame:
         """``(table_name, n_rows)`` for every target and for the new crosswalk pairs."""
@@ -65,12 +74,31 @@ class _Steps:
         self.spark = spark
         self.saved = crosswalk.select("table_name", "old_id", "new_id")
         self.pairs: list[DataFrame] = []
-        self.cut = cut_lineage
-        if cut_lineage:
-            ensure_checkpoint_dir(spark)
-
-    def keep(self, df: DataFrame) -> DataFrame:
-        return df.checkpoint(eager=True) if self.cut else df
+        self.stage = StageArea(spark, "load") if cut_lineage else None
+        # Largest key per table already handed out: one small aggregate for all tables.
+        self.saved_max = {
+            r["table_name"]: int(r["m"])
+            for r in self.saved.groupBy("table_name").agg(F.max("new_id").alias("m")).collect()
+            if r["m"] is not None
+        }
+
+    def keep(self, df: DataFrame, name: str) -> DataFrame:
+        if self.stage is None:
+            return df
+        return self.stage.put(df, name)[0]
+
+    def keyed(self, delta: DataFrame, key_col: str, base: int, name: str) -> DataFrame:
+        """Number ``delta`` by ``old_id`` after ``base``; staged delta, observed bounds."""
+        if self.stage is None:
+            return dense_keys(delta, "old_id", key_col, base)
+        staged, stats = self.stage.put(delta, f"{name}-delta", key_bounds("old_id"))
+        keyed = dense_keys(staged, "old_id", key_col, base, bounds=(stats["lo"], stats["hi"]))
+        return self.keep(keyed, f"{name}-keyed")
+
+    def base(self, target: DataFrame | None, key: str, table: str) -> int:
+        """Next keys start after the largest key in the target and in the saved crosswalk."""
+        in_target = max_value(target, key) if target is not None else 0
+        return max(in_target, self.saved_max.get(table, 0))
 
     @property
     def crosswalk(self) -> DataFrame:
@@ -91,15 +119,14 @@ class _Steps:
         return out
 
 
-def _target(spark: SparkSession, targets: dict[str, DataFrame] | None, name: str) -> DataFrame:
+def _target(spark: SparkSession, targets: dict[str, DataFrame] | None, name: str) -> DataFrame | None:
     if targets and name in targets:
         return conform(targets[name], TARGET_SCHEMAS[name])
-    return empty_target(spark, name)
+    return None
 
 
-def _base(target: DataFrame, key: str, crosswalk: DataFrame, table: str) -> int:
-    """Next keys start after the largest key in the target and in the crosswalk."""
-    return max(max_value(target, key), max_new_id(crosswalk, table))
+def _or_empty(spark: SparkSession, df: DataFrame | None, name: str) -> DataFrame:
+    return df if df is not None else empty_target(spark, name)
 
 
 def _project_target(df: DataFrame, name: str) -> DataFrame:
@@ -125,8 +152,8 @@ def load_catalogue(
     staged = projects_with_vendor(sources.projects, sources.publishers)
     rejects["projects_without_publisher"] = rejected_projects(sources.projects, sources.publishers)
     delta = only_new(clean_projects(staged), steps.crosswalk, "projects")
-    project = _target(spark, targets, "project")
-    keyed = steps.keep(dense_keys(delta, "old_id", "prj_id", _base(project, "prj_id", steps.crosswalk, "projects")))
+    base = steps.base(_target(spark, targets, "project"), "prj_id", "projects")
+    keyed = steps.keyed(delta, "prj_id", base, "project")
     out["project"] = _project_target(keyed, "project")
     steps.add(crosswalk_rows(keyed, "projects", new_col="prj_id"))
 
@@ -135,8 +162,8 @@ def load_catalogue(
     delta = only_new(cleaned, steps.crosswalk, "assemblies")
     rejects["assemblies_without_project"] = audit.rejected_by_parent(delta, steps.crosswalk, "projects", "prj_ref")
     mapped = remap(delta, steps.crosswalk, "projects", "prj_ref", "prj_id")
-    assembly = _target(spark, targets, "assembly")
-    keyed = steps.keep(dense_keys(mapped, "old_id", "assm_id", _base(assembly, "assm_id", steps.crosswalk, "assemblies")))
+    base = steps.base(_target(spark, targets, "assembly"), "assm_id", "assemblies")
+    keyed = steps.keyed(mapped, "assm_id", base, "assembly")
     out["assembly"] = _project_target(keyed, "assembly")
     steps.add(crosswalk_rows(keyed, "assemblies", new_col="assm_id"))
 
@@ -144,26 +171,30 @@ def load_catalogue(
     named = sources.src_packages.where(F.col("name").isNotNull()).select(
         F.col("id").alias("old_id"), F.col("name").alias("pkg_name")
     )
-    delta = only_new(named, steps.crosswalk, "src_packages")
+    delta = steps.keep(only_new(named, steps.crosswalk, "src_packages"), "package-delta")
     package = _target(spark, targets, "package")
     mapping, created = get_or_create_by_name(
-        delta, package, base=_base(package, "pkg_id", steps.crosswalk, "src_packages")
+        delta, _or_empty(spark, package, "package"), base=steps.base(package, "pkg_id", "src_packages"),
+        materialize=lambda df: steps.keep(df, "package-created"),
     )
-    mapping = steps.keep(mapping)
-    out["package"] = _project_target(steps.keep(created), "package")
+    mapping = steps.keep(mapping, "package-mapping")
+    out["package"] = _project_target(created, "package")
     steps.add(crosswalk_rows(mapping, "src_packages", new_col="pkg_id"))
 
     # 4. versions by (package, version)
     cleaned = clean_pkg_versions(sources.pkg_versions, run_ts)
     delta = only_new(cleaned, steps.crosswalk, "pkg_versions")
     rejects["versions_without_package"] = audit.rejected_by_parent(delta, steps.crosswalk, "src_packages", "src_pkg_ref")
-    mapped = remap(delta, steps.crosswalk, "src_packages", "src_pkg_ref", "pkg_id").drop("src_pkg_ref")
+    mapped = steps.keep(
+        remap(delta, steps.crosswalk, "src_packages", "src_pkg_ref", "pkg_id").drop("src_pkg_ref"), "version-delta"
+    )
     pkg_version = _target(spark, targets, "pkg_version")
     mapping, created = get_or_create_version(
-        mapped, pkg_version, base=_base(pkg_version, "pkg_vrs_id", steps.crosswalk, "pkg_versions")
+        mapped, _or_empty(spark, pkg_version, "pkg_version"), base=steps.base(pkg_version, "pkg_vrs_id", "pkg_versions"),
+        materialize=lambda df: steps.keep(df, "version-numbered"),
     )
-    mapping = steps.keep(mapping)
-    out["pkg_version"] = _project_target(steps.keep(created), "pkg_version")
+    mapping = steps.keep(mapping, "version-mapping")
+    out["pkg_version"] = _project_target(steps.keep(created, "version-created"), "pkg_version")
     steps.add(crosswalk_rows(mapping, "pkg_versions", new_col="pkg_vrs_id"))
 
     # 5-6. urgency and CVE names
@@ -175,20 +206,21 @@ def load_catalogue(
             F.col("id").alias("old_id"), F.col("name").alias(name_col)
         )
         delta = only_new(src, steps.crosswalk, source_name)
-        target = _target(spark, targets, target_name)
-        base = _base(target, key, steps.crosswalk, source_name)
+        base = steps.base(_target(spark, targets, target_name), key, source_name)
         if full:
-            names = steps.keep(distinct_names_keyed(delta, name_col, key, base))
+            delta = steps.keep(delta, f"{target_name}-delta")
+            names = steps.keep(distinct_names_keyed(delta, name_col, key, base), f"{target_name}-names")
             out[target_name] = _project_target(names, target_name)
             pairs = delta.join(names.select(name_col, key), name_col)
         else:
-            pairs = steps.keep(dense_keys(delta, "old_id", key, base))
+            pairs = steps.keyed(delta, key, base, target_name)
             out[target_name] = _project_target(pairs, target_name)
         steps.add(crosswalk_rows(pairs, source_name, new_col=key))
 
     # 7. build links
     remapped = remap_links(sources.asm_pkg_vsn_lnk, steps.crosswalk)
-    out["assm_pkg_vrs"] = steps.keep(new_links_only(remapped, _target(spark, targets, "assm_pkg_vrs")))
+    existing_links = _or_empty(spark, _target(spark, targets, "assm_pkg_vrs"), "assm_pkg_vrs")
+    out["assm_pkg_vrs"] = steps.keep(new_links_only(remapped, existing_links), "links")
     rejects["links_with_unmapped_end"] = links_with_unmapped_end(sources.asm_pkg_vsn_lnk, steps.crosswalk)
 
     # 8. changelog
@@ -196,12 +228,12 @@ def load_catalogue(
     idents = idents_per_change(sources.chg_vln_lnk, sources.vulnerabilities) if full else None
     rows = changelog_rows(delta, steps.crosswalk, sources.pkg_versions, run_ts, zero_is_null, idents)
     rejects["changes_without_version"] = audit.rejected_by_parent(delta, steps.crosswalk, "pkg_versions", "pkg_vsn_ref")
-    changelog = _target(spark, targets, "changelog")
-    keyed = steps.keep(dense_keys(rows, "old_id", "id", _base(changelog, "id", steps.crosswalk, "changes")))
+    base = steps.base(_target(spark, targets, "changelog"), "id", "changes")
+    keyed = steps.keyed(rows, "id", base, "changelog")
     out["changelog"] = _project_target(keyed, "changelog")
     steps.add(crosswalk_rows(keyed, "changes", new_col="id"))
 
-    return LoadResult(targets=out, crosswalk=steps.new_pairs(), rejects=rejects)
+    return LoadResult(targets=out, crosswalk=steps.new_pairs(), rejects=rejects, stage=steps.stage)
 
 
 def full_load(sources: SourceCatalogue, run_ts: dt.datetime | str, cut_lineage: bool = True) -> LoadResult:

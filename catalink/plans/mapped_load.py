@@ -26,19 +26,18 @@ from ..operators.crosswalk import remap
 from ..operators.keys import crosswalk_rows, dense_keys, union_crosswalks
 from ..operators.natural_key import get_or_create_by_name
 from ..operators.projection import joined_column, mapped_projection, projects_with_vendor
-from ..session import ensure_checkpoint_dir
 from ..sources.catalog import SourceCatalogue, empty_target
+from ..sources.sinks import StageArea
 from ..sources.schemas import TARGET_SCHEMAS
 from .load import LoadResult
 
 
 def mapped_load(sources: SourceCatalogue, cut_lineage: bool = True) -> LoadResult:
     spark = sources.projects.sparkSession
-    if cut_lineage:
-        ensure_checkpoint_dir(spark)
+    stage = StageArea(spark, "mapped") if cut_lineage else None
 
     def keep(df: DataFrame) -> DataFrame:
-        return df.checkpoint(eager=True) if cut_lineage else df
+        return stage.put(df, "step")[0] if stage is not None else df
 
     out: dict[str, DataFrame] = {}
     rejects: dict[str, DataFrame] = {}
@@ -115,4 +114,4 @@ def mapped_load(sources: SourceCatalogue, cut_lineage: bool = True) -> LoadResul
     report_map = union_crosswalks(run_map(), crosswalk_rows(cves, "vulnerabilities"))
     rejects["change_links_unmapped"] = audit.rejected_change_links(sources.chg_vln_lnk, report_map, "changelog", "vulnerabilities")
 
-    return LoadResult(targets=out, crosswalk=run_map(), rejects=rejects)
+    return LoadResult(targets=out, crosswalk=run_map(), rejects=rejects, stage=stage)

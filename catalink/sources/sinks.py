@@ -10,9 +10,11 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
+
 
 def write_replace(df: DataFrame, location: str, partition_by: list[str] | None = None) -> None:
     """Replace a table from scratch (S4); staging is never kept."""
@@ -82,3 +84,37 @@ def with_row_count(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
 def is_empty(df: DataFrame) -> bool:
     """Nothing to write? (S10) - reads at most one row."""
     return df.isEmpty()
+
+
+class StageArea:
+    """Intermediate tables of one run, written under the session's checkpoint folder.
+
+    Writing a step's output as parquet cuts the lineage (later steps and a
+    retried task read files, not a chain of joins), gives Catalyst real file
+    sizes for its join choices, and survives the loss of an executor.  The
+    folder lives under ``spark.checkpoint.dir`` (a shared file system on a
+    cluster); ``release()`` removes it once the run's outputs are written.
+    """
+
+    def __init__(self, spark: SparkSession, label: str = "run"):
+        self.spark = spark
+        root = ensure_checkpoint_dir(spark).rstrip("/")
+        self.root = f"{root}/catalink-{label}-{uuid.uuid4().hex[:12]}"
+        self._n = 0
+
+    def put(self, df: DataFrame, name: str, observe: dict[str, Column] | None = None) -> tuple[DataFrame, dict]:
+        """Write ``df``; return it read back, plus aggregates observed during the write."""
+        self._n += 1
+        path = f"{self.root}/{self._n:02d}-{name}"
+        obs = None
+        if observe:
+            obs = Observation(f"{name}-{self._n}")
+            df = df.observe(obs, *[col.alias(key) for key, col in observe.items()])
+        df.write.mode("overwrite").parquet(path)
+        stats = dict(obs.get) if obs is not None else {}
+        return self.spark.read.parquet(path), stats
+
+    def release(self) -> None:
+        fs, path, _ = _fs_and_path(self.spark, self.root)
+        if fs.exists(path):
+            fs.delete(path, True)
