@@ -60,4 +60,4 @@ def run_fix_status(
             existing = empty_target(spark, "fixed_cve_status")
     counted, obs = with_row_count(incoming, "fix_status_incoming")
     write_swap(merge_fix_status(existing, counted), table_location)
-    return int(obs.get.get("rows", 0))
+    return obs.rows()

@@ -72,13 +72,31 @@ def write_swap(df: DataFrame, location: str, partition_by: list[str] | None = No
         raise OSError(f"could not move {staged} to {location}")
 
 
-def with_row_count(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
+class RowCounter:
+    """Row count of a frame, observed while the frame is written."""
+
+    def __init__(self, df: DataFrame, name: str):
+        self._source = df
+        self._obs = Observation(f"{name}-{uuid.uuid4().hex[:8]}")
+        self.df = df.observe(self._obs, F.count(F.lit(1)).alias("rows"))
+
+    def rows(self) -> int:
+        try:
+            return int(self._obs.get.get("rows", 0))
+        except Exception:  # noqa: BLE001
+            # No task ran over the observed node (an empty input that a
+            # repartition turned into zero partitions): count it directly.
+            return self._source.count()
+
+
+def with_row_count(df: DataFrame, name: str) -> tuple[DataFrame, RowCounter]:
     """Attach a row counter that fills in when ``df`` is written.
 
-    The count rides along the write job instead of a second scan.
+    The count rides along the write job instead of a second scan; read it
+    with ``counter.rows()`` after the write.
     """
-    obs = Observation(name)
-    return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
+    counter = RowCounter(df, name)
+    return counter.df, counter
 
 
 def is_empty(df: DataFrame) -> bool:
