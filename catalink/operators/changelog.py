@@ -17,6 +17,7 @@ from ..functions import clean as C
 from ..functions.sizing import broadcast_if_small
 from .crosswalk import for_table
 
+# Fixed value: separator between CVE names in a change's identifier list.
 SEPARATOR = ", "
 
 

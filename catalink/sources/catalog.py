@@ -117,12 +117,17 @@ def read_target(
     return read_table(spark, location, TARGET_SCHEMAS[table], fmt, options)
 
 
+def empty_frame(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    """A typed empty frame (planned as an empty relation, no driver-side data)."""
+    return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
 def empty_target(spark: SparkSession, table: str) -> DataFrame:
-    return spark.createDataFrame([], TARGET_SCHEMAS[table])
+    return empty_frame(spark, TARGET_SCHEMAS[table])
 
 
 def empty_crosswalk(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], CROSSWALK_SCHEMA)
+    return empty_frame(spark, CROSSWALK_SCHEMA)
 
 
 def read_crosswalk(spark: SparkSession, location: str | None) -> DataFrame:

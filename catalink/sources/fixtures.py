@@ -152,7 +152,7 @@ def fixture_catalogue(spark: SparkSession, sf_dir: str) -> FixtureCatalogue:
         (pk + 500000).alias("pkg_id"),
         _when_mod(pk, 17, 0, F.lit("0.0.0"), F.col("p_brand")).alias("version"),
     )
-    extra_cve = spark.createDataFrame([(999999, "CVE-1999-0001")], "cve_id long, cve_name string")
+    extra_cve = spark.range(1).select(F.lit(999999).cast("long").alias("cve_id"), F.lit("CVE-1999-0001").alias("cve_name"))
     trk_cve = vulnerabilities.select((F.col("id") + 900000).alias("cve_id"), F.col("name").alias("cve_name")).unionByName(extra_cve)
     lk = F.col("l_orderkey")
     trk_cve_rep = (
