@@ -7,17 +7,21 @@ same on every run and on every recompute after a lost executor, unlike
 ``monotonically_increasing_id`` or partition ids.
 
 How it scales: a window over the whole table would put every row in one
-task.  Instead the ordering column is cut into value buckets of ``2**shift``
-consecutive values, with ``shift`` chosen from the column's range so that there
-are at most ``2**MAX_BUCKET_BITS`` buckets.
-
-* per-bucket row counts: a partial aggregate, at most 2**18 rows out;
-* a running sum over that small table gives each bucket's offset (one task
-  over at most 2**18 rows);
-* the offsets are broadcast (size bound proven above) and each row's key is
-  ``base + offset(bucket) + row_number() within its bucket``.  The window is
-  partitioned by bucket, and a bucket can never hold more than ``2**shift``
-  rows because the ordering column is unique.
+task.  Instead the key's rank is built as a multi-level prefix sum over value
+buckets with fixed widths, so no driver round trip is needed and no window
+partition can exceed ``2**LEVEL_BITS`` rows, whatever the distribution of the
+ids (dense, sparse over 64 bits, or one hot range):
+
+* level 1 buckets are ``id >> 16``, level 2 ``id >> 32``, level 3 ``id >> 48``
+  (fewer levels when the id range is known to be narrower); each level's row
+  counts are a partial aggregate of the level below;
+* the top level has at most 2**16 buckets: its running sum runs in one task
+  and is broadcast (size bound proven by the bit width);
+* going down, a bucket's offset is its parent's offset plus a running sum
+  over its siblings (a window partitioned by the parent, at most 2**16
+  siblings);
+* each row gets ``base + offset(level-1 bucket) + row_number()`` in a window
+  partitioned by its level-1 bucket (at most 2**16 distinct ids).
 """
 
 from __future__ import annotations
@@ -25,7 +29,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-MAX_BUCKET_BITS = 18
+LEVEL_BITS = 16
+ID_BITS = 64
 
 
 def max_value(df: DataFrame, col: str, default: int = 0) -> int:
@@ -34,14 +39,14 @@ def max_value(df: DataFrame, col: str, default: int = 0) -> int:
     return default if value is None else int(value)
 
 
-def bucket_shift(lo: int, hi: int, max_bucket_bits: int = MAX_BUCKET_BITS) -> int:
-    span = hi - lo + 1
-    return max(0, span.bit_length() - max_bucket_bits)
+def key_bounds(order_col: str) -> dict[str, Column]:
+    """Aggregates to observe while staging a frame, for ``dense_keys(bounds=...)``."""
+    return {"lo": F.min(order_col), "hi": F.max(order_col)}
 
 
-def key_bounds(order_col: str) -> dict[str, Column]:
-    """Aggregates ``dense_keys`` needs, for observing them while a frame is written."""
-    return {"lo": F.min(order_col), "hi": F.max(order_col), "n": F.count(F.lit(1))}
+def levels_for(bits: int, level_bits: int = LEVEL_BITS) -> int:
+    """Bucket levels so that the top level has at most ``2**level_bits`` buckets."""
+    return max(1, -(-bits // level_bits) - 1)
 
 
 def dense_keys(
@@ -49,29 +54,52 @@ def dense_keys(
     order_col: str,
     key_col: str,
     base: int = 0,
-    max_bucket_bits: int = MAX_BUCKET_BITS,
+    level_bits: int = LEVEL_BITS,
     bounds: tuple[int | None, int | None] | None = None,
 ) -> DataFrame:
     """Add ``key_col = base + rank of order_col`` (1-based, dense).
 
-    ``order_col`` must be unique and non-null in ``df``.  ``bounds`` (min,
-    max of ``order_col``) may be passed when already known, e.g. observed
-    while ``df`` was staged; otherwise one small aggregate job finds them.
+    ``order_col`` must be unique and non-null in ``df``.  Fully lazy: the
+    plan reads ``df`` twice (bucket counts and the rows themselves), so pass a
+    staged or cheap input when ``df`` is an expensive plan.  ``bounds`` (min,
+    max of ``order_col``, e.g. observed while staging ``df``) rebase the ids
+    and cut the number of levels to what the range needs (one level for any
+    range up to 2**32); without them all 64 bits are covered.
     """
-    lo, hi = bounds if bounds is not None else df.agg(F.min(order_col), F.max(order_col)).first()
-    if lo is None:
-        return df.withColumn(key_col, F.lit(None).cast("long"))
-    shift = bucket_shift(int(lo), int(hi), max_bucket_bits)
-    bucket: Column = F.shiftright(F.col(order_col) - F.lit(int(lo)), shift)
-    keyed = df.withColumn("_kb", bucket)
-    counts = keyed.groupBy("_kb").agg(F.count(F.lit(1)).alias("_kn"))
-    before = Window.orderBy("_kb").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_kb", F.coalesce(F.sum("_kn").over(before), F.lit(0)).alias("_ko"))
-    in_bucket = Window.partitionBy("_kb").orderBy(order_col)
+    span_bits = None
+    if bounds is not None:
+        lo, hi = bounds
+        if lo is None:
+            return df.withColumn(key_col, F.lit(None).cast("long"))
+        span_bits = (int(hi) - int(lo)).bit_length()
+    if span_bits is not None and span_bits < ID_BITS - 1:
+        top = levels_for(span_bits, level_bits)
+        position = F.col(order_col) - F.lit(int(lo))
+    else:
+        top = levels_for(ID_BITS, level_bits)
+        position = F.col(order_col)
+    rows = df.withColumn("_b1", F.shiftright(position, level_bits))
+    counts = [rows.groupBy("_b1").agg(F.count(F.lit(1)).alias("_n"))]
+    for i in range(1, top):
+        below = counts[-1]
+        counts.append(
+            below.groupBy(F.shiftright(F.col(f"_b{i}"), level_bits).alias(f"_b{i + 1}")).agg(F.sum("_n").alias("_n"))
+        )
+    before = Window.orderBy(f"_b{top}").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = F.broadcast(
+        counts[-1].select(f"_b{top}", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_o"))
+    )
+    for i in range(top - 1, 0, -1):
+        level = counts[i - 1].withColumn(f"_b{i + 1}", F.shiftright(F.col(f"_b{i}"), level_bits))
+        siblings = Window.partitionBy(f"_b{i + 1}").orderBy(f"_b{i}").rowsBetween(Window.unboundedPreceding, -1)
+        offsets = level.join(offsets, f"_b{i + 1}").select(
+            f"_b{i}", (F.col("_o") + F.coalesce(F.sum("_n").over(siblings), F.lit(0))).alias("_o")
+        )
+    in_bucket = Window.partitionBy("_b1").orderBy(order_col)
     return (
-        keyed.join(F.broadcast(offsets), "_kb")
-        .withColumn(key_col, (F.lit(base) + F.col("_ko") + F.row_number().over(in_bucket)).cast("long"))
-        .drop("_kb", "_ko")
+        rows.join(offsets, "_b1")
+        .withColumn(key_col, (F.lit(base) + F.col("_o") + F.row_number().over(in_bucket)).cast("long"))
+        .drop("_b1", "_o")
     )
 
 

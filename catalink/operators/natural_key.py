@@ -9,6 +9,9 @@ Both follow the same set-based recipe, in place of a row-at-a-time
 3. number the rest with ``dense_keys`` in order of that lowest old id, which
    is the order an ordered insert loop would have created them in;
 4. join every incoming old id to the one key of its natural key.
+
+``bounds`` (min, max old id of ``rows``), when known, is passed on to
+``dense_keys``: the lowest old id of each key lies within it.
 """
 
 from __future__ import annotations
@@ -22,7 +25,7 @@ from .keys import dense_keys, max_value
 
 
 def distinct_names_keyed(
-    rows: DataFrame, name_col: str, key_col: str, base: int = 0
+    rows: DataFrame, name_col: str, key_col: str, base: int = 0, bounds: tuple | None = None
 ) -> DataFrame:
     """A8 + K1: one new key per distinct non-null name, numbered by first old id.
 
@@ -34,7 +37,7 @@ def distinct_names_keyed(
         .groupBy(name_col)
         .agg(F.min("old_id").alias("_first"), F.count(F.lit(1)).alias("n_old_ids"))
     )
-    return dense_keys(names, "_first", key_col, base).select(name_col, key_col, "n_old_ids")
+    return dense_keys(names, "_first", key_col, base, bounds=bounds).select(name_col, key_col, "n_old_ids")
 
 
 def get_or_create_by_name(
@@ -44,6 +47,7 @@ def get_or_create_by_name(
     key_col: str = "pkg_id",
     base: int | None = None,
     materialize: Callable[[DataFrame], DataFrame] | None = None,
+    bounds: tuple | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """K3: resolve ``rows (old_id, name)`` against ``existing (key, name)``.
 
@@ -58,7 +62,7 @@ def get_or_create_by_name(
     firsts = rows.groupBy(name_col).agg(F.min("old_id").alias("_first"))
     fresh = firsts.join(known.select(name_col), name_col, "left_anti")
     start = max_value(existing, key_col) if base is None else base
-    created = dense_keys(fresh, "_first", key_col, start).select(key_col, name_col)
+    created = dense_keys(fresh, "_first", key_col, start, bounds=bounds).select(key_col, name_col)
     if materialize is not None:
         created = materialize(created)
     # One row per name; AQE broadcasts it when its runtime size is small and
@@ -75,6 +79,7 @@ def get_or_create_version(
     id_col: str = "pkg_vrs_id",
     base: int | None = None,
     materialize: Callable[[DataFrame], DataFrame] | None = None,
+    bounds: tuple | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """K4 + J5: insert unless ``(pkg_id, version)`` exists, then reuse its id.
 
@@ -89,7 +94,7 @@ def get_or_create_version(
     firsts = rows.groupBy(*keys).agg(F.min("old_id").alias("_first"))
     fresh = firsts.join(known.select(*keys), keys, "left_anti")
     start = max_value(existing, id_col) if base is None else base
-    numbered = dense_keys(fresh, "_first", id_col, start)
+    numbered = dense_keys(fresh, "_first", id_col, start, bounds=bounds)
     if materialize is not None:
         numbered = materialize(numbered)
     attrs = [c for c in rows.columns if c not in keys and c != "old_id"]

@@ -23,9 +23,8 @@ With ``cut_lineage=True`` each step's delta and keyed output are written as
 parquet under the session's shared checkpoint folder (``StageArea``), so
 later steps and the final writes read files instead of recomputing the chain
 of joins, Catalyst plans joins from real file sizes, and a lost executor only
-redoes the current step.  The delta's key bounds are observed during its
-write, so numbering needs no extra pass.  Call ``LoadResult.release()`` after
-writing the outputs to drop the staged files.
+redoes the current step.  Call ``LoadResult.release()`` after writing the
+outputs to drop the staged files.
 """
 
 from __future__ import annotations
@@ -87,13 +86,24 @@ class _Steps:
             return df
         return self.stage.put(df, name)[0]
 
+    def keep_with_bounds(self, df: DataFrame, name: str) -> tuple[DataFrame, tuple | None]:
+        """Stage ``df`` and observe its ``old_id`` range during the write."""
+        if self.stage is None:
+            return df, None
+        staged, stats = self.stage.put(df, name, key_bounds("old_id"))
+        return staged, (stats["lo"], stats["hi"])
+
     def keyed(self, delta: DataFrame, key_col: str, base: int, name: str) -> DataFrame:
-        """Number ``delta`` by ``old_id`` after ``base``; staged delta, observed bounds."""
+        """Number ``delta`` by ``old_id`` after ``base``.
+
+        The delta is staged first: ``dense_keys`` reads its input twice, and
+        reading files beats recomputing an anti join against the crosswalk.
+        Its id range, observed during that write, sets the bucket levels.
+        """
         if self.stage is None:
             return dense_keys(delta, "old_id", key_col, base)
-        staged, stats = self.stage.put(delta, f"{name}-delta", key_bounds("old_id"))
-        keyed = dense_keys(staged, "old_id", key_col, base, bounds=(stats["lo"], stats["hi"]))
-        return self.keep(keyed, f"{name}-keyed")
+        staged, bounds = self.keep_with_bounds(delta, f"{name}-delta")
+        return self.keep(dense_keys(staged, "old_id", key_col, base, bounds=bounds), f"{name}-keyed")
 
     def base(self, target: DataFrame | None, key: str, table: str) -> int:
         """Next keys start after the largest key in the target and in the saved crosswalk."""
@@ -171,11 +181,11 @@ def load_catalogue(
     named = sources.src_packages.where(F.col("name").isNotNull()).select(
         F.col("id").alias("old_id"), F.col("name").alias("pkg_name")
     )
-    delta = steps.keep(only_new(named, steps.crosswalk, "src_packages"), "package-delta")
+    delta, bounds = steps.keep_with_bounds(only_new(named, steps.crosswalk, "src_packages"), "package-delta")
     package = _target(spark, targets, "package")
     mapping, created = get_or_create_by_name(
         delta, _or_empty(spark, package, "package"), base=steps.base(package, "pkg_id", "src_packages"),
-        materialize=lambda df: steps.keep(df, "package-created"),
+        materialize=lambda df: steps.keep(df, "package-created"), bounds=bounds,
     )
     mapping = steps.keep(mapping, "package-mapping")
     out["package"] = _project_target(created, "package")
@@ -185,13 +195,13 @@ def load_catalogue(
     cleaned = clean_pkg_versions(sources.pkg_versions, run_ts)
     delta = only_new(cleaned, steps.crosswalk, "pkg_versions")
     rejects["versions_without_package"] = audit.rejected_by_parent(delta, steps.crosswalk, "src_packages", "src_pkg_ref")
-    mapped = steps.keep(
+    mapped, bounds = steps.keep_with_bounds(
         remap(delta, steps.crosswalk, "src_packages", "src_pkg_ref", "pkg_id").drop("src_pkg_ref"), "version-delta"
     )
     pkg_version = _target(spark, targets, "pkg_version")
     mapping, created = get_or_create_version(
         mapped, _or_empty(spark, pkg_version, "pkg_version"), base=steps.base(pkg_version, "pkg_vrs_id", "pkg_versions"),
-        materialize=lambda df: steps.keep(df, "version-numbered"),
+        materialize=lambda df: steps.keep(df, "version-numbered"), bounds=bounds,
     )
     mapping = steps.keep(mapping, "version-mapping")
     out["pkg_version"] = _project_target(steps.keep(created, "version-created"), "pkg_version")
@@ -208,8 +218,8 @@ def load_catalogue(
         delta = only_new(src, steps.crosswalk, source_name)
         base = steps.base(_target(spark, targets, target_name), key, source_name)
         if full:
-            delta = steps.keep(delta, f"{target_name}-delta")
-            names = steps.keep(distinct_names_keyed(delta, name_col, key, base), f"{target_name}-names")
+            delta, bounds = steps.keep_with_bounds(delta, f"{target_name}-delta")
+            names = steps.keep(distinct_names_keyed(delta, name_col, key, base, bounds), f"{target_name}-names")
             out[target_name] = _project_target(names, target_name)
             pairs = delta.join(names.select(name_col, key), name_col)
         else:
