@@ -23,7 +23,7 @@ from ..functions import clean as C
 from ..operators import audit
 from ..operators.changelog import known_idents_per_change
 from ..operators.crosswalk import remap
-from ..operators.keys import crosswalk_rows, dense_keys, union_crosswalks
+from ..operators.keys import crosswalk_rows, dense_keys, key_bounds, union_crosswalks
 from ..operators.natural_key import get_or_create_by_name
 from ..operators.projection import joined_column, mapped_projection, projects_with_vendor
 from ..sources.catalog import SourceCatalogue, empty_target
@@ -39,6 +39,13 @@ def mapped_load(sources: SourceCatalogue, cut_lineage: bool = True) -> LoadResul
     def keep(df: DataFrame) -> DataFrame:
         return stage.put(df, "step")[0] if stage is not None else df
 
+    def numbered(df: DataFrame, key_col: str) -> DataFrame:
+        """New keys by ``old_id``; the input is staged first and its id range observed."""
+        if stage is None:
+            return dense_keys(df, "old_id", key_col)
+        staged, stats = stage.put(df, "rows", key_bounds("old_id"))
+        return keep(dense_keys(staged, "old_id", key_col, bounds=(stats["lo"], stats["hi"])))
+
     out: dict[str, DataFrame] = {}
     rejects: dict[str, DataFrame] = {}
     maps: list[DataFrame] = []
@@ -49,7 +56,7 @@ def mapped_load(sources: SourceCatalogue, cut_lineage: bool = True) -> LoadResul
     # project: projects joined with publishers (vendor), new key per row
     staged = projects_with_vendor(sources.projects, sources.publishers).withColumnRenamed("vendor", joined_column("publishers", "name"))
     projected = mapped_projection(staged.withColumnRenamed("old_id", "id"), "project")
-    keyed = keep(dense_keys(projected.withColumnRenamed("prj_id", "old_id"), "old_id", "prj_id"))
+    keyed = numbered(projected.withColumnRenamed("prj_id", "old_id"), "prj_id")
     out["project"] = keyed.select(*TARGET_SCHEMAS["project"].fieldNames())
     maps.append(crosswalk_rows(keyed, "project", new_col="prj_id"))
 
@@ -57,7 +64,7 @@ def mapped_load(sources: SourceCatalogue, cut_lineage: bool = True) -> LoadResul
     projected = mapped_projection(sources.assemblies, "assembly").withColumnRenamed("assm_id", "old_id")
     rejects["assemblies_without_project"] = audit.rejected_by_parent(projected, run_map(), "project", "prj_id")
     mapped = remap(projected.withColumnRenamed("prj_id", "prj_ref"), run_map(), "project", "prj_ref", "prj_id")
-    keyed = keep(dense_keys(mapped, "old_id", "assm_id"))
+    keyed = numbered(mapped, "assm_id")
     out["assembly"] = keyed.select(*TARGET_SCHEMAS["assembly"].fieldNames())
     maps.append(crosswalk_rows(keyed, "assembly", new_col="assm_id"))
 
@@ -72,7 +79,7 @@ def mapped_load(sources: SourceCatalogue, cut_lineage: bool = True) -> LoadResul
     projected = mapped_projection(sources.pkg_versions, "pkg_version").withColumnRenamed("pkg_vrs_id", "old_id")
     rejects["versions_without_package"] = audit.rejected_by_parent(projected, run_map(), "package", "pkg_id")
     mapped = remap(projected.withColumnRenamed("pkg_id", "src_pkg_ref"), run_map(), "package", "src_pkg_ref", "pkg_id")
-    keyed = keep(dense_keys(mapped, "old_id", "pkg_vrs_id"))
+    keyed = numbered(mapped, "pkg_vrs_id")
     out["pkg_version"] = keyed.select(*TARGET_SCHEMAS["pkg_version"].fieldNames())
     maps.append(crosswalk_rows(keyed, "pkg_version", new_col="pkg_vrs_id"))
 
@@ -99,13 +106,13 @@ def mapped_load(sources: SourceCatalogue, cut_lineage: bool = True) -> LoadResul
     projected = mapped_projection(changes, "changelog").withColumnRenamed("id", "old_id")
     rejects["changes_without_version"] = audit.rejected_by_parent(projected, run_map(), "pkg_version", "pkg_vrs_id")
     mapped = remap(projected.withColumnRenamed("pkg_vrs_id", "pkg_vsn_ref"), run_map(), "pkg_version", "pkg_vsn_ref", "pkg_vrs_id")
-    keyed = keep(dense_keys(mapped, "old_id", "id"))
+    keyed = numbered(mapped, "id")
     out["changelog"] = keyed.select(*TARGET_SCHEMAS["changelog"].fieldNames())
     maps.append(crosswalk_rows(keyed, "changelog", new_col="id"))
 
     # urgency: new key per row
     projected = mapped_projection(sources.urgency, "urgency").withColumnRenamed("urg_id", "old_id")
-    keyed = keep(dense_keys(projected, "old_id", "urg_id"))
+    keyed = numbered(projected, "urg_id")
     out["urgency"] = keyed.select(*TARGET_SCHEMAS["urgency"].fieldNames())
     maps.append(crosswalk_rows(keyed, "urgency", new_col="urg_id"))
 
