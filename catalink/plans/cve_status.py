@@ -15,7 +15,7 @@ from ..operators.evidence import cve_fix_status, repo_versions
 from ..operators.merge import upsert_first_non_null
 from ..sources.catalog import TrackerCatalogue, conform, empty_target, read_target
 from ..sources.schemas import TARGET_KEYS, TARGET_SCHEMAS
-from ..sources.sinks import with_row_count, write_swap
+from ..sources.sinks import is_empty, with_row_count, write_swap
 
 NUMBERS = ("changelog_string_number", "fixed_tracker_string_number")
 
@@ -58,6 +58,8 @@ def run_fix_status(
             if "PATH_NOT_FOUND" not in str(exc) and "does not exist" not in str(exc):
                 raise
             existing = empty_target(spark, "fixed_cve_status")
+    if is_empty(incoming):
+        return 0  # S10: nothing to merge, the table stays as it is
     counted, obs = with_row_count(incoming, "fix_status_incoming")
     write_swap(merge_fix_status(existing, counted), table_location)
     return obs.rows()

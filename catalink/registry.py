@@ -27,15 +27,15 @@ from .sources.schemas import TARGET_SCHEMAS
 # Fixed load time for every registered job, so that results repeat.
 RUN_TS = "2025-02-11 00:00:00"
 
-_CACHE: dict[tuple[int, str], FixtureCatalogue] = {}
+_CACHE: dict[str, tuple[SparkSession, FixtureCatalogue]] = {}
 
 
 def fixtures(spark: SparkSession, sf_dir: str) -> FixtureCatalogue:
-    """Fixture DataFrames (lazy plans, no data) per session and folder."""
-    key = (id(spark), sf_dir)
-    if key not in _CACHE:
-        _CACHE[key] = fixture_catalogue(spark, sf_dir)
-    return _CACHE[key]
+    """Fixture DataFrames (lazy plans, no data) per folder, rebuilt for a new session."""
+    cached = _CACHE.get(sf_dir)
+    if cached is None or cached[0] is not spark:
+        cached = _CACHE[sf_dir] = (spark, fixture_catalogue(spark, sf_dir))
+    return cached[1]
 
 
 def _changelog(fx: FixtureCatalogue) -> DataFrame:
