@@ -50,7 +50,11 @@ def versions_in_builds(versions: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def changes_in_scope(changelog: DataFrame, scope: DataFrame) -> DataFrame:
-    """changelog rows of in-scope versions."""
+    """changelog rows of in-scope versions (rows with their text).
+
+    ``cve_fix_status`` does not use this: it aggregates first and filters the
+    aggregates, so the text is never shuffled.
+    """
     return changelog.select("id", "pkg_vrs_id", "log_desc").join(
         scope.select("pkg_vrs_id"), "pkg_vrs_id", "left_semi"
     )
@@ -171,13 +175,21 @@ def cve_fix_status(
     vulnerabilities: DataFrame,
     tracker: TrackerCatalogue,
 ) -> DataFrame:
-    """The fix-status rows to merge into ``fixed_cve_status``."""
+    """The fix-status rows to merge into ``fixed_cve_status``.
+
+    The changelog (the big table, with free text) is aggregated before it is
+    restricted to in-scope versions: both aggregates group by version, so
+    dropping out-of-scope groups afterwards equals dropping rows before, and
+    the text never crosses a shuffle - CVE tokens are extracted in the scan
+    stage and only ``(version, CVE, min id)`` partial aggregates move.
+    """
     scope = versions_in_builds(versions, links)
-    changes = changes_in_scope(changelog, scope)
+    in_scope = scope.select("pkg_vrs_id")
     # One id per CVE name: bounded by the number of published CVEs, checked
     # once here and broadcast to both evidence sides.
     cve_ids = broadcast_if_small(cve_ids_by_name(vulnerabilities))
-    log_ev = log_evidence(change_mentions(changes), cve_ids)
+    log_ev = log_evidence(change_mentions(changelog), cve_ids).join(in_scope, "pkg_vrs_id", "left_semi")
     fixes = tracker_fixes(tracker, repo_version_key(scope), cve_ids)
-    trk_ev = tracker_evidence(fixes, first_change_per_version(changes))
+    # ``fixes`` holds in-scope versions only, so the left join needs no scope filter of its own.
+    trk_ev = tracker_evidence(fixes, first_change_per_version(changelog.select("id", "pkg_vrs_id")))
     return merge_evidence(log_ev, trk_ev)

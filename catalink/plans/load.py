@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from ..operators import audit
 from ..operators.changelog import changelog_rows, idents_per_change
-from ..operators.crosswalk import max_new_id, only_new, remap
+from ..operators.crosswalk import only_new, remap
 from ..operators.keys import crosswalk_rows, dense_keys, key_bounds, max_value
 from ..operators.links import links_with_unmapped_end, new_links_only, remap_links
 from ..operators.natural_key import distinct_names_keyed, get_or_create_by_name, get_or_create_version

@@ -60,7 +60,8 @@ def q_cve_unknown_mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_first_change_per_version(spark: SparkSession, sf_dir: str) -> DataFrame:
     fx = fixtures(spark, sf_dir)
-    return ev.first_change_per_version(ev.changes_in_scope(_changelog(fx), _scope(fx)))
+    first = ev.first_change_per_version(_changelog(fx).select("id", "pkg_vrs_id"))
+    return first.join(_scope(fx).select("pkg_vrs_id"), "pkg_vrs_id", "left_semi")
 
 
 def q_repo_version_key(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,6 +1,5 @@
 import datetime as dt
 
-from pyspark.sql import functions as F
 
 from catalink.functions import clean as C
 from catalink.functions.cve import cve_tokens, explode_cves
