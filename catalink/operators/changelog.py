@@ -68,32 +68,54 @@ def version_lookup(crosswalk: DataFrame, pkg_versions: DataFrame) -> DataFrame:
     )
 
 
-def changelog_rows(
+def changelog_versions(
     changes: DataFrame,
     crosswalk: DataFrame,
     pkg_versions: DataFrame,
     run_ts: dt.datetime | str,
     zero_is_null: bool = True,
-    idents: DataFrame | None = None,
 ) -> DataFrame:
-    """Target ``changelog`` rows (without new ids) plus ``old_id``.
+    """Narrow changelog rows ``(old_id, pkg_vrs_id, date_added)`` - no text.
 
     Changes whose version is unmapped are dropped (inner join, as the source
     query does).  ``zero_is_null=True`` is X5 (incremental load), ``False`` is
-    X6 (full load: only a NULL time becomes the load time).  Without
-    ``idents`` the identifier column is '' (the incremental load leaves it
-    empty).
+    X6 (full load: only a NULL time becomes the load time).  Keeping the text
+    out of this step means the joins and the key numbering shuffle ids only.
     """
     lookup = version_lookup(crosswalk, pkg_versions)
-    base = changes.join(lookup, changes["pkg_vsn_ref"] == lookup["_pv_old"])
-    out = base.select(
+    base = changes.select("id", "pkg_vsn_ref").join(lookup, F.col("pkg_vsn_ref") == lookup["_pv_old"])
+    return base.select(
         F.col("id").alias("old_id"),
-        C.text_or_empty("special").alias("log_desc"),
-        F.lit(None).cast("long").alias("urg_id"),
         "pkg_vrs_id",
         C.epoch_or_load_time("_pv_time", run_ts, zero_is_null).alias("date_added"),
-        F.lit(None).cast("string").alias("rep_name"),
+    )
+
+
+def with_text(rows: DataFrame, changes: DataFrame, idents: DataFrame | None = None) -> DataFrame:
+    """Complete narrow (keyed) rows with the change text and the CVE list.
+
+    The text joins in once, by change id; when ``rows`` is small (a typical
+    incremental run) AQE broadcasts it and the text is not shuffled at all.
+    Without ``idents`` the identifier column is '' (the incremental load
+    leaves it empty).
+    """
+    text = changes.select(F.col("id").alias("old_id"), C.text_or_empty("special").alias("log_desc"))
+    out = rows.join(text, "old_id").withColumn("urg_id", F.lit(None).cast("long")).withColumn(
+        "rep_name", F.lit(None).cast("string")
     )
     if idents is None:
         return out.withColumn("log_ident", F.lit(C.EMPTY))
     return attach_idents(out, idents, key="old_id")
+
+
+def changelog_rows(
+    changes: DataFrame,
+    crosswalk: DataFrame,
+    pkg_versions: DataFrame,
+    run_ts: dt.datetime | str,
+    zero_is_null: bool = True,
+    idents: DataFrame | None = None,
+) -> DataFrame:
+    """Target ``changelog`` rows (without new ids) plus ``old_id``."""
+    narrow = changelog_versions(changes, crosswalk, pkg_versions, run_ts, zero_is_null)
+    return with_text(narrow, changes, idents)

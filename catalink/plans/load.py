@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import audit
-from ..operators.changelog import changelog_rows, idents_per_change
+from ..operators.changelog import changelog_versions, idents_per_change, with_text
 from ..operators.crosswalk import only_new, remap
 from ..operators.keys import crosswalk_rows, dense_keys, key_bounds, max_value
 from ..operators.links import links_with_unmapped_end, new_links_only, remap_links
@@ -233,14 +233,15 @@ def load_catalogue(
     out["assm_pkg_vrs"] = steps.keep(new_links_only(remapped, existing_links), "links")
     rejects["links_with_unmapped_end"] = links_with_unmapped_end(sources.asm_pkg_vsn_lnk, steps.crosswalk)
 
-    # 8. changelog
-    delta = only_new(sources.changes, steps.crosswalk, "changes", key_col="id")
-    idents = idents_per_change(sources.chg_vln_lnk, sources.vulnerabilities) if full else None
-    rows = changelog_rows(delta, steps.crosswalk, sources.pkg_versions, run_ts, zero_is_null, idents)
+    # 8. changelog (J2, J4, J16, X5/X6, X11, A4): ids, versions and keys on narrow
+    # rows; the change text joins in once at the end.
+    delta = only_new(sources.changes.select("id", "pkg_vsn_ref"), steps.crosswalk, "changes", key_col="id")
+    narrow = changelog_versions(delta, steps.crosswalk, sources.pkg_versions, run_ts, zero_is_null)
     rejects["changes_without_version"] = audit.rejected_by_parent(delta, steps.crosswalk, "pkg_versions", "pkg_vsn_ref")
     base = steps.base(_target(spark, targets, "changelog"), "id", "changes")
-    keyed = steps.keyed(rows, "id", base, "changelog")
-    out["changelog"] = _project_target(keyed, "changelog")
+    keyed = steps.keyed(narrow, "id", base, "changelog")
+    idents = idents_per_change(sources.chg_vln_lnk, sources.vulnerabilities) if full else None
+    out["changelog"] = _project_target(with_text(keyed, sources.changes, idents), "changelog")
     steps.add(crosswalk_rows(keyed, "changes", new_col="id"))
 
     return LoadResult(targets=out, crosswalk=steps.new_pairs(), rejects=rejects, stage=steps.stage)

@@ -242,10 +242,12 @@ def q_changelog_idents_known_only(spark: SparkSession, sf_dir: str) -> DataFrame
 
 def _changelog_keyed(fx_: FixtureCatalogue, full: bool) -> DataFrame:
     src = fx_.sources
-    changes = src.changes if full else xw.only_new(src.changes, fx_.crosswalk, "changes", key_col="id")
+    ids = src.changes.select("id", "pkg_vsn_ref")
+    changes = ids if full else xw.only_new(ids, fx_.crosswalk, "changes", key_col="id")
+    narrow = cl.changelog_versions(changes, fx_.crosswalk, src.pkg_versions, RUN_TS, zero_is_null=not full)
+    keyed = dense_keys(narrow, "old_id", "id", 0 if full else xw.max_new_id(fx_.crosswalk, "changes"))
     idents = cl.idents_per_change(src.chg_vln_lnk, src.vulnerabilities) if full else None
-    rows = cl.changelog_rows(changes, fx_.crosswalk, src.pkg_versions, RUN_TS, zero_is_null=not full, idents=idents)
-    return dense_keys(rows, "old_id", "id", 0 if full else xw.max_new_id(fx_.crosswalk, "changes"))
+    return cl.with_text(keyed, src.changes, idents)
 
 
 def q_changelog_full(spark: SparkSession, sf_dir: str) -> DataFrame:
