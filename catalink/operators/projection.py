@@ -148,14 +148,14 @@ def joined_column(table: str, column: str) -> str:
     return f"{table}__{column}"
 
 
-def mapped_projection(df: DataFrame, target: str, mapping: dict | None = None) -> DataFrame:
+def mapped_projection(df: DataFrame, target: str, mapping: dict | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
     """Project ``df`` onto a target table by the declared mapping.
 
     Columns of the base table are taken by their own name; columns of other
     tables must already be joined in as ``{table}__{column}``.  A ``None``
     entry gives a typed NULL (P2).  Values are cast to the target's types;
     an epoch-seconds source for a timestamp target is converted with X7
-    (NULL stays NULL, 0 is 1970).
+    (NULL stays NULL, 0 is 1970).  ``keep`` columns are passed through as they are.
     """
     mapping = mapping or DECLARED_MAPPING[target]
     base = MAPPING_BASE[target]
@@ -171,4 +171,4 @@ def mapped_projection(df: DataFrame, target: str, mapping: dict | None = None) -
         if isinstance(dtype, (T.TimestampNTZType, T.TimestampType)):
             col = C.epoch_to_ts(col)
         cols.append(col.cast(dtype).alias(name))
-    return df.select(*cols)
+    return df.select(*cols, *keep)

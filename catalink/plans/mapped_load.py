@@ -91,22 +91,33 @@ def mapped_load(sources: SourceCatalogue, cut_lineage: bool = True) -> LoadResul
     rejects["links_with_unmapped_end"] = both.where(F.col("assm_id").isNull() | F.col("pkg_vrs_id").isNull())
     out["assm_pkg_vrs"] = both.where(F.col("assm_id").isNotNull() & F.col("pkg_vrs_id").isNotNull()).select("assm_id", "pkg_vrs_id")
 
-    # changelog: version key through the run's map, date from the version (0 -> NULL, X8),
-    # identifiers of known CVEs only (A5)
+    # changelog: narrow rows first - version key through the run's map, the
+    # version's time (0 -> NULL, X8), a new key - then the text and the list of
+    # known CVE names (A5) join in once, projected by the declared mapping.
     pv_time = sources.pkg_versions.select(F.col("id").alias("_pv"), F.col("time").alias("_pv_time"))
+    narrow = (
+        sources.changes.select("id", "pkg_vsn_ref")
+        .join(pv_time, F.col("pkg_vsn_ref") == pv_time["_pv"], "left")
+        .select(F.col("id").alias("old_id"), "pkg_vsn_ref", C.null_if_zero("_pv_time").alias("_time"))
+    )
+    rejects["changes_without_version"] = audit.rejected_by_parent(narrow, run_map(), "pkg_version", "pkg_vsn_ref")
+    keyed = numbered(remap(narrow, run_map(), "pkg_version", "pkg_vsn_ref", "_new_vrs"), "_new_id")
+    name_col = joined_column("vulnerabilities", "name")
     idents = known_idents_per_change(sources.chg_vln_lnk, sources.vulnerabilities).select(
-        F.col("chg_ref").alias("_chg"), F.col("log_ident").alias(joined_column("vulnerabilities", "name"))
+        F.col("chg_ref").alias("old_id"), F.col("log_ident").alias(name_col)
     )
-    changes = (
-        sources.changes.join(pv_time, sources.changes["pkg_vsn_ref"] == pv_time["_pv"], "left")
-        .join(idents, F.col("id") == F.col("_chg"), "left")
-        .withColumn(joined_column("pkg_versions", "time"), C.null_if_zero("_pv_time"))
-        .withColumn(joined_column("vulnerabilities", "name"), C.text_or_empty(joined_column("vulnerabilities", "name")))
+    text = sources.changes.select(F.col("id").alias("old_id"), "special")
+    complete = keyed.join(text, "old_id").join(idents, "old_id", "left").select(
+        F.col("old_id").alias("id"),
+        "special",
+        F.col("_new_vrs").alias("pkg_vsn_ref"),
+        F.col("_time").alias(joined_column("pkg_versions", "time")),
+        C.text_or_empty(name_col).alias(name_col),
+        "_new_id",
+        F.col("old_id"),
     )
-    projected = mapped_projection(changes, "changelog").withColumnRenamed("id", "old_id")
-    rejects["changes_without_version"] = audit.rejected_by_parent(projected, run_map(), "pkg_version", "pkg_vrs_id")
-    mapped = remap(projected.withColumnRenamed("pkg_vrs_id", "pkg_vsn_ref"), run_map(), "pkg_version", "pkg_vsn_ref", "pkg_vrs_id")
-    keyed = numbered(mapped, "id")
+    projected = mapped_projection(complete, "changelog", keep=("_new_id", "old_id"))
+    keyed = projected.drop("id").withColumnRenamed("_new_id", "id")
     out["changelog"] = keyed.select(*TARGET_SCHEMAS["changelog"].fieldNames())
     maps.append(crosswalk_rows(keyed, "changelog", new_col="id"))
 
