@@ -21,7 +21,13 @@ def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = DIMENSION_MAX_ROWS) -> DataFrame:
-    if row_count_at_most(df, max_rows):
+def broadcast_if_small(df: DataFrame, max_rows: int = DIMENSION_MAX_ROWS, bound_by: DataFrame | None = None) -> DataFrame:
+    """Hint a broadcast of ``df`` if it has at most ``max_rows`` rows.
+
+    ``bound_by`` is a frame known to have at least as many rows as ``df``
+    (e.g. the source table of a per-name aggregate); checking it instead lets
+    the ``limit`` stop its scan early rather than computing ``df`` twice.
+    """
+    if row_count_at_most(bound_by if bound_by is not None else df, max_rows):
         return F.broadcast(df)
     return df

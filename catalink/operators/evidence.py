@@ -89,7 +89,7 @@ def change_mentions(changes: DataFrame) -> DataFrame:
 
 def unknown_mentions(mentions: DataFrame, vulnerabilities: DataFrame) -> DataFrame:
     """F8: mentions of CVE names the vulnerability table does not know."""
-    names = broadcast_if_small(cve_ids_by_name(vulnerabilities).select(F.col("name").alias("cve")))
+    names = broadcast_if_small(cve_ids_by_name(vulnerabilities).select(F.col("name").alias("cve")), bound_by=vulnerabilities)
     return mentions.join(names, "cve", "left_anti")
 
 
@@ -187,7 +187,7 @@ def cve_fix_status(
     in_scope = scope.select("pkg_vrs_id")
     # One id per CVE name: bounded by the number of published CVEs, checked
     # once here and broadcast to both evidence sides.
-    cve_ids = broadcast_if_small(cve_ids_by_name(vulnerabilities))
+    cve_ids = broadcast_if_small(cve_ids_by_name(vulnerabilities), bound_by=vulnerabilities)
     log_ev = log_evidence(change_mentions(changelog), cve_ids).join(in_scope, "pkg_vrs_id", "left_semi")
     fixes = tracker_fixes(tracker, repo_version_key(scope), cve_ids)
     # ``fixes`` holds in-scope versions only, so the left join needs no scope filter of its own.

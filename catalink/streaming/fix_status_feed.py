@@ -44,7 +44,7 @@ def start_mention_feed(
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     changes = reader.parquet(changelog_dir)
-    names = broadcast_if_small(cve_ids_by_name(vulnerabilities)).withColumnRenamed("name", "cve")
+    names = broadcast_if_small(cve_ids_by_name(vulnerabilities), bound_by=vulnerabilities).withColumnRenamed("name", "cve")
     mentions = changes.select(
         F.col("id").alias("chg_id"), "pkg_vrs_id", F.explode(cve_tokens("log_desc")).alias("cve")
     ).join(names, "cve")
