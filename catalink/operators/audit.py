@@ -70,6 +70,15 @@ def link_audit_sample(links: DataFrame, crosswalk: DataFrame, n: int = 10) -> Da
     )
 
 
+def table_sample(df: DataFrame, cols: list[str], order: list[str], n: int = 10) -> DataFrame:
+    """O2: the first ``n`` rows by ``order`` (a sample for the log, repeatable).
+
+    The limit is the feature; ``orderBy().limit()`` is a per-task top-k, so
+    only ``n`` rows per task move.
+    """
+    return df.select(*cols).orderBy(*order).limit(n)
+
+
 def rejected_by_parent(df: DataFrame, crosswalk: DataFrame, table: str, ref_col: str) -> DataFrame:
     """rows whose parent reference has no mapping (the reject frame of a remap)."""
     keys = for_table(crosswalk, table).select(F.col("old_id").alias("_xw_old"))

@@ -345,6 +345,7 @@ select 'pkg_versions.src_pkg_ref', count(distinct src_pkg_ref), count(*) from fx
         "select l.asm_ref, l.pkg_vsn_ref, ma.new_id mapped_asm_id, mp.new_id mapped_pkg_id from "
         f"{LINKS_LEFT} where ma.new_id is null or mp.new_id is null order by l.asm_ref, l.pkg_vsn_ref limit 10"
     ),
+    "assembly_sample": oracle("select id old_id, prj_ref, time from fx_assemblies order by id limit 10"),
     "rejected_versions": oracle(
         f"""select v.id old_id, v.src_pkg_ref from fx_pkg_versions v where v.id not in {xw_ids('pkg_versions')}
 and not exists (select 1 from {XW} m where m.table_name = 'src_packages' and m.old_id = v.src_pkg_ref)"""

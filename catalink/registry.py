@@ -281,6 +281,11 @@ def q_link_audit_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.link_audit_sample(fx.sources.asm_pkg_vsn_lnk, fx.crosswalk, 10)
 
 
+def q_assembly_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a = fixtures(spark, sf_dir).sources.assemblies
+    return audit.table_sample(a, [F.col("id").alias("old_id"), "prj_ref", "time"], ["old_id"], 10)
+
+
 def q_rejected_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     fx = fixtures(spark, sf_dir)
     delta = xw.only_new(fx.sources.pkg_versions, fx.crosswalk, "pkg_versions", key_col="id")
@@ -385,6 +390,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "orphan_refs": q_orphan_refs,
     "link_audit": q_link_audit,
     "link_audit_sample": q_link_audit_sample,
+    "assembly_sample": q_assembly_sample,
     "rejected_versions": q_rejected_versions,
     "rejected_change_links": q_rejected_change_links,
     "cve_fix_upsert": q_cve_fix_upsert,

@@ -20,3 +20,15 @@ def test_upsert_idempotent(spark):
     once = merge_fix_status(existing, incoming)
     twice = merge_fix_status(once, incoming)
     assert _rows(once) == _rows(twice)
+
+
+def test_run_fix_status_without_evidence_leaves_table(spark, tmp_path):
+    from catalink.plans.cve_status import run_fix_status
+    from catalink.sources.sinks import write_replace
+
+    loc = str(tmp_path / "fixed")
+    write_replace(spark.createDataFrame([(1, 1, 2, 3, 4)], COLS), loc)
+    assert run_fix_status(spark, loc, spark.createDataFrame([], COLS)) == 0
+    assert _rows(spark.read.parquet(loc)) == [(1, 1, 2, 3, 4)]
+    assert run_fix_status(spark, loc, spark.createDataFrame([(1, 1, 9, None, None), (5, 5, 1, 1, None)], COLS)) == 2
+    assert _rows(spark.read.parquet(loc)) == [(1, 1, 2, 3, 4), (5, 5, 1, 1, None)]
