@@ -103,6 +103,8 @@ class _Steps:
         if self.stage is None:
             return dense_keys(delta, "old_id", key_col, base)
         staged, bounds = self.keep_with_bounds(delta, f"{name}-delta")
+        if bounds[0] is None:  # S10: nothing new in this step, skip numbering and the second write
+            return staged.withColumn(key_col, F.lit(None).cast("long"))
         return self.keep(dense_keys(staged, "old_id", key_col, base, bounds=bounds), f"{name}-keyed")
 
     def base(self, target: DataFrame | None, key: str, table: str) -> int:
@@ -183,11 +185,15 @@ def load_catalogue(
     )
     delta, bounds = steps.keep_with_bounds(only_new(named, steps.crosswalk, "src_packages"), "package-delta")
     package = _target(spark, targets, "package")
-    mapping, created = get_or_create_by_name(
-        delta, _or_empty(spark, package, "package"), base=steps.base(package, "pkg_id", "src_packages"),
-        materialize=lambda df: steps.keep(df, "package-created"), bounds=bounds,
-    )
-    mapping = steps.keep(mapping, "package-mapping")
+    if bounds is not None and bounds[0] is None:  # S10: no new source package
+        mapping = delta.withColumn("pkg_id", F.lit(None).cast("long"))
+        created = empty_target(spark, "package")
+    else:
+        mapping, created = get_or_create_by_name(
+            delta, _or_empty(spark, package, "package"), base=steps.base(package, "pkg_id", "src_packages"),
+            materialize=lambda df: steps.keep(df, "package-created"), bounds=bounds,
+        )
+        mapping = steps.keep(mapping, "package-mapping")
     out["package"] = _project_target(created, "package")
     steps.add(crosswalk_rows(mapping, "src_packages", new_col="pkg_id"))
 
@@ -199,12 +205,16 @@ def load_catalogue(
         remap(delta, steps.crosswalk, "src_packages", "src_pkg_ref", "pkg_id").drop("src_pkg_ref"), "version-delta"
     )
     pkg_version = _target(spark, targets, "pkg_version")
-    mapping, created = get_or_create_version(
-        mapped, _or_empty(spark, pkg_version, "pkg_version"), base=steps.base(pkg_version, "pkg_vrs_id", "pkg_versions"),
-        materialize=lambda df: steps.keep(df, "version-numbered"), bounds=bounds,
-    )
-    mapping = steps.keep(mapping, "version-mapping")
-    out["pkg_version"] = _project_target(steps.keep(created, "version-created"), "pkg_version")
+    if bounds is not None and bounds[0] is None:  # S10: no new version
+        mapping = mapped.select("old_id", "pkg_id", "version", F.lit(None).cast("long").alias("pkg_vrs_id"))
+        out["pkg_version"] = empty_target(spark, "pkg_version")
+    else:
+        mapping, created = get_or_create_version(
+            mapped, _or_empty(spark, pkg_version, "pkg_version"), base=steps.base(pkg_version, "pkg_vrs_id", "pkg_versions"),
+            materialize=lambda df: steps.keep(df, "version-numbered"), bounds=bounds,
+        )
+        mapping = steps.keep(mapping, "version-mapping")
+        out["pkg_version"] = _project_target(steps.keep(created, "version-created"), "pkg_version")
     steps.add(crosswalk_rows(mapping, "pkg_versions", new_col="pkg_vrs_id"))
 
     # 5-6. urgency and CVE names
@@ -219,7 +229,8 @@ def load_catalogue(
         base = steps.base(_target(spark, targets, target_name), key, source_name)
         if full:
             delta, bounds = steps.keep_with_bounds(delta, f"{target_name}-delta")
-            names = steps.keep(distinct_names_keyed(delta, name_col, key, base, bounds), f"{target_name}-names")
+            names = distinct_names_keyed(delta, name_col, key, base, bounds)
+            names = names if bounds is not None and bounds[0] is None else steps.keep(names, f"{target_name}-names")
             out[target_name] = _project_target(names, target_name)
             pairs = delta.join(names.select(name_col, key), name_col)
         else:
