@@ -38,7 +38,12 @@ def write_crosswalk(df: DataFrame, location: str, mode: str = "append") -> None:
     Partitioning by ``table_name`` lets the per-table filter of every remap
     prune the scan to one folder.
     """
-    df.repartition("table_name").write.mode(mode).partitionBy("table_name").parquet(location)
+    # A rebuild replaces the whole crosswalk, whatever the session's partition
+    # overwrite mode: a table missing from the new pairs must not keep old ones.
+    writer = df.repartition("table_name").write.mode(mode).partitionBy("table_name")
+    if mode == "overwrite":
+        writer = writer.option("partitionOverwriteMode", "static")
+    writer.parquet(location)
 
 
 def _fs_and_path(spark: SparkSession, location: str):

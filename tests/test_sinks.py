@@ -18,3 +18,27 @@ def test_write_swap_replaces_a_table_it_reads(spark, tmp_path):
 
 def test_missing_crosswalk_is_empty(spark, tmp_path):
     assert read_crosswalk(spark, str(tmp_path / "nope")).count() == 0
+
+
+def test_crosswalk_rebuild_replaces_every_table(spark, tmp_path):
+    from catalink.sources.sinks import write_crosswalk
+
+    loc = str(tmp_path / "xw")
+    old = spark.createDataFrame([("a", 1, 10), ("b", 2, 20)], "table_name string, old_id long, new_id long")
+    write_crosswalk(old, loc, mode="overwrite")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        write_crosswalk(spark.createDataFrame([("a", 1, 11)], "table_name string, old_id long, new_id long"), loc, mode="overwrite")
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+    got = sorted(map(tuple, read_crosswalk(spark, loc).collect()))
+    assert got == [("a", 1, 11)]
+
+
+def test_scale_settings_bound_partitions():
+    from catalink.session import scale_settings
+
+    small = scale_settings(10 << 20, 8)
+    assert int(small["spark.sql.shuffle.partitions"]) == 16
+    big = scale_settings(100 << 40, 8000)
+    assert int(big["spark.sql.shuffle.partitions"]) == (100 << 40) // (256 << 20)
