@@ -85,22 +85,25 @@ def get_or_create_version(
 
     ``rows`` holds ``old_id``, the key columns and the target's attributes
     (already cleaned).  Among new rows of one key, the lowest old id supplies
-    the attributes.  Returns ``(mapping (old_id, *keys, id), created rows)``.
+    the attributes (taken in the same aggregate that finds that id, so no
+    join back to the rows).  Returns ``(mapping (old_id, *keys, id), created rows)``.
     ``existing`` is reduced to one id per key first, so a duplicate there
     cannot multiply mapping rows.
     """
     keys = list(key_cols)
+    attrs = [c for c in rows.columns if c not in keys and c != "old_id"]
     known = existing.groupBy(*keys).agg(F.min(id_col).alias(id_col))
-    firsts = rows.groupBy(*keys).agg(F.min("old_id").alias("_first"))
+    # The lowest old id of each key and that row's attributes in one partial
+    # aggregate: a struct orders by its first field, and old ids are unique.
+    firsts = rows.groupBy(*keys).agg(F.min(F.struct("old_id", *attrs)).alias("_f")).select(
+        *keys, F.col("_f.old_id").alias("_first"), *[F.col(f"_f.{a}").alias(a) for a in attrs]
+    )
     fresh = firsts.join(known.select(*keys), keys, "left_anti")
     start = max_value(existing, id_col) if base is None else base
     numbered = dense_keys(fresh, "_first", id_col, start, bounds=bounds)
     if materialize is not None:
         numbered = materialize(numbered)
-    attrs = [c for c in rows.columns if c not in keys and c != "old_id"]
-    created = numbered.join(
-        rows.select(F.col("old_id").alias("_first"), *attrs), "_first"
-    ).select(id_col, *keys, *attrs)
+    created = numbered.select(id_col, *keys, *attrs)
     keyed = known.unionByName(numbered.select(*keys, id_col))
     mapping = rows.select("old_id", *keys).join(keyed, keys)
     return mapping, created
