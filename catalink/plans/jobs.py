@@ -16,8 +16,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators.evidence import repo_versions
-from ..sources.catalog import SourceCatalogue, read_crosswalk, read_sources, read_target, read_tracker
+from ..sources.catalog import SourceCatalogue, read_crosswalk, read_target, read_tracker
 from ..sources.schemas import TARGET_SCHEMAS
 from ..sources.sinks import with_row_count, write_append, write_crosswalk, write_replace
 from .cve_status import fix_status_rows, run_fix_status
@@ -96,8 +95,6 @@ def run_integrity_report(spark: SparkSession, sources: SourceCatalogue, targets:
 
 
 __all__ = [
-    "read_sources",
-    "repo_versions",
     "run_cve_fix_status",
     "run_full_load",
     "run_incremental_load",
