@@ -220,6 +220,8 @@ union all select 'changelog', count(*) from m_chg
 union all select 'urgency', count(*) from fx_urgency
 union all select 'id_mappings', (select count(*) from m_proj) + (select count(*) from m_asm) + (select count(*) from m_src)
   + (select count(*) from m_ver) + (select count(*) from m_chg) + (select count(*) from fx_urgency)
+union all select 'reject:projects_without_publisher', count(*) from fx_projects p
+  where not exists (select 1 from fx_publishers b where b.id = p.pbr_ref)
 union all select 'reject:assemblies_without_project', count(*) from fx_assemblies where id not in (select id from m_asm)
 union all select 'reject:versions_without_package', count(*) from fx_pkg_versions where id not in (select id from m_ver)
 union all select 'reject:links_with_unmapped_end', (select count(*) from fx_asm_pkg_vsn_lnk) - (select count(*) from m_link)

@@ -25,7 +25,7 @@ from ..operators.changelog import known_idents_per_change
 from ..operators.crosswalk import remap
 from ..operators.keys import crosswalk_rows, dense_keys, key_bounds, union_crosswalks
 from ..operators.natural_key import get_or_create_by_name
-from ..operators.projection import joined_column, mapped_projection, projects_with_vendor
+from ..operators.projection import joined_column, mapped_projection, projects_with_vendor, rejected_projects
 from ..sources.catalog import SourceCatalogue, empty_target
 from ..sources.sinks import StageArea
 from ..sources.schemas import TARGET_SCHEMAS
@@ -54,6 +54,7 @@ def mapped_load(sources: SourceCatalogue, cut_lineage: bool = True) -> LoadResul
         return union_crosswalks(*maps)
 
     # project: projects joined with publishers (vendor), new key per row
+    rejects["projects_without_publisher"] = rejected_projects(sources.projects, sources.publishers)
     staged = projects_with_vendor(sources.projects, sources.publishers).withColumnRenamed("vendor", joined_column("publishers", "name"))
     projected = mapped_projection(staged.withColumnRenamed("old_id", "id"), "project")
     keyed = numbered(projected.withColumnRenamed("prj_id", "old_id"), "prj_id")
