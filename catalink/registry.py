@@ -7,6 +7,7 @@ the matching DuckDB SQL.
 
 from __future__ import annotations
 
+import atexit
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -324,8 +325,21 @@ def q_cve_fix_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # --- step 10: whole flows ----------------------------------------------------------------
+def _release_at_exit(result):
+    """The returned frames read the run's staged files, so they are dropped when the process ends."""
+
+    def release() -> None:
+        try:
+            result.release()
+        except Exception:  # noqa: BLE001 - the JVM may already be gone
+            pass
+
+    atexit.register(release)
+    return result
+
+
 def q_full_load_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return full_load(fixtures(spark, sf_dir).sources, RUN_TS).counts()
+    return _release_at_exit(full_load(fixtures(spark, sf_dir).sources, RUN_TS)).counts()
 
 
 def existing_targets(fx: FixtureCatalogue) -> dict[str, DataFrame]:
@@ -342,11 +356,11 @@ def existing_targets(fx: FixtureCatalogue) -> dict[str, DataFrame]:
 
 def q_incremental_load_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     fx = fixtures(spark, sf_dir)
-    return incremental_load(fx.sources, RUN_TS, existing_targets(fx), fx.crosswalk).counts()
+    return _release_at_exit(incremental_load(fx.sources, RUN_TS, existing_targets(fx), fx.crosswalk)).counts()
 
 
 def q_mapped_load_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    result = mapped_load(fixtures(spark, sf_dir).sources)
+    result = _release_at_exit(mapped_load(fixtures(spark, sf_dir).sources))
     rejects = audit.row_counts([(f"reject:{name}", df) for name, df in result.rejects.items()])
     return result.counts().unionByName(rejects)
 
