@@ -121,7 +121,7 @@ class Rolling:
         if n <= 0:
             return np.zeros(0, np.uint64)
         raw = (self.prefix[length : length + n] - self.prefix[:n]) * type(self)._inv[:n]
-        return mix(raw + np.uint64(length) * _ODD)
+        return mix(raw + np.uint64(length * int(_ODD) % (1 << 64)))
 
 
 def word_bounds(block: Block, is_space: np.ndarray = IS_SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
