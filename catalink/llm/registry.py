@@ -6,11 +6,25 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, html_text, quality, sharding, substring_dedup, suffix_dedup, url_filter
+from . import (
+    chat,
+    decontaminate,
+    html_text,
+    ngram_join,
+    packing,
+    quality,
+    sharding,
+    substring_dedup,
+    suffix_dedup,
+    url_filter,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": suffix_dedup.op1_suffix_dedup,
+    "op2_string_tiling": decontaminate.op2_string_tiling,
     "op3_window_dedup": substring_dedup.op3_window_dedup,
+    "op4_ngram_join": ngram_join.op4_ngram_join,
+    "op5_best_fit": packing.op5_best_fit,
     "op6_adaptive_rules": quality.op6_adaptive_rules,
     "op7_jump_shards": sharding.op7_jump_shards,
     "op8_layout_text": html_text.op8_layout_text,
