@@ -76,19 +76,42 @@ def _attrs(raw: str) -> dict[str, str]:
     return out
 
 
-def _pop_implied(stack: list[Node], ends: frozenset[str], bar: frozenset[str]) -> None:
-    for i in range(len(stack) - 1, 0, -1):
-        if stack[i].tag in ends:
-            del stack[i:]
-            return
-        if stack[i].tag in bar:
+class OpenElements:
+    """The stack of open elements, with the number of each kind, so that most searches need no walk."""
+
+    def __init__(self, root: Node):
+        self.stack = [root]
+        self.count: dict[str, int] = {}
+
+    def push(self, node: Node) -> None:
+        self.stack.append(node)
+        self.count[node.tag] = self.count.get(node.tag, 0) + 1
+
+    def cut(self, at: int) -> None:
+        for node in self.stack[at:]:
+            self.count[node.tag] -= 1
+        del self.stack[at:]
+
+    def holds(self, tags: frozenset[str]) -> bool:
+        return any(self.count.get(t) for t in tags)
+
+    def end_implied(self, ends: frozenset[str], bar: frozenset[str]) -> None:
+        """Close the innermost of ``ends``, unless one of ``bar`` is open inside it."""
+        if not self.holds(ends):
             return
+        for i in range(len(self.stack) - 1, 0, -1):
+            if self.stack[i].tag in ends:
+                self.cut(i)
+                return
+            if self.stack[i].tag in bar:
+                return
 
 
 def build_tree(page: str) -> Node:
     """The element tree; children are nodes and strings."""
     root = Node("html", {})
-    stack, at, end = [root], 0, len(page)
+    opened, at, end = OpenElements(root), 0, len(page)
+    stack = opened.stack
     lowered = None
 
     def text(s: str) -> None:
@@ -98,7 +121,7 @@ def build_tree(page: str) -> Node:
     def push(tag: str, attrs: dict[str, str]) -> Node:
         node = Node(tag, attrs)
         stack[-1].children.append(node)
-        stack.append(node)
+        opened.push(node)
         return node
 
     while at < end:
@@ -116,28 +139,31 @@ def build_tree(page: str) -> Node:
             if tag == "br":
                 stack[-1].children.append(Node("br", {}))
                 continue
+            if not opened.count.get(tag):
+                if tag == "p":
+                    stack[-1].children.append(Node("p", {}))
+                continue
             for i in range(len(stack) - 1, 0, -1):
                 if stack[i].tag == tag:
-                    del stack[i:]
+                    opened.cut(i)
                     break
                 if stack[i].tag in SCOPE and tag not in SCOPE and tag not in ("tr", "thead", "tbody", "tfoot"):
                     break
-            else:
-                if tag == "p":
-                    stack[-1].children.append(Node("p", {}))
             continue
         if tag in ("html", "body"):
-            _pop_implied(stack, frozenset(["head"]), frozenset())
-            if tag == "html" or any(n.tag == "body" for n in stack):
+            opened.end_implied(frozenset(["head"]), frozenset())
+            if tag == "html":
                 for k, v in _attrs(raw).items():
-                    root.attrs.setdefault(k, v) if tag == "html" else None
+                    root.attrs.setdefault(k, v)
+                continue
+            if opened.count.get("body"):
                 continue
         if stack[-1].tag == "head" and tag not in HIDDEN and tag not in ("meta", "link", "base"):
-            stack.pop()
+            opened.cut(len(stack) - 1)
         if tag in CLOSES_P:
-            _pop_implied(stack, frozenset(["p"]), SCOPE)
+            opened.end_implied(frozenset(["p"]), SCOPE)
         if tag in IMPLIED_END:
-            _pop_implied(stack, *IMPLIED_END[tag])
+            opened.end_implied(*IMPLIED_END[tag])
         if tag in ("td", "th") and stack[-1].tag in ("table", "thead", "tbody", "tfoot"):
             push("tr", {})  # a cell without a row opens one
         attrs = _attrs(raw)
@@ -147,14 +173,16 @@ def build_tree(page: str) -> Node:
         push(tag, attrs)
         if tag in RAW:
             if lowered is None:
-                lowered = page.lower() if len(page.lower()) == len(page) else page
+                lowered = page.lower()
+                if len(lowered) != len(page):  # some letters grow in lower case
+                    lowered = page
             stop = lowered.find(f"</{tag}", at)
             stop = end if stop < 0 else stop
             if tag in ("textarea", "title"):
                 text(page[at:stop])
             close = page.find(">", stop)
             at = end if close < 0 else close + 1
-            stack.pop()
+            opened.cut(len(stack) - 1)
     return root
 
 
