@@ -19,7 +19,7 @@ import json
 import sys
 
 from .plans import jobs
-from .session import build_session
+from .session import build_session, scale_settings
 from .sources.catalog import read_sources
 
 
@@ -42,9 +42,13 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--format", default="parquet")
     parser.add_argument("--option", action="append", default=[])
     parser.add_argument("--master", default=None)
+    parser.add_argument("--input-gb", type=float, default=None, help="input size; sets partition sizes for it")
+    parser.add_argument("--cores", type=int, default=8, help="cores of the cluster, with --input-gb")
     args = parser.parse_args(argv)
 
-    spark = build_session(args.master)
+    # Sized for the input where it is given; the session's own settings stand otherwise.
+    sized = scale_settings(int(args.input_gb * (1 << 30)), args.cores) if args.input_gb else None
+    spark = build_session(args.master, extra=sized)
     run_ts = args.run_ts or dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
     opts = _options(args.option)
 
@@ -62,7 +66,7 @@ def main(argv: list[str] | None = None) -> int:
     elif args.job == "fix-status":
         if not args.tracker:
             parser.error("--tracker is required for fix-status")
-        out = {"incoming_rows": jobs.run_cve_fix_status(spark, args.targets, args.tracker, args.table)}
+        out = jobs.run_cve_fix_status(spark, args.targets, args.tracker, args.table)
     else:
         rows = jobs.run_integrity_report(spark, sources(), args.targets).collect()
         out = {r["check_name"]: r["value"] for r in rows}

@@ -54,9 +54,25 @@ def text_or_empty(col: Column | str) -> Column:
     return F.coalesce(_c(col), F.lit(EMPTY))
 
 
+# Fixed value: whole seconds that a timestamp (64-bit microseconds) can hold on either side of 1970.
+MAX_EPOCH_SECONDS = 9_223_372_036_000 - 86_400
+
+
+def epoch_in_range(col: Column | str) -> Column:
+    """Whether a timestamp can hold these epoch seconds (NULL: yes)."""
+    return F.coalesce(_c(col).between(-MAX_EPOCH_SECONDS, MAX_EPOCH_SECONDS), F.lit(True))
+
+
 def epoch_to_ts(col: Column | str) -> Column:
-    """Epoch seconds to UTC timestamp; NULL stays NULL, 0 is 1970-01-01."""
-    return _epoch() + F.make_dt_interval(secs=_c(col).cast("decimal(18,6)"))
+    """Epoch seconds to UTC timestamp; NULL stays NULL, 0 is 1970-01-01.
+
+    Any number of seconds a timestamp can hold is converted; others give NULL
+    and are listed by ``epoch_in_range``, they never fail the job.
+    """
+    seconds = F.when(epoch_in_range(col), _c(col).cast("long"))
+    return _epoch() + F.make_dt_interval(
+        days=F.floor(seconds / F.lit(86400)).cast("int"), secs=F.pmod(seconds, F.lit(86400)).cast("decimal(18,6)")
+    )
 
 
 def epoch_to_ts_zero_null(col: Column | str) -> Column:

@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import clean as C
-from ..functions.sizing import broadcast_if_small
 from .crosswalk import for_table
 
 # Fixed value: separator between CVE names in a change's identifier list.
@@ -22,7 +21,7 @@ SEPARATOR = ", "
 
 
 def _names(vulnerabilities: DataFrame) -> DataFrame:
-    return broadcast_if_small(vulnerabilities.select(F.col("id").alias("vln_ref"), F.col("name").alias("_vname")))
+    return vulnerabilities.select(F.col("id").alias("vln_ref"), F.col("name").alias("_vname"))
 
 
 def idents_per_change(chg_vln_lnk: DataFrame, vulnerabilities: DataFrame) -> DataFrame:
@@ -106,16 +105,3 @@ def with_text(rows: DataFrame, changes: DataFrame, idents: DataFrame | None = No
     if idents is None:
         return out.withColumn("log_ident", F.lit(C.EMPTY))
     return attach_idents(out, idents, key="old_id")
-
-
-def changelog_rows(
-    changes: DataFrame,
-    crosswalk: DataFrame,
-    pkg_versions: DataFrame,
-    run_ts: dt.datetime | str,
-    zero_is_null: bool = True,
-    idents: DataFrame | None = None,
-) -> DataFrame:
-    """Target ``changelog`` rows (without new ids) plus ``old_id``."""
-    narrow = changelog_versions(changes, crosswalk, pkg_versions, run_ts, zero_is_null)
-    return with_text(narrow, changes, idents)

@@ -66,34 +66,30 @@ def crosswalk_sizes(crosswalk: DataFrame) -> DataFrame:
     return crosswalk.groupBy("table_name").agg(F.count(F.lit(1)).alias("n_mappings"))
 
 
-# Fixed value: candidate key columns, tried in this order, when the crosswalk
-# is rebuilt from loaded target tables.
-KEY_COLUMN_CANDIDATES = ("id", "prj_id", "assm_id", "pkg_id", "pkg_vrs_id", "urg_id")
-
-
-def key_column_of(df: DataFrame) -> str:
-    for name in KEY_COLUMN_CANDIDATES:
-        if name in df.columns:
-            return name
-    raise ValueError(f"no key column among {KEY_COLUMN_CANDIDATES} in {df.columns}")
+# Fixed value: the key column of each target that has one of its own.
+TARGET_KEY_COLUMNS = {
+    "project": "prj_id",
+    "assembly": "assm_id",
+    "package": "pkg_id",
+    "pkg_version": "pkg_vrs_id",
+    "changelog": "id",
+    "urgency": "urg_id",
+    "vulnerabilities": "id",
+}
 
 
 def crosswalk_from_targets(targets: dict[str, DataFrame]) -> DataFrame:
-    """K7: rebuild pairs from loaded targets, each table's key mapped to itself.
+    """K7: rebuild pairs from loaded targets, each table's own key mapped to itself.
 
-    As written in the reference this gives old = new (the targets no longer
-    hold the source ids); it is kept as that identity map.
+    The targets no longer hold the source ids, hence old = new.  The key is
+    named per table (repairing a choice by column order, which took a foreign
+    key for the assembly and the version), so pairs stay unique on
+    ``(table_name, old_id)``.
     """
     frames = []
     for table, df in targets.items():
-        key = key_column_of(df)
-        frames.append(
-            df.select(
-                F.lit(table).alias("table_name"),
-                F.col(key).cast("long").alias("old_id"),
-                F.col(key).cast("long").alias("new_id"),
-            )
-        )
+        key = F.col(TARGET_KEY_COLUMNS[table]).cast("long")
+        frames.append(df.select(F.lit(table).alias("table_name"), key.alias("old_id"), key.alias("new_id")))
     out = frames[0]
     for frame in frames[1:]:
         out = out.unionByName(frame)

@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import clean as C
-from ..functions.sizing import broadcast_if_small
 from ..sources.schemas import TARGET_SCHEMAS
 
 
@@ -21,10 +20,9 @@ def projects_with_vendor(projects: DataFrame, publishers: DataFrame) -> DataFram
     """J1 + S3: stage projects with their publisher's name as ``vendor``.
 
     Inner join: a project whose publisher is missing is dropped, as in the
-    source query (``rejected_projects`` gives those rows).  Publishers are a
-    small dimension and are broadcast behind a size check.
+    source query (``rejected_projects`` gives those rows).
     """
-    pubs = broadcast_if_small(publishers.select(F.col("id").alias("_pub_id"), F.col("name").alias("vendor")))
+    pubs = publishers.select(F.col("id").alias("_pub_id"), F.col("name").alias("vendor"))
     return projects.join(pubs, projects["pbr_ref"] == pubs["_pub_id"]).select(
         F.col("id").alias("old_id"), "name", "rls_ref", "description", "vendor", "arc_ref"
     )

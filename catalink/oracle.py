@@ -14,7 +14,7 @@ RUN_TS = "TIMESTAMP '2025-02-11 00:00:00'"
 # Shared CTE blocks.
 SCOPE = """
 scope as (select pkg_vrs_id, pkg_name, version from fx_repo_pkg_version where pkg_vrs_id in (select l_partkey from lineitem)),
-chg as (select c.id, c.pkg_vsn_ref pkg_vrs_id, c.special from fx_changes c where c.pkg_vsn_ref in (select pkg_vrs_id from scope)),
+chg as (select c.id, c.pkg_vsn_ref pkg_vrs_id, c.special from fx_changes c where c.pkg_vsn_ref in (select l_partkey from lineitem)),
 vul as (select name, max(id) vid from fx_vulnerabilities where name is not null group by name),
 vkey as (select pkg_name, version, max(pkg_vrs_id) pkg_vrs_id from scope where pkg_name is not null and pkg_name <> '' group by pkg_name, version)
 """
@@ -173,8 +173,8 @@ i_asm_keys as (select id old_id, {xw_max('assemblies')} + row_number() over (ord
 {packages_ctes(f"greatest(coalesce((select max(pkg_id) from ex), 0), {xw_max('src_packages')})")},
 {CLEAN_VERSIONS},
 {versions_ctes(f"greatest(coalesce((select max(pkg_vrs_id) from exv), 0), {xw_max('pkg_versions')})")},
-i_urg as (select id from fx_urgency where name is not null),
-i_vul as (select id from fx_vulnerabilities where name is not null),
+i_urg as (select id, name from fx_urgency where name is not null and id not in {xw_ids('urgency')}),
+i_vul as (select id, name from fx_vulnerabilities where name is not null and id not in {xw_ids('vulnerabilities')}),
 all_asm as (select old_id, new_id from {XW} where table_name = 'assemblies' union all select old_id, new_id from i_asm_keys),
 all_ver as (select old_id, new_id from {XW} where table_name = 'pkg_versions' union all select old_id, pkg_vrs_id from ver_mapping),
 ex_pairs as (select distinct ma.new_id assm_id, mp.new_id pkg_vrs_id from fx_asm_pkg_vsn_lnk l
@@ -237,7 +237,8 @@ ORACLE: dict[str, str] = {
     # --- step 2: CVE evidence ------------------------------------------------
     "cve_mentions": oracle("select chg_id, pkg_vrs_id, cve from mentions", MENTIONS),
     "cve_unknown_mentions": oracle(
-        "select chg_id, cve from mentions where cve not in (select name from fx_vulnerabilities where name is not null)",
+        "select chg_id, cve from mentions where cve not in (select name from fx_vulnerabilities where name is not null) "
+        "and pkg_vrs_id in (select l_partkey from lineitem)",
         MENTIONS,
     ),
     "first_change_per_version": oracle(
@@ -247,6 +248,14 @@ ORACLE: dict[str, str] = {
     "tracker_fixes": oracle(
         "select pkg_vrs_id, vid vulnerability_id from trk_fix", SCOPE + "," + TRACKER_FIXES
     ),
+    "tracker_unknown_cves": oracle(
+        """select distinct dc.cve_name, k.pkg_vrs_id from fx_trk_cve dc join fx_trk_cve_rep cr on dc.cve_id = cr.cve_id
+join fx_trk_pkg_version pv on pv.pkg_vrs_id = cr.fixed_pkg_vrs_id join fx_trk_package p on p.pkg_id = pv.pkg_id
+join vkey k on k.pkg_name = p.pkg_name and k.version is not distinct from pv.version
+where not exists (select 1 from vul v where v.name = dc.cve_name)""",
+        SCOPE,
+    ),
+    "changes_in_scope": oracle("select count(*) n_changes from chg", SCOPE),
     "cve_fix_status": oracle(FLAGSHIP_SELECT, FLAGSHIP_CTES),
     # --- step 3: staging and cleaning --------------------------------------------
     "projects_with_vendor": oracle(
@@ -292,10 +301,15 @@ newkeys as (select * from newp union all select * from newa)
     ),
     "crosswalk_sizes": oracle(f"select table_name, count(*) n_mappings from {XW} group by table_name"),
     "crosswalk_from_targets": oracle(
-        "select 'urgency' table_name, id old_id, id new_id from fx_urgency "
-        "union all select 'vulnerabilities', id, id from fx_vulnerabilities "
-        "union all select 'pkg_version', pkg_vrs_id, pkg_vrs_id from fx_repo_pkg_version"
+        f"""select 'project' table_name, new_id old_id, new_id from {XW} where table_name = 'projects'
+union all select 'assembly', new_id, new_id from {XW} where table_name = 'assemblies'
+union all select 'package', pkg_id, pkg_id from ex
+union all select 'pkg_version', pkg_vrs_id, pkg_vrs_id from exv
+union all select 'changelog', id, id from fx_changes
+union all select 'urgency', id, id from fx_urgency""",
+        PACKAGES + "," + CLEAN_VERSIONS + "," + VERSIONS,
     ),
+    "crosswalk_round_trip": oracle(f"select table_name, old_id, new_id from {XW}"),
     # --- step 5: natural keys -------------------------------------------------------
     "package_get_or_create": oracle("select old_id, pkg_name, pkg_id from pkg_mapping", PACKAGES),
     "version_get_or_create": oracle(

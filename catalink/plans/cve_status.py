@@ -3,7 +3,7 @@
 ``fix_status_rows`` computes the rows to upsert; ``merge_fix_status`` applies
 them with first-non-null-wins semantics; ``run_fix_status`` reads the saved
 table, merges and replaces it by write-then-swap, and returns the number of
-incoming rows (counted while writing, not by a second scan).
+incoming rows (counted while staging, not by a second scan).
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from ..operators.evidence import cve_fix_status, repo_versions
 from ..operators.merge import upsert_first_non_null
 from ..sources.catalog import TrackerCatalogue, conform, empty_target, read_target
 from ..sources.schemas import TARGET_KEYS, TARGET_SCHEMAS
-from ..sources.sinks import is_empty, with_row_count, write_swap
+from ..sources.sinks import StageArea, recover_swap, write_swap
 
 NUMBERS = ("changelog_string_number", "fixed_tracker_string_number")
 
@@ -49,17 +49,21 @@ def run_fix_status(
     incoming: DataFrame,
     existing: DataFrame | None = None,
 ) -> int:
-    """Merge ``incoming`` into the table at ``table_location`` and replace it."""
+    """Merge ``incoming`` into the table at ``table_location`` and replace it.
+
+    A swap that an earlier run did not finish is mended first, so a table that
+    a crash moved aside is never taken for an empty one.  ``incoming`` is
+    computed once: staged, and counted while it is written.
+    """
+    found = recover_swap(spark, table_location)
     if existing is None:
-        try:
-            existing = read_target(spark, table_location, "fixed_cve_status")
-            existing.schema  # noqa: B018 - resolve now so a missing table is caught here
-        except Exception as exc:  # noqa: BLE001
-            if "PATH_NOT_FOUND" not in str(exc) and "does not exist" not in str(exc):
-                raise
-            existing = empty_target(spark, "fixed_cve_status")
-    if is_empty(incoming):
-        return 0  # S10: nothing to merge, the table stays as it is
-    counted, obs = with_row_count(incoming, "fix_status_incoming")
-    write_swap(merge_fix_status(existing, counted), table_location)
-    return obs.rows()
+        existing = read_target(spark, table_location, "fixed_cve_status") if found else empty_target(spark, "fixed_cve_status")
+    stage = StageArea(spark, "fix-status")
+    try:
+        staged, seen = stage.put(incoming, "incoming", {"rows": F.count(F.lit(1))})
+        rows = int(seen.get("rows") or 0)
+        if rows:  # S10: else nothing to merge, the table stays as it is
+            write_swap(merge_fix_status(existing, staged), table_location)
+        return rows
+    finally:
+        stage.release()

@@ -7,7 +7,10 @@ Folder layout (any Hadoop file system):
 * ``{targets}/_id_mappings`` - the crosswalk, partitioned by ``table_name``;
 * ``{targets}/_rejects/{name}`` - rows a step could not load, per run.
 
-Counts come from observations made while writing, not from extra scans.
+A load writes everything aside and publishes it together (``PendingRun``); a
+load that starts mends what an earlier one left behind, so a crash at any
+point neither loses nor repeats rows.  Counts come from observations made
+while writing, not from extra scans.
 """
 
 from __future__ import annotations
@@ -18,7 +21,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.catalog import SourceCatalogue, read_crosswalk, read_target, read_tracker
 from ..sources.schemas import TARGET_SCHEMAS
-from ..sources.sinks import with_row_count, write_append, write_crosswalk, write_replace
+from ..sources.sinks import PendingRun, recover_runs, with_row_count, write_crosswalk, write_replace
+from ..operators import evidence as ev
 from .cve_status import fix_status_rows, run_fix_status
 from .integrity import integrity_report
 from .load import LoadResult, full_load, incremental_load
@@ -35,58 +39,81 @@ def _path_exists(spark: SparkSession, location: str) -> bool:
     return path.getFileSystem(conf).exists(path)
 
 
-def _write_result(result: LoadResult, targets: str, append: bool) -> dict[str, int]:
-    counts: dict[str, int] = {}
-    observations = []
-    for table, df in result.targets.items():
-        counted, obs = with_row_count(df, f"rows-{table}")
-        (write_append if append else write_replace)(counted, f"{targets}/{table}")
-        observations.append((table, obs))
-    counted, obs = with_row_count(result.crosswalk, "rows-id_mappings")
-    write_crosswalk(counted, f"{targets}/{CROSSWALK_DIR}", mode="append" if append else "overwrite")
-    observations.append(("id_mappings", obs))
-    for name, df in result.rejects.items():
-        counted, obs = with_row_count(df, f"rejects-{name}")
-        write_replace(counted, f"{targets}/{REJECTS_DIR}/{name}")
-        observations.append((f"reject:{name}", obs))
-    for name, obs in observations:
-        counts[name] = obs.rows()
-    result.release()
-    return counts
+def _write_result(spark: SparkSession, result: LoadResult, targets: str, append: bool) -> dict[str, int]:
+    try:
+        run = PendingRun(spark, targets, append)
+        observations = []
+        for table, df in result.targets.items():
+            counted, obs = with_row_count(df, f"rows-{table}")
+            write_replace(counted, run.path(table))
+            observations.append((table, obs))
+        counted, obs = with_row_count(result.crosswalk, "rows-id_mappings")
+        write_crosswalk(counted, run.path(CROSSWALK_DIR), mode="overwrite")
+        observations.append(("id_mappings", obs))
+        for name, df in result.rejects.items():
+            counted, obs = with_row_count(df, f"rejects-{name}")
+            write_replace(counted, run.path(f"{REJECTS_DIR}/{name}"))
+            observations.append((f"reject:{name}", obs))
+        run.publish()
+        return {name: obs.rows() for name, obs in observations}
+    finally:
+        result.release()
 
 
 def run_full_load(spark: SparkSession, sources: SourceCatalogue, targets: str, run_ts: dt.datetime | str) -> dict[str, int]:
     """Replace every target table and the crosswalk."""
-    return _write_result(full_load(sources, run_ts), targets, append=False)
+    recover_runs(spark, targets)
+    return _write_result(spark, full_load(sources, run_ts), targets, append=False)
 
 
 def run_incremental_load(
     spark: SparkSession, sources: SourceCatalogue, targets: str, run_ts: dt.datetime | str
 ) -> dict[str, int]:
     """Append rows missing from the crosswalk; a first run starts from empty targets."""
+    recover_runs(spark, targets)
     existing = {
         table: read_target(spark, f"{targets}/{table}", table)
         for table in TARGET_SCHEMAS
         if table != "fixed_cve_status" and _path_exists(spark, f"{targets}/{table}")
     }
     crosswalk = read_crosswalk(spark, f"{targets}/{CROSSWALK_DIR}")
-    return _write_result(incremental_load(sources, run_ts, existing, crosswalk), targets, append=True)
+    return _write_result(spark, incremental_load(sources, run_ts, existing, crosswalk), targets, append=True)
 
 
 def run_mapped_load(spark: SparkSession, sources: SourceCatalogue, targets: str) -> dict[str, int]:
     """Load by the declared mapping, replacing the targets."""
-    return _write_result(mapped_load(sources), targets, append=False)
+    recover_runs(spark, targets)
+    return _write_result(spark, mapped_load(sources), targets, append=False)
+
 
+def run_cve_fix_status(spark: SparkSession, targets: str, tracker_base: str, table: str | None = None) -> dict[str, int]:
+    """Merge fix evidence into ``fixed_cve_status`` (default ``{targets}/fixed_cve_status``).
 
-def run_cve_fix_status(spark: SparkSession, targets: str, tracker_base: str, table: str | None = None) -> int:
-    """Merge fix evidence into ``fixed_cve_status`` (default ``{targets}/fixed_cve_status``)."""
+    Returns the rows merged (``fixed_cve_status``), the changelog rows in
+    scope, and the CVE names either side mentions that the CVE table does not
+    know, which are written as rejects (F8).
+    """
+    recover_runs(spark, targets)
     t = {name: read_target(spark, f"{targets}/{name}", name)
          for name in ("pkg_version", "package", "assm_pkg_vrs", "changelog", "vulnerabilities")}
+    tracker = read_tracker(spark, tracker_base)
     incoming = fix_status_rows(
-        t["pkg_version"], t["package"], t["assm_pkg_vrs"], t["changelog"], t["vulnerabilities"],
-        read_tracker(spark, tracker_base),
+        t["pkg_version"], t["package"], t["assm_pkg_vrs"], t["changelog"], t["vulnerabilities"], tracker
     )
-    return run_fix_status(spark, table or f"{targets}/fixed_cve_status", incoming)
+    counts = {"fixed_cve_status": run_fix_status(spark, table or f"{targets}/fixed_cve_status", incoming)}
+    counts["changes_in_scope"] = ev.count_in_scope(t["changelog"], t["assm_pkg_vrs"]).first()["n_changes"]
+    built = ev.versions_in_builds(ev.repo_versions(t["pkg_version"], t["package"]), t["assm_pkg_vrs"])
+    rejects = {
+        "log_unknown_cves": ev.unknown_mentions(ev.change_mentions(t["changelog"]), t["vulnerabilities"], t["assm_pkg_vrs"]),
+        "tracker_unknown_cves": ev.tracker_unknown_cves(
+            tracker, ev.repo_version_key(built), ev.cve_ids_by_name(t["vulnerabilities"])
+        ),
+    }
+    for name, df in rejects.items():
+        counted, obs = with_row_count(df, f"rejects-{name}")
+        write_replace(counted, f"{targets}/{REJECTS_DIR}/{name}")
+        counts[f"reject:{name}"] = obs.rows()
+    return counts
 
 
 def run_integrity_report(spark: SparkSession, sources: SourceCatalogue, targets: str) -> DataFrame:

@@ -21,9 +21,10 @@ from .plans.cve_status import merge_fix_status
 from .plans.integrity import integrity_report
 from .plans.load import full_load, incremental_load
 from .plans.mapped_load import mapped_load
-from .sources.catalog import conform
+from .sources.catalog import conform, read_crosswalk
 from .sources.fixtures import FixtureCatalogue, fixture_catalogue
 from .sources.schemas import TARGET_SCHEMAS
+from .sources.sinks import StageArea, write_crosswalk
 
 # Fixed load time for every registered job, so that results repeat.
 RUN_TS = "2025-02-11 00:00:00"
@@ -56,13 +57,25 @@ def q_cve_mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_cve_unknown_mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
     fx = fixtures(spark, sf_dir)
-    return ev.unknown_mentions(ev.change_mentions(_changelog(fx)), fx.sources.vulnerabilities).select("chg_id", "cve")
+    mentions = ev.change_mentions(_changelog(fx))
+    return ev.unknown_mentions(mentions, fx.sources.vulnerabilities, fx.links_versions).select("chg_id", "cve")
+
+
+def q_tracker_unknown_cves(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fx = fixtures(spark, sf_dir)
+    names = ev.cve_ids_by_name(fx.sources.vulnerabilities)
+    return ev.tracker_unknown_cves(fx.tracker, ev.repo_version_key(_scope(fx)), names)
+
+
+def q_changes_in_scope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fx = fixtures(spark, sf_dir)
+    return ev.count_in_scope(_changelog(fx), fx.links_versions)
 
 
 def q_first_change_per_version(spark: SparkSession, sf_dir: str) -> DataFrame:
     fx = fixtures(spark, sf_dir)
     first = ev.first_change_per_version(_changelog(fx).select("id", "pkg_vrs_id"))
-    return first.join(_scope(fx).select("pkg_vrs_id"), "pkg_vrs_id", "left_semi")
+    return first.join(ev.used_versions(fx.links_versions), "pkg_vrs_id", "left_semi")
 
 
 def q_repo_version_key(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -161,14 +174,25 @@ def q_crosswalk_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_crosswalk_from_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     fx = fixtures(spark, sf_dir)
-    targets = {
-        "urgency": fx.sources.urgency.select(F.col("id").alias("urg_id"), F.col("name").alias("urg_name")),
-        "vulnerabilities": fx.sources.vulnerabilities,
-        "pkg_version": fx.repo_versions,
-    }
+    loaded = existing_targets(fx)
+    targets = {name: loaded[name] for name in ("project", "assembly", "package", "pkg_version")}
+    targets["changelog"] = _changelog(fx)
+    targets["urgency"] = fx.sources.urgency.select(F.col("id").alias("urg_id"), F.col("name").alias("urg_name"))
     return xw.crosswalk_from_targets(targets)
 
 
+def q_crosswalk_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rebuild a saved crosswalk, append to it, and read it back."""
+    pairs = fixtures(spark, sf_dir).crosswalk
+    area = StageArea(spark, "crosswalk")
+    location = f"{area.root}/crosswalk"
+    _release_at_exit(area)
+    later = F.col("table_name").isin("changes", "urgency")
+    write_crosswalk(pairs.where(~later), location, mode="overwrite")
+    write_crosswalk(pairs.where(later), location, mode="append")
+    return read_crosswalk(spark, location)
+
+
 # --- step 5: natural keys ----------------------------------------------------------
 def existing_packages(fx: FixtureCatalogue) -> DataFrame:
     """Stand-in package target: names of source packages the crosswalk says are loaded."""
@@ -310,7 +334,10 @@ def q_rejected_change_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- step 9: merge into the fix-status table ------------------------------------------
 def q_cve_fix_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    status = q_cve_fix_status(spark, sf_dir)
+    # Both sides of the merge come from one computation of the status.
+    area = StageArea(spark, "fix-status")
+    _release_at_exit(area)
+    status, _ = area.put(q_cve_fix_status(spark, sf_dir), "status")
     # Stand-in for the table as saved by an earlier run: every third version's rows,
     # one number missing on even CVE ids, tracker gaps filled with -1, a user id set.
     existing = status.where(F.col("pkg_vrs_id") % 3 == 0).select(
@@ -376,6 +403,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "first_change_per_version": q_first_change_per_version,
     "repo_version_key": q_repo_version_key,
     "tracker_fixes": q_tracker_fixes,
+    "tracker_unknown_cves": q_tracker_unknown_cves,
+    "changes_in_scope": q_changes_in_scope,
     "cve_fix_status": q_cve_fix_status,
     "projects_with_vendor": q_projects_with_vendor,
     "mapped_projection": q_mapped_projection,
@@ -391,6 +420,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "crosswalk_merge": q_crosswalk_merge,
     "crosswalk_sizes": q_crosswalk_sizes,
     "crosswalk_from_targets": q_crosswalk_from_targets,
+    "crosswalk_round_trip": q_crosswalk_round_trip,
     "package_get_or_create": q_package_get_or_create,
     "version_get_or_create": q_version_get_or_create,
     "distinct_names": q_distinct_names,

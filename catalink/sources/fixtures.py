@@ -76,9 +76,9 @@ def fixture_catalogue(spark: SparkSession, sf_dir: str) -> FixtureCatalogue:
     src_packages = part.select(pk.alias("id"), _when_mod(pk, 97, 5, None, F.col("p_name")).alias("name"))
     pkg_versions = part.select(
         pk.alias("id"),
-        F.when(pk % 40 == 0, F.lit(0).cast("long")).otherwise(F.lit(946684800) + pk * 3600).alias("time"),
+        F.when(pk % 40 == 0, F.lit(0).cast("long")).when(pk % 41 == 0, None).otherwise(F.lit(946684800) + pk * 3600).alias("time"),
         F.when(F.col("p_type") == "SMALL", F.lit("")).otherwise(F.col("p_type")).alias("maintainer"),
-        pk.alias("src_pkg_ref"),
+        _when_mod(pk, 89, 7, pk + 9000000, pk).alias("src_pkg_ref"),  # some versions have no package
         _when_mod(pk, 17, 0, F.lit(""), F.col("p_brand")).alias("version"),
     )
     asm_pkg_vsn_lnk = lineitem.select(F.col("l_orderkey").alias("asm_ref"), F.col("l_partkey").alias("pkg_vsn_ref"))
@@ -98,10 +98,13 @@ def fixture_catalogue(spark: SparkSession, sf_dir: str) -> FixtureCatalogue:
         F.lit("Fix CVE-"), F.col("y"), F.lit("-"), _lpad4(F.col("s_lo") + 1000),
         F.lit(", CVE-"), F.col("y"), F.lit("-"), _lpad4(F.col("s_hi") + 1000),
         F.lit("; see cve-2000-1000"),
+        # five to eight digits; of eight the first seven count
+        F.when(chg_id % 3 == 0, F.lit(" CVE-2001-12345 CVE-2001-123456, CVE-2001-1234567 CVE-2002-12345678")).otherwise(F.lit("")),
     )
     changes = grouped.select(
         chg_id.alias("id"),
-        "pkg_vsn_ref",
+        # some changes belong to versions that are in no build and nowhere else
+        _when_mod(chg_id, 29, 0, F.col("pkg_vsn_ref") + 7000000, F.col("pkg_vsn_ref")).alias("pkg_vsn_ref"),
         F.when(chg_id % 19 == 0, None).when(chg_id % 5 == 0, F.lit("routine rebuild")).otherwise(text).alias("special"),
     )
 
@@ -114,7 +117,7 @@ def fixture_catalogue(spark: SparkSession, sf_dir: str) -> FixtureCatalogue:
     ship_year = F.year("l_shipdate")
     years = lineitem.select(ship_year.alias("y")).distinct()
     y_lo, y_hi = lineitem.agg(F.min(ship_year), F.max(ship_year)).first()
-    vulnerabilities = (
+    named_cves = (
         supplier.where(F.col("s_suppkey") % 8 != 5)
         .select("s_suppkey", F.explode(F.sequence(F.lit(y_lo), F.lit(y_hi))).alias("y"))
         .join(years, "y", "left_semi")
@@ -123,6 +126,10 @@ def fixture_catalogue(spark: SparkSession, sf_dir: str) -> FixtureCatalogue:
             F.concat(F.lit("CVE-"), F.col("y").cast("string"), F.lit("-"), _lpad4(F.col("s_suppkey") + 1000)).alias("name"),
         )
     )
+    # Repeated names under a second id, and a five-digit CVE.
+    again = named_cves.where(F.col("id") % 9 == 0).select((F.col("id") + 5000000).alias("id"), "name")
+    long_name = spark.range(1).select(F.lit(88000001).cast("long").alias("id"), F.lit("CVE-2001-12345").alias("name"))
+    vulnerabilities = named_cves.unionByName(again).unionByName(long_name)
     chg_vln_lnk = (
         lineitem.where((F.col("l_orderkey") % 4 == 0) & (F.col("l_linenumber") <= 3))
         .select(chg_id.alias("chg_ref"), ((ship_year - 1995) * 1000 + F.col("l_suppkey")).alias("vln_ref"))
@@ -134,9 +141,13 @@ def fixture_catalogue(spark: SparkSession, sf_dir: str) -> FixtureCatalogue:
         .unionByName(part.where(pk % 5 == 0).select(F.lit("src_packages").alias("table_name"), pk.alias("old_id"), (pk + 1000000).alias("new_id")))
         .unionByName(orders.where(ok % 4 != 1).select(F.lit("assemblies").alias("table_name"), ok.alias("old_id"), (ok + 1000000).alias("new_id")))
         .unionByName(part.where(pk % 6 != 2).select(F.lit("pkg_versions").alias("table_name"), pk.alias("old_id"), (pk + 1000000).alias("new_id")))
+        .unionByName(changes.where(F.col("id") % 7 == 0).select(F.lit("changes").alias("table_name"), F.col("id").alias("old_id"), (F.col("id") + 1000000000).alias("new_id")))
+        .unionByName(urgency.where(F.col("id") % 3 == 1).select(F.lit("urgency").alias("table_name"), F.col("id").alias("old_id"), (F.col("id") + 1000000).alias("new_id")))
+        .unionByName(vulnerabilities.where(F.col("id") % 11 == 0).select(F.lit("vulnerabilities").alias("table_name"), F.col("id").alias("old_id"), (F.col("id") + 100000000).alias("new_id")))
     )
 
-    clean_version = F.coalesce(F.nullif(F.col("version"), F.lit("")), F.lit("0.0.0"))
+    # A NULL version on both sides must match as a key like any other.
+    clean_version = F.when(F.col("id") % 23 != 0, F.coalesce(F.nullif(F.col("version"), F.lit("")), F.lit("0.0.0")))
     repo_versions = (
         pkg_versions.join(src_packages.select(F.col("id").alias("src_pkg_ref"), F.col("name").alias("pkg_name")), "src_pkg_ref")
         .where(F.col("pkg_name").isNotNull())
@@ -150,7 +161,7 @@ def fixture_catalogue(spark: SparkSession, sf_dir: str) -> FixtureCatalogue:
     trk_pkg_version = trk_parts.select(
         (pk + 700000).alias("pkg_vrs_id"),
         (pk + 500000).alias("pkg_id"),
-        _when_mod(pk, 17, 0, F.lit("0.0.0"), F.col("p_brand")).alias("version"),
+        F.when(pk % 23 != 0, _when_mod(pk, 17, 0, F.lit("0.0.0"), F.col("p_brand"))).alias("version"),
     )
     extra_cve = spark.range(1).select(F.lit(999999).cast("long").alias("cve_id"), F.lit("CVE-1999-0001").alias("cve_name"))
     trk_cve = vulnerabilities.select((F.col("id") + 900000).alias("cve_id"), F.col("name").alias("cve_name")).unionByName(extra_cve)
@@ -162,6 +173,8 @@ def fixture_catalogue(spark: SparkSession, sf_dir: str) -> FixtureCatalogue:
             F.when(lk % 9 == 0, None).otherwise(F.col("l_partkey") + 700000).alias("fixed_pkg_vrs_id"),
         )
         .distinct()
+        # a CVE that no table knows, fixed in versions that builds use
+        .unionByName(trk_parts.where(pk % 31 == 0).select(F.lit(999999).cast("long").alias("cve_id"), (pk + 700000).alias("fixed_pkg_vrs_id")))
     )
 
     sources = SourceCatalogue(
@@ -203,18 +216,19 @@ fx_publishers as (select cast(n_nationkey as bigint) id, n_name as name from nat
 fx_projects as (select c_custkey id, case when c_custkey % 11 = 0 then null else c_name end as name, cast(c_nationkey as bigint) rls_ref, c_mktsegment description, cast(c_nationkey as bigint) pbr_ref, cast(c_nationkey % 3 as bigint) arc_ref from customer),
 fx_assemblies as (select o_orderkey id, case when o_orderkey % 50 = 0 then 0 when o_orderkey % 51 = 0 then null else {_EPOCH_DUCKDB} end as time, case when o_orderkey % 13 = 0 then null else o_orderstatus end description, o_custkey prj_ref from orders),
 fx_src_packages as (select p_partkey id, case when p_partkey % 97 = 5 then null else p_name end as name from part),
-fx_pkg_versions as (select p_partkey id, case when p_partkey % 40 = 0 then 0 else 946684800 + p_partkey * 3600 end as time, case when p_type='SMALL' then '' else p_type end maintainer, p_partkey src_pkg_ref, case when p_partkey % 17 = 0 then '' else p_brand end as version from part),
+fx_pkg_versions as (select p_partkey id, case when p_partkey % 40 = 0 then 0 when p_partkey % 41 = 0 then null else 946684800 + p_partkey * 3600 end as time, case when p_type='SMALL' then '' else p_type end maintainer, case when p_partkey % 89 = 7 then p_partkey + 9000000 else p_partkey end src_pkg_ref, case when p_partkey % 17 = 0 then '' else p_brand end as version from part),
 fx_asm_pkg_vsn_lnk as (select l_orderkey asm_ref, l_partkey pkg_vsn_ref from lineitem),
-fx_changes as (select l_orderkey * 10 + l_linenumber id, min(l_partkey) pkg_vsn_ref, case when (l_orderkey * 10 + l_linenumber) % 19 = 0 then null when (l_orderkey * 10 + l_linenumber) % 5 = 0 then 'routine rebuild' else concat('Fix CVE-', cast(year(min(l_shipdate)) as string), '-', lpad(cast(min(l_suppkey)+1000 as string),4,'0'), ', CVE-', cast(year(min(l_shipdate)) as string), '-', lpad(cast(max(l_suppkey)+1000 as string),4,'0'), '; see cve-2000-1000') end special from lineitem where l_orderkey % 4 = 0 group by l_orderkey, l_linenumber),
+fx_changes as (select l_orderkey * 10 + l_linenumber id, case when (l_orderkey * 10 + l_linenumber) % 29 = 0 then min(l_partkey) + 7000000 else min(l_partkey) end pkg_vsn_ref, case when (l_orderkey * 10 + l_linenumber) % 19 = 0 then null when (l_orderkey * 10 + l_linenumber) % 5 = 0 then 'routine rebuild' else concat('Fix CVE-', cast(year(min(l_shipdate)) as string), '-', lpad(cast(min(l_suppkey)+1000 as string),4,'0'), ', CVE-', cast(year(min(l_shipdate)) as string), '-', lpad(cast(max(l_suppkey)+1000 as string),4,'0'), '; see cve-2000-1000', case when (l_orderkey * 10 + l_linenumber) % 3 = 0 then ' CVE-2001-12345 CVE-2001-123456, CVE-2001-1234567 CVE-2002-12345678' else '' end) end special from lineitem where l_orderkey % 4 = 0 group by l_orderkey, l_linenumber),
 fx_urgency as (select cast(row_number() over (order by o_orderpriority) as bigint) id, o_orderpriority as name from (select distinct o_orderpriority from orders) t),
-fx_vulnerabilities as (select (y-1995)*1000 + s_suppkey id, concat('CVE-', cast(y as string), '-', lpad(cast(s_suppkey+1000 as string),4,'0')) as name from supplier cross join (select distinct year(l_shipdate) y from lineitem) t where s_suppkey % 8 <> 5),
+fx_named_cves as (select (y-1995)*1000 + s_suppkey id, concat('CVE-', cast(y as string), '-', lpad(cast(s_suppkey+1000 as string),4,'0')) as name from supplier cross join (select distinct year(l_shipdate) y from lineitem) t where s_suppkey % 8 <> 5),
+fx_vulnerabilities as (select id, name from fx_named_cves union all select id + 5000000, name from fx_named_cves where id % 9 = 0 union all select 88000001, 'CVE-2001-12345'),
 fx_chg_vln_lnk as (select distinct l_orderkey*10+l_linenumber chg_ref, (year(l_shipdate)-1995)*1000 + l_suppkey vln_ref from lineitem where l_orderkey % 4 = 0 and l_linenumber <= 3),
-fx_id_mappings as (select 'projects' table_name, c_custkey old_id, c_custkey+1000000 new_id from customer where c_custkey % 5 <> 0 union all select 'src_packages', p_partkey, p_partkey+1000000 from part where p_partkey % 5 = 0 union all select 'assemblies', o_orderkey, o_orderkey+1000000 from orders where o_orderkey % 4 <> 1 union all select 'pkg_versions', p_partkey, p_partkey+1000000 from part where p_partkey % 6 <> 2),
-fx_repo_pkg_version as (select min(v.id) pkg_vrs_id, s.name pkg_name, coalesce(nullif(v.version,''),'0.0.0') as version from fx_pkg_versions v join fx_src_packages s on v.src_pkg_ref=s.id where s.name is not null group by s.name, coalesce(nullif(v.version,''),'0.0.0')),
+fx_id_mappings as (select 'projects' table_name, c_custkey old_id, c_custkey+1000000 new_id from customer where c_custkey % 5 <> 0 union all select 'src_packages', p_partkey, p_partkey+1000000 from part where p_partkey % 5 = 0 union all select 'assemblies', o_orderkey, o_orderkey+1000000 from orders where o_orderkey % 4 <> 1 union all select 'pkg_versions', p_partkey, p_partkey+1000000 from part where p_partkey % 6 <> 2 union all select 'changes', id, id+1000000000 from fx_changes where id % 7 = 0 union all select 'urgency', id, id+1000000 from fx_urgency where id % 3 = 1 union all select 'vulnerabilities', id, id+100000000 from fx_vulnerabilities where id % 11 = 0),
+fx_repo_pkg_version as (select min(v.id) pkg_vrs_id, s.name pkg_name, case when v.id % 23 <> 0 then coalesce(nullif(v.version,''),'0.0.0') end as version from fx_pkg_versions v join fx_src_packages s on v.src_pkg_ref=s.id where s.name is not null group by s.name, case when v.id % 23 <> 0 then coalesce(nullif(v.version,''),'0.0.0') end),
 fx_trk_package as (select p_partkey+500000 pkg_id, p_name pkg_name from part where p_partkey % 3 <> 0),
-fx_trk_pkg_version as (select p_partkey+700000 pkg_vrs_id, p_partkey+500000 pkg_id, case when p_partkey % 17 = 0 then '0.0.0' else p_brand end as version from part where p_partkey % 3 <> 0),
+fx_trk_pkg_version as (select p_partkey+700000 pkg_vrs_id, p_partkey+500000 pkg_id, case when p_partkey % 23 = 0 then null when p_partkey % 17 = 0 then '0.0.0' else p_brand end as version from part where p_partkey % 3 <> 0),
 fx_trk_cve as (select id+900000 cve_id, name as cve_name from fx_vulnerabilities union all select 999999, 'CVE-1999-0001'),
-fx_trk_cve_rep as (select distinct (year(l_shipdate)-1995)*1000 + l_suppkey + 900000 cve_id, case when l_orderkey % 9 = 0 then null else l_partkey+700000 end fixed_pkg_vrs_id from lineitem where l_orderkey % 10 = 1 or (l_orderkey % 4 = 0 and l_linenumber = 1))
+fx_trk_cve_rep as (select distinct (year(l_shipdate)-1995)*1000 + l_suppkey + 900000 cve_id, case when l_orderkey % 9 = 0 then null else l_partkey+700000 end fixed_pkg_vrs_id from lineitem where l_orderkey % 10 = 1 or (l_orderkey % 4 = 0 and l_linenumber = 1) union all select 999999, p_partkey+700000 from part where p_partkey % 3 <> 0 and p_partkey % 31 = 0)
 """.strip()
 
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,11 +37,13 @@ def write_crosswalk(df: DataFrame, location: str, mode: str = "append") -> None:
     """Write crosswalk rows partitioned by table (S7 append / S8 rebuild).
 
     Partitioning by ``table_name`` lets the per-table filter of every remap
-    prune the scan to one folder.
+    prune the scan to one folder.  The rows are rebalanced by table, which
+    adaptive execution splits: a table with most of the pairs is written by
+    many tasks, a small one by one.
     """
     # A rebuild replaces the whole crosswalk, whatever the session's partition
     # overwrite mode: a table missing from the new pairs must not keep old ones.
-    writer = df.repartition("table_name").write.mode(mode).partitionBy("table_name")
+    writer = df.hint("rebalance", "table_name").write.mode(mode).partitionBy("table_name")
     if mode == "overwrite":
         writer = writer.option("partitionOverwriteMode", "static")
     writer.parquet(location)
@@ -53,20 +56,55 @@ def _fs_and_path(spark: SparkSession, location: str):
     return path.getFileSystem(conf), path, jvm
 
 
+def _siblings(fs, target, jvm, mark: str) -> list:
+    pattern = jvm.org.apache.hadoop.fs.Path(target.getParent(), f"{target.getName()}.{mark}_*")
+    found = fs.globStatus(pattern)
+    return sorted((st.getPath() for st in found or []), key=str)
+
+
+def recover_swap(spark: SparkSession, location: str) -> bool:
+    """Finish a swap that a crash cut short; tells whether the table exists afterwards.
+
+    A missing table means that the crash fell between the two renames: the new
+    content, which is complete then, takes the place (or, without one, the old
+    content goes back).  Left-over siblings of an existing table are removed.
+    """
+    fs, target, jvm = _fs_and_path(spark, location.rstrip("/"))
+    fresh, retired = (_siblings(fs, target, jvm, mark) for mark in ("__next", "__old"))
+    if not fs.exists(target):
+        done = [p for p in fresh if fs.exists(jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))] if retired else []
+        source = done[-1] if done else (retired[-1] if retired else None)
+        if source is None:
+            for path in fresh:
+                fs.delete(path, True)
+            return False
+        if not fs.rename(source, target):
+            raise OSError(f"could not move {source} to {location}")
+    for path in (*fresh, *retired):
+        if fs.exists(path):
+            fs.delete(path, True)
+    return True
+
+
 def write_swap(df: DataFrame, location: str, partition_by: list[str] | None = None) -> None:
     """Write ``df`` to a new sibling folder, then move it over ``location``.
 
     Safe when ``df`` reads ``location`` itself (an upsert): the read
     completes before anything is removed, because the swap happens only after
-    the write job has finished.
+    the write job has finished.  A crash between the two renames is mended by
+    ``recover_swap``, which readers of a swapped table call first.
     """
     spark = df.sparkSession
-    staged = f"{location.rstrip('/')}.__next_{uuid.uuid4().hex}"
+    location = location.rstrip("/")
+    staged = f"{location}.__next_{uuid.uuid4().hex}"
     write_replace(df, staged, partition_by)
     fs, target, jvm = _fs_and_path(spark, location)
     new_path = jvm.org.apache.hadoop.fs.Path(staged)
+    success = jvm.org.apache.hadoop.fs.Path(new_path, "_SUCCESS")
+    if not fs.exists(success):  # committers can be set not to write it
+        fs.create(success, True).close()
     if fs.exists(target):
-        retired = jvm.org.apache.hadoop.fs.Path(f"{location.rstrip('/')}.__old_{uuid.uuid4().hex}")
+        retired = jvm.org.apache.hadoop.fs.Path(f"{location}.__old_{uuid.uuid4().hex}")
         if not fs.rename(target, retired):
             raise OSError(f"could not move {location} aside")
         if not fs.rename(new_path, target):
@@ -77,21 +115,104 @@ def write_swap(df: DataFrame, location: str, partition_by: list[str] | None = No
         raise OSError(f"could not move {staged} to {location}")
 
 
+class PendingRun:
+    """All outputs of one load, written aside and published together.
+
+    Tables are written under ``{base}/_pending/{run}``; nothing of a run is
+    visible before its marker file, written last.  ``publish`` then moves the
+    files into place (adding to a table, or replacing it), and each move can be
+    repeated: ``recover_runs`` finishes a published run that a crash cut short
+    and drops a run without a marker, so a rerun loads nothing twice and no
+    table stays half replaced.
+    """
+
+    FOLDER = "_pending"
+    MARKERS = {True: "_APPEND", False: "_REPLACE"}
+
+    def __init__(self, spark: SparkSession, base: str, append: bool, run: str | None = None):
+        self.spark, self.base, self.append = spark, base.rstrip("/"), append
+        self.run = run or uuid.uuid4().hex
+        self.root = f"{self.base}/{self.FOLDER}/{self.run}"
+
+    def path(self, table: str) -> str:
+        return f"{self.root}/{table}"
+
+    def publish(self) -> None:
+        fs, root, jvm = _fs_and_path(self.spark, self.root)
+        fs.mkdirs(root)
+        fs.create(jvm.org.apache.hadoop.fs.Path(root, self.MARKERS[self.append]), True).close()
+        self._move()
+
+    def _move(self) -> None:
+        fs, root, jvm = _fs_and_path(self.spark, self.root)
+        path = jvm.org.apache.hadoop.fs.Path
+        tables = [st.getPath() for st in fs.listStatus(root) if st.isDirectory()]
+        # Rejects are two levels deep: {base}/_rejects/{name}.
+        nested = [t for t in tables if t.getName().startswith("_rejects")]
+        tables = [t for t in tables if t not in nested]
+        for outer in nested:
+            tables += [st.getPath() for st in fs.listStatus(outer) if st.isDirectory()]
+        for table in tables:
+            relative = table.toUri().getPath()[len(root.toUri().getPath()) + 1 :]
+            target = path(f"{self.base}/{relative}")
+            if self.append and not relative.startswith("_rejects"):
+                self._add(fs, table, target, path)
+            else:
+                if fs.exists(target):
+                    fs.delete(target, True)
+                fs.mkdirs(target.getParent())
+                if not fs.rename(table, target):
+                    raise OSError(f"could not move {table} to {target}")
+        fs.delete(root, True)
+
+    def _add(self, fs, table, target, path) -> None:
+        """Move every file below ``table``; file names are unique per write."""
+        files = fs.listFiles(table, True)
+        prefix = len(table.toUri().getPath()) + 1
+        moves = []
+        while files.hasNext():
+            source = files.next().getPath()
+            if not source.getName().startswith("_"):
+                moves.append((source, path(target, source.toUri().getPath()[prefix:])))
+        for source, place in moves:
+            fs.mkdirs(place.getParent())
+            if not fs.rename(source, place):
+                raise OSError(f"could not move {source} to {place}")
+
+
+def recover_runs(spark: SparkSession, base: str) -> None:
+    """Finish published runs below ``base`` and drop unpublished ones; loads call it before they read."""
+    fs, pending, jvm = _fs_and_path(spark, f"{base.rstrip('/')}/{PendingRun.FOLDER}")
+    if not fs.exists(pending):
+        return
+    for status in sorted(fs.listStatus(pending), key=lambda st: st.getModificationTime()):
+        root = status.getPath()
+        modes = [m for m, name in PendingRun.MARKERS.items() if fs.exists(jvm.org.apache.hadoop.fs.Path(root, name))]
+        if modes:
+            PendingRun(spark, base, modes[0], root.getName())._move()
+        else:
+            fs.delete(root, True)
+
+
+def observed(obs: Observation) -> dict:
+    """An observation's metrics; none if the plan turned out empty and the observed node was dropped from it."""
+    try:
+        return dict(obs.get)
+    except Py4JJavaError as exc:
+        if "toPyRow" not in str(exc):  # an observation without a row cannot be converted
+            raise
+        return {}
+
+
 class RowCounter:
     """Row count of a frame, observed while the frame is written."""
 
     def __init__(self, df: DataFrame, name: str):
-        self._source = df
         self._obs = Observation(f"{name}-{uuid.uuid4().hex[:8]}")
         self.df = df.observe(self._obs, F.count(F.lit(1)).alias("rows"))
 
     def rows(self) -> int:
-        try:
-            return int(self._obs.get.get("rows", 0))
-        except Exception:  # noqa: BLE001
-            # No task ran over the observed node (an empty input that a
-            # repartition turned into zero partitions): count it directly.
-            return self._source.count()
+        return int(observed(self._obs).get("rows") or 0)
 
 
 def with_row_count(df: DataFrame, name: str) -> tuple[DataFrame, RowCounter]:
@@ -104,11 +225,6 @@ def with_row_count(df: DataFrame, name: str) -> tuple[DataFrame, RowCounter]:
     return counter.df, counter
 
 
-def is_empty(df: DataFrame) -> bool:
-    """Nothing to write? (S10) - reads at most one row."""
-    return df.isEmpty()
-
-
 class StageArea:
     """Intermediate tables of one run, written under the session's checkpoint folder.
 
@@ -134,7 +250,7 @@ class StageArea:
             obs = Observation(f"{name}-{self._n}")
             df = df.observe(obs, *[col.alias(key) for key, col in observe.items()])
         df.write.mode("overwrite").parquet(path)
-        stats = dict(obs.get) if obs is not None else {}
+        stats = dict.fromkeys(observe or {}) | (observed(obs) if obs is not None else {})
         return self.spark.read.parquet(path), stats
 
     def release(self) -> None:

@@ -2,8 +2,7 @@
 
 A file-source stream over the changelog folder extracts CVE identifiers
 (built-in ``regexp_extract_all`` + ``explode``, no Python), joins them with
-the CVE name table (a stream-static join against a broadcast-checked
-dimension) and appends ``(pkg_vrs_id, vulnerability_id, chg_id)`` rows to a
+the CVE name table (a stream-static join) and appends ``(pkg_vrs_id, vulnerability_id, chg_id)`` rows to a
 parquet sink.  The file sink's commit log plus the source checkpoint make the
 output exactly-once across restarts and lost executors.  The whole pipeline
 runs in the JVM: no Python callback is involved.
@@ -15,12 +14,13 @@ runs in the JVM: no Python callback is involved.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.cve import cve_tokens
-from ..functions.sizing import broadcast_if_small
 from ..operators.evidence import cve_ids_by_name
 from ..session import ensure_checkpoint_dir
 from ..sources.schemas import TARGET_SCHEMAS
@@ -39,12 +39,14 @@ def start_mention_feed(
 ) -> StreamingQuery:
     """Start the feed; ``available_now`` processes the files present and stops."""
     if checkpoint_location is None:
-        checkpoint_location = f"{ensure_checkpoint_dir(spark).rstrip('/')}/cve-mention-feed"
+        # One folder per output, so that two feeds never share a commit log.
+        name = hashlib.sha256(out_dir.encode()).hexdigest()[:16]
+        checkpoint_location = f"{ensure_checkpoint_dir(spark).rstrip('/')}/cve-mention-feed-{name}"
     reader = spark.readStream.schema(TARGET_SCHEMAS["changelog"])
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     changes = reader.parquet(changelog_dir)
-    names = broadcast_if_small(cve_ids_by_name(vulnerabilities), bound_by=vulnerabilities).withColumnRenamed("name", "cve")
+    names = cve_ids_by_name(vulnerabilities).withColumnRenamed("name", "cve")
     mentions = changes.select(
         F.col("id").alias("chg_id"), "pkg_vrs_id", F.explode(cve_tokens("log_desc")).alias("cve")
     ).join(names, "cve")

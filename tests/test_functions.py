@@ -48,3 +48,20 @@ def test_defaults_and_sentinels(spark):
         C.text_or_empty("s").alias("s"), C.present("v").alias("p"),
     ).collect()
     assert [tuple(r) for r in out] == [("0.0.0", None, "", False), ("0.0.0", 5, "x", False)]
+
+
+def test_any_epoch_is_converted_or_null(spark):
+    from catalink.functions.clean import epoch_in_range, epoch_to_ts
+
+    df = spark.createDataFrame([(0,), (-1,), (86399,), (1700000000,), (1700000000000,), (9 * 10**15,), (None,)], "t long")
+    got = df.select("t", epoch_to_ts("t").cast("string").alias("s"), epoch_in_range("t").alias("ok")).collect()
+    values = {r.t: (r.s, r.ok) for r in got}
+    assert "55840" in values.pop(1700000000000)[0]
+    assert values == {
+        0: ("1970-01-01 00:00:00", True),
+        -1: ("1969-12-31 23:59:59", True),
+        86399: ("1970-01-01 23:59:59", True),
+        1700000000: ("2023-11-14 22:13:20", True),
+        9 * 10**15: (None, False),
+        None: (None, True),
+    }

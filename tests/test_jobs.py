@@ -34,7 +34,9 @@ def test_full_then_incremental_then_fix_status(spark, folders):
     first = jobs.run_cve_fix_status(spark, targets, str(folders / "tracker"))
     table = spark.read.parquet(f"{targets}/fixed_cve_status")
     before = sorted(map(tuple, table.collect()))
-    assert first == len(before) > 0
+    assert first["fixed_cve_status"] == len(before) > 0
+    assert first["changes_in_scope"] > 0 and first["reject:log_unknown_cves"] > 0 and first["reject:tracker_unknown_cves"] > 0
+    assert spark.read.parquet(f"{targets}/_rejects/tracker_unknown_cves").count() == first["reject:tracker_unknown_cves"]
     jobs.run_cve_fix_status(spark, targets, str(folders / "tracker"))
     after = sorted(map(tuple, spark.read.parquet(f"{targets}/fixed_cve_status").collect()))
     assert before == after  # merging the same evidence twice changes nothing

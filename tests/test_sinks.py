@@ -1,5 +1,6 @@
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from catalink.sources.catalog import read_crosswalk
@@ -42,3 +43,99 @@ def test_scale_settings_bound_partitions():
     assert int(small["spark.sql.shuffle.partitions"]) == 16
     big = scale_settings(100 << 40, 8000)
     assert int(big["spark.sql.shuffle.partitions"]) == (100 << 40) // (256 << 20)
+
+
+def table_of(spark, loc):
+    return sorted(map(tuple, spark.read.parquet(loc).collect()))
+
+
+def test_one_large_table_of_the_crosswalk_is_written_by_many_tasks(spark, tmp_path):
+    from catalink.sources.sinks import write_crosswalk
+
+    old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256k")
+    try:
+        pairs = spark.range(0, 400000, 1, 16).selectExpr("if(id < 10, 'urgency', 'changes') table_name", "id old_id", "id * 7 new_id")
+        write_crosswalk(pairs, str(tmp_path / "xw"), mode="overwrite")
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
+    files = [p for p in os.listdir(tmp_path / "xw" / "table_name=changes") if p.endswith(".parquet")]
+    assert len(files) > 2
+    assert read_crosswalk(spark, str(tmp_path / "xw")).count() == 400000
+
+
+@pytest.mark.parametrize("cut", ["before", "between", "after"])
+def test_a_swap_cut_short_loses_nothing(spark, tmp_path, cut):
+    """The states a crash can leave: new content written, old moved aside, new moved in."""
+    from catalink.sources.sinks import recover_swap
+
+    loc = str(tmp_path / "t")
+    write_replace(spark.range(3).select("id"), loc)
+    write_replace(spark.range(5).select("id"), f"{loc}.__next_1")
+    if cut != "before":
+        os.rename(loc, f"{loc}.__old_1")
+    if cut == "after":
+        os.rename(f"{loc}.__next_1", loc)
+    assert recover_swap(spark, loc)
+    assert len(table_of(spark, loc)) == (3 if cut == "before" else 5)
+    assert os.listdir(tmp_path) == ["t"]
+    assert not recover_swap(spark, str(tmp_path / "missing"))
+
+
+def test_a_swap_without_new_content_puts_the_old_back(spark, tmp_path):
+    from catalink.sources.sinks import recover_swap
+
+    loc = str(tmp_path / "t")
+    write_replace(spark.range(3).select("id"), f"{loc}.__old_1")
+    assert recover_swap(spark, loc) and len(table_of(spark, loc)) == 3
+
+
+def test_fix_status_keeps_user_ids_after_a_crash(spark, tmp_path):
+    from catalink.plans.cve_status import run_fix_status
+    from catalink.sources.catalog import conform
+    from catalink.sources.schemas import TARGET_SCHEMAS
+
+    schema = TARGET_SCHEMAS["fixed_cve_status"]
+    row = lambda *v: conform(spark.createDataFrame([v], schema), schema)
+    loc = str(tmp_path / "fixed")
+    write_replace(row(1, 2, 5, 6, 42), loc)
+    os.rename(loc, f"{loc}.__old_x")  # as after the first of the two renames, the new content lost
+    assert run_fix_status(spark, loc, row(1, 2, 7, 7, None)) == 1
+    assert table_of(spark, loc) == [(1, 2, 5, 6, 42)]
+    assert run_fix_status(spark, loc, row(1, 2, 7, 7, None).limit(0)) == 0
+
+
+def test_pending_run_is_all_or_nothing(spark, tmp_path):
+    from catalink.sources.sinks import PendingRun, recover_runs
+
+    base = str(tmp_path)
+    write_replace(spark.range(2), f"{base}/a")
+    dropped = PendingRun(spark, base, append=True)
+    write_replace(spark.range(10, 15), dropped.path("a"))
+    recover_runs(spark, base)  # crashed before its marker: nothing of it stays
+    assert spark.read.parquet(f"{base}/a").count() == 2 and not os.listdir(f"{base}/_pending")
+
+    run = PendingRun(spark, base, append=True)
+    write_replace(spark.range(10, 15).repartition(3), run.path("a"))
+    write_replace(spark.range(4), run.path("b"))
+    write_replace(spark.range(1), run.path("_rejects/r"))
+    moved = []
+
+    def crash(fs, table, target, path, add=PendingRun._add):
+        if moved:
+            raise RuntimeError("crash")
+        moved.append(table)
+        add(run, fs, table, target, path)
+
+    run._add = crash
+    with pytest.raises(RuntimeError):
+        run.publish()  # one table is in, the other not yet
+    for _ in range(2):
+        recover_runs(spark, base)
+        assert spark.read.parquet(f"{base}/a").count() == 7 and spark.read.parquet(f"{base}/b").count() == 4
+        assert spark.read.parquet(f"{base}/_rejects/r").count() == 1
+
+    replace = PendingRun(spark, base, append=False)
+    write_replace(spark.range(9), replace.path("a"))
+    replace.publish()
+    assert spark.read.parquet(f"{base}/a").count() == 9 and spark.read.parquet(f"{base}/b").count() == 4
