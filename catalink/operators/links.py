@@ -39,7 +39,21 @@ def new_links_only(remapped: DataFrame, existing: DataFrame, cols: tuple[str, st
     return pairs.join(existing.select(*cols), list(cols), "left_anti")
 
 
+def mapped_links(links: DataFrame, crosswalk: DataFrame) -> DataFrame:
+    """Every link with its mapped ids (NULL where unmapped): one remap for rows and rejects."""
+    return remap_links(links, crosswalk, how="left")
+
+
+def both_ends(mapped: DataFrame) -> DataFrame:
+    """The links of ``mapped_links`` with both ends mapped."""
+    return mapped.where(F.col("assm_id").isNotNull() & F.col("pkg_vrs_id").isNotNull())
+
+
+def unmapped_end(mapped: DataFrame) -> DataFrame:
+    """F5 + J8: the links of ``mapped_links`` with an unmapped end."""
+    return mapped.where(F.col("assm_id").isNull() | F.col("pkg_vrs_id").isNull())
+
+
 def links_with_unmapped_end(links: DataFrame, crosswalk: DataFrame) -> DataFrame:
-    """F5 + J8: links with their mapped ids (NULL where unmapped), unmapped ones only."""
-    out = remap_links(links, crosswalk, how="left")
-    return out.where(F.col("assm_id").isNull() | F.col("pkg_vrs_id").isNull())
+    """F5 + J8 in one step."""
+    return unmapped_end(mapped_links(links, crosswalk))

@@ -39,7 +39,7 @@ from ..operators import audit
 from ..operators.changelog import changelog_versions, idents_per_change, with_text
 from ..operators.crosswalk import only_new, remap
 from ..operators.keys import crosswalk_rows, dense_keys, key_bounds, max_value
-from ..operators.links import links_with_unmapped_end, new_links_only, remap_links
+from ..operators.links import both_ends, mapped_links, new_links_only, unmapped_end
 from ..operators.natural_key import distinct_names_keyed, get_or_create_by_name, get_or_create_version
 from ..operators.projection import clean_assemblies, clean_pkg_versions, clean_projects, projects_with_vendor, rejected_projects
 from ..sources.catalog import SourceCatalogue, conform, empty_crosswalk, empty_target
@@ -171,7 +171,7 @@ def load_catalogue(
 
     # 2. assemblies
     cleaned = clean_assemblies(sources.assemblies, run_ts)
-    delta = only_new(cleaned, steps.crosswalk, "assemblies")
+    delta = steps.keep(only_new(cleaned, steps.crosswalk, "assemblies"), "assembly-new")
     rejects["assemblies_without_project"] = audit.rejected_by_parent(delta, steps.crosswalk, "projects", "prj_ref")
     mapped = remap(delta, steps.crosswalk, "projects", "prj_ref", "prj_id")
     base = steps.base(_target(spark, targets, "assembly"), "assm_id", "assemblies")
@@ -199,7 +199,7 @@ def load_catalogue(
 
     # 4. versions by (package, version)
     cleaned = clean_pkg_versions(sources.pkg_versions, run_ts)
-    delta = only_new(cleaned, steps.crosswalk, "pkg_versions")
+    delta = steps.keep(only_new(cleaned, steps.crosswalk, "pkg_versions"), "version-new")
     rejects["versions_without_package"] = audit.rejected_by_parent(delta, steps.crosswalk, "src_packages", "src_pkg_ref")
     mapped, bounds = steps.keep_with_bounds(
         remap(delta, steps.crosswalk, "src_packages", "src_pkg_ref", "pkg_id").drop("src_pkg_ref"), "version-delta"
@@ -239,14 +239,16 @@ def load_catalogue(
         steps.add(crosswalk_rows(pairs, source_name, new_col=key))
 
     # 7. build links
-    remapped = remap_links(sources.asm_pkg_vsn_lnk, steps.crosswalk)
+    mapped = steps.keep(mapped_links(sources.asm_pkg_vsn_lnk, steps.crosswalk), "links-mapped")
     existing_links = _or_empty(spark, _target(spark, targets, "assm_pkg_vrs"), "assm_pkg_vrs")
-    out["assm_pkg_vrs"] = steps.keep(new_links_only(remapped, existing_links), "links")
-    rejects["links_with_unmapped_end"] = links_with_unmapped_end(sources.asm_pkg_vsn_lnk, steps.crosswalk)
+    out["assm_pkg_vrs"] = steps.keep(new_links_only(both_ends(mapped), existing_links), "links")
+    rejects["links_with_unmapped_end"] = unmapped_end(mapped)
 
     # 8. changelog (J2, J4, J16, X5/X6, X11, A4): ids, versions and keys on narrow
     # rows; the change text joins in once at the end.
-    delta = only_new(sources.changes.select("id", "pkg_vsn_ref"), steps.crosswalk, "changes", key_col="id")
+    delta = steps.keep(
+        only_new(sources.changes.select("id", "pkg_vsn_ref"), steps.crosswalk, "changes", key_col="id"), "changelog-new"
+    )
     narrow = changelog_versions(delta, steps.crosswalk, sources.pkg_versions, run_ts, zero_is_null)
     rejects["changes_without_version"] = audit.rejected_by_parent(delta, steps.crosswalk, "pkg_versions", "pkg_vsn_ref")
     base = steps.base(_target(spark, targets, "changelog"), "id", "changes")

@@ -71,9 +71,13 @@ def mapped_load(sources: SourceCatalogue, cut_lineage: bool = True) -> LoadResul
 
     # package: one per distinct non-null name
     projected = mapped_projection(sources.src_packages, "package").withColumnRenamed("pkg_id", "old_id")
-    mapping, created = get_or_create_by_name(projected, empty_target(spark, "package"))
+    named, bounds = projected, None
+    if stage is not None:
+        named, stats = stage.put(projected, "packages", key_bounds("old_id"))
+        bounds = (stats["lo"], stats["hi"])
+    mapping, created = get_or_create_by_name(named, empty_target(spark, "package"), materialize=keep, bounds=bounds)
     mapping = keep(mapping)
-    out["package"] = keep(created).select(*TARGET_SCHEMAS["package"].fieldNames())
+    out["package"] = created.select(*TARGET_SCHEMAS["package"].fieldNames())
     maps.append(crosswalk_rows(mapping, "package", new_col="pkg_id"))
 
     # pkg_version: package key through the run's package map
@@ -88,7 +92,7 @@ def mapped_load(sources: SourceCatalogue, cut_lineage: bool = True) -> LoadResul
     links = mapped_projection(sources.asm_pkg_vsn_lnk, "assm_pkg_vrs").select(
         F.col("assm_id").alias("asm_ref"), F.col("pkg_vrs_id").alias("pkg_vsn_ref")
     )
-    both = remap(remap(links, run_map(), "assembly", "asm_ref", "assm_id", "left"), run_map(), "pkg_version", "pkg_vsn_ref", "pkg_vrs_id", "left")
+    both = keep(remap(remap(links, run_map(), "assembly", "asm_ref", "assm_id", "left"), run_map(), "pkg_version", "pkg_vsn_ref", "pkg_vrs_id", "left"))
     rejects["links_with_unmapped_end"] = both.where(F.col("assm_id").isNull() | F.col("pkg_vrs_id").isNull())
     out["assm_pkg_vrs"] = both.where(F.col("assm_id").isNotNull() & F.col("pkg_vrs_id").isNotNull()).select("assm_id", "pkg_vrs_id")
 
@@ -103,6 +107,7 @@ def mapped_load(sources: SourceCatalogue, cut_lineage: bool = True) -> LoadResul
     )
     rejects["changes_without_version"] = audit.rejected_by_parent(narrow, run_map(), "pkg_version", "pkg_vsn_ref")
     keyed = numbered(remap(narrow, run_map(), "pkg_version", "pkg_vsn_ref", "_new_vrs"), "_new_id")
+    maps.append(crosswalk_rows(keyed, "changelog", new_col="_new_id"))
     name_col = joined_column("vulnerabilities", "name")
     idents = known_idents_per_change(sources.chg_vln_lnk, sources.vulnerabilities).select(
         F.col("chg_ref").alias("old_id"), F.col("log_ident").alias(name_col)
@@ -117,10 +122,8 @@ def mapped_load(sources: SourceCatalogue, cut_lineage: bool = True) -> LoadResul
         "_new_id",
         F.col("old_id"),
     )
-    projected = mapped_projection(complete, "changelog", keep=("_new_id", "old_id"))
-    keyed = projected.drop("id").withColumnRenamed("_new_id", "id")
-    out["changelog"] = keyed.select(*TARGET_SCHEMAS["changelog"].fieldNames())
-    maps.append(crosswalk_rows(keyed, "changelog", new_col="id"))
+    projected = mapped_projection(complete, "changelog", keep=("_new_id",))
+    out["changelog"] = projected.drop("id").withColumnRenamed("_new_id", "id").select(*TARGET_SCHEMAS["changelog"].fieldNames())
 
     # urgency: new key per row
     projected = mapped_projection(sources.urgency, "urgency").withColumnRenamed("urg_id", "old_id")

@@ -15,11 +15,11 @@ from pyspark.sql import functions as F
 
 from .functions import clean as C
 from .operators import audit, changelog as cl, crosswalk as xw, evidence as ev, links as lk, projection as pj
-from .operators.keys import crosswalk_rows, dense_keys, union_crosswalks
+from .operators.keys import crosswalk_rows, dense_keys, key_bounds, union_crosswalks
 from .operators.natural_key import distinct_names_keyed, get_or_create_by_name, get_or_create_version
 from .plans.cve_status import merge_fix_status
 from .plans.integrity import integrity_report
-from .plans.load import full_load, incremental_load
+from .plans.load import LoadResult, full_load, incremental_load
 from .plans.mapped_load import mapped_load
 from .sources.catalog import conform, read_crosswalk
 from .sources.fixtures import FixtureCatalogue, fixture_catalogue
@@ -103,6 +103,27 @@ def q_mapped_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pj.mapped_projection(fixtures(spark, sf_dir).sources.assemblies, "assembly")
 
 
+def _mapped_projection(target: str) -> Callable[[SparkSession, str], DataFrame]:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        src = fixtures(spark, sf_dir).sources
+        if target == "project":
+            staged = pj.projects_with_vendor(src.projects, src.publishers)
+            base = staged.withColumnsRenamed({"old_id": "id", "vendor": pj.joined_column("publishers", "name")})
+        elif target == "changelog":
+            idents = cl.known_idents_per_change(src.chg_vln_lnk, src.vulnerabilities).select(
+                F.col("chg_ref").alias("id"), F.col("log_ident").alias(pj.joined_column("vulnerabilities", "name"))
+            )
+            times = src.pkg_versions.select(
+                F.col("id").alias("pkg_vsn_ref"), F.col("time").alias(pj.joined_column("pkg_versions", "time"))
+            )
+            base = src.changes.join(times, "pkg_vsn_ref", "left").join(idents, "id", "left")
+        else:
+            base = getattr(src, pj.MAPPING_BASE[target])
+        return pj.mapped_projection(base, target)
+
+    return query
+
+
 def q_clean_projects(spark: SparkSession, sf_dir: str) -> DataFrame:
     src = fixtures(spark, sf_dir).sources
     return pj.clean_projects(pj.projects_with_vendor(src.projects, src.publishers))
@@ -222,13 +243,19 @@ def q_package_get_or_create(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_version_get_or_create(spark: SparkSession, sf_dir: str) -> DataFrame:
     fx = fixtures(spark, sf_dir)
-    pkg_pairs = union_crosswalks(
-        fx.crosswalk, crosswalk_rows(_package_mapping(fx), "src_packages", new_col="pkg_id")
-    )
+    area = StageArea(spark, "versions")
+    _release_at_exit(area)
+    # Staged as in the load flow: numbering reads its input more than once.
+    packages, _ = area.put(_package_mapping(fx), "packages")
+    pkg_pairs = union_crosswalks(fx.crosswalk, crosswalk_rows(packages, "src_packages", new_col="pkg_id"))
     pv = pj.clean_pkg_versions(fx.sources.pkg_versions, RUN_TS)
     delta = xw.only_new(pv, fx.crosswalk, "pkg_versions")
     mapped = xw.remap(delta, pkg_pairs, "src_packages", "src_pkg_ref", "pkg_id").drop("src_pkg_ref")
-    mapping, _ = get_or_create_version(mapped, existing_versions(fx))
+    mapped, seen = area.put(mapped, "delta", key_bounds("old_id"))
+    existing, _ = area.put(existing_versions(fx), "existing")
+    mapping, _ = get_or_create_version(
+        mapped, existing, materialize=lambda df: area.put(df, "numbered")[0], bounds=(seen["lo"], seen["hi"])
+    )
     return mapping.select("old_id", "pkg_id", "version", "pkg_vrs_id")
 
 
@@ -365,8 +392,34 @@ def _release_at_exit(result):
     return result
 
 
+_FLOWS: dict[tuple[str, str], tuple[SparkSession, LoadResult]] = {}
+
+
+def _flow(spark: SparkSession, sf_dir: str, name: str) -> LoadResult:
+    """The result of a load flow, run once per folder and session; its tables are staged files."""
+    held = _FLOWS.get((name, sf_dir))
+    if held is None or held[0] is not spark:
+        fx = fixtures(spark, sf_dir)
+        if name == "full":
+            result = full_load(fx.sources, RUN_TS)
+        elif name == "incremental":
+            result = incremental_load(fx.sources, RUN_TS, existing_targets(fx), fx.crosswalk)
+        else:
+            result = mapped_load(fx.sources)
+        held = _FLOWS[name, sf_dir] = (spark, _release_at_exit(result))
+    return held[1]
+
+
+def _flow_table(name: str, table: str) -> Callable[[SparkSession, str], DataFrame]:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        result = _flow(spark, sf_dir, name)
+        return result.crosswalk if table == "crosswalk" else result.targets[table]
+
+    return query
+
+
 def q_full_load_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _release_at_exit(full_load(fixtures(spark, sf_dir).sources, RUN_TS)).counts()
+    return _flow(spark, sf_dir, "full").counts()
 
 
 def existing_targets(fx: FixtureCatalogue) -> dict[str, DataFrame]:
@@ -382,12 +435,11 @@ def existing_targets(fx: FixtureCatalogue) -> dict[str, DataFrame]:
 
 
 def q_incremental_load_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fx = fixtures(spark, sf_dir)
-    return _release_at_exit(incremental_load(fx.sources, RUN_TS, existing_targets(fx), fx.crosswalk)).counts()
+    return _flow(spark, sf_dir, "incremental").counts()
 
 
 def q_mapped_load_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    result = _release_at_exit(mapped_load(fixtures(spark, sf_dir).sources))
+    result = _flow(spark, sf_dir, "mapped")
     rejects = audit.row_counts([(f"reject:{name}", df) for name, df in result.rejects.items()])
     return result.counts().unionByName(rejects)
 
@@ -443,3 +495,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "mapped_load_counts": q_mapped_load_counts,
     "integrity_report": q_integrity_report,
 }
+
+LOADED = ("project", "assembly", "package", "pkg_version", "urgency", "vulnerabilities", "assm_pkg_vrs", "changelog", "crosswalk")
+for _load in ("full", "incremental", "mapped"):
+    for _table in LOADED:
+        if _load != "mapped" or _table != "vulnerabilities":  # the declared mapping has no CVE target
+            QUERIES[f"{_load}_load_{_table}"] = _flow_table(_load, _table)
+for _target in ("project", "package", "pkg_version", "assm_pkg_vrs", "changelog", "urgency"):
+    QUERIES[f"mapped_projection_{_target}"] = _mapped_projection(_target)
