@@ -8,9 +8,9 @@ SF = "/root/testdata/sf0.001"
 
 
 def _names():
-    from __spark_entry__ import queries
+    from catalink.registry import QUERIES
 
-    return list(queries())
+    return list(QUERIES)
 
 
 @pytest.fixture(scope="module")

@@ -8,9 +8,9 @@ FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "
 
 
 def _names():
-    from __spark_entry__ import queries
+    from catalink.registry import QUERIES
 
-    return list(queries())
+    return list(QUERIES)
 
 
 @pytest.mark.parametrize("name", _names())
