@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .crosswalk import for_table, remap
+from .crosswalk import remap, unmapped
 from .links import remap_links
 
 
@@ -81,8 +81,7 @@ def table_sample(df: DataFrame, cols: list[str], order: list[str], n: int = 10)
 
 def rejected_by_parent(df: DataFrame, crosswalk: DataFrame, table: str, ref_col: str) -> DataFrame:
     """rows whose parent reference has no mapping (the reject frame of a remap)."""
-    keys = for_table(crosswalk, table).select(F.col("old_id").alias("_xw_old"))
-    return df.join(keys, df[ref_col] == keys["_xw_old"], "left_anti")
+    return unmapped(df, crosswalk, table, ref_col)
 
 
 def rejected_change_links(

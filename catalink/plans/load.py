@@ -156,6 +156,22 @@ def load_catalogue(
     """Run all load steps; ``full=True`` is W1, ``False`` is W2."""
     spark = sources.projects.sparkSession
     steps = _Steps(spark, crosswalk if crosswalk is not None else empty_crosswalk(spark), cut_lineage)
+    try:
+        return _run_steps(steps, sources, run_ts, targets, full)
+    except BaseException:
+        if steps.stage is not None:
+            steps.stage.release()
+        raise
+
+
+def _run_steps(
+    steps: _Steps,
+    sources: SourceCatalogue,
+    run_ts: dt.datetime | str,
+    targets: dict[str, DataFrame] | None,
+    full: bool,
+) -> LoadResult:
+    spark = steps.spark
     out: dict[str, DataFrame] = {}
     rejects: dict[str, DataFrame] = {}
     zero_is_null = not full

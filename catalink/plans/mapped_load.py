@@ -33,8 +33,18 @@ from .load import LoadResult
 
 
 def mapped_load(sources: SourceCatalogue, cut_lineage: bool = True) -> LoadResult:
+    """Every target by the declared mapping; staged tables go if a step fails."""
+    stage = StageArea(sources.projects.sparkSession, "mapped") if cut_lineage else None
+    try:
+        return _run_steps(sources, stage)
+    except BaseException:
+        if stage is not None:
+            stage.release()
+        raise
+
+
+def _run_steps(sources: SourceCatalogue, stage: StageArea | None) -> LoadResult:
     spark = sources.projects.sparkSession
-    stage = StageArea(spark, "mapped") if cut_lineage else None
 
     def keep(df: DataFrame) -> DataFrame:
         return stage.put(df, "step")[0] if stage is not None else df
