@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from .shipping import ship_package
 from .staging import put, stage_area
-from .text import Rolling, as_long, blocks, combine, mix, word_hashes
+from .text import Rolling, blocks, combine, mix, word_hashes
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
@@ -161,7 +161,7 @@ def thresholds(counts: DataFrame, min_docs: int = MIN_GROUP_DOCS) -> DataFrame:
         chosen = (
             F.when(F.col("n_own") >= min_docs, F.col(f"{rule}_own"))
             .when(F.col("n_lang") >= min_docs, F.col(f"{rule}_lang"))
-            .otherwise(F.col(f"{rule}_all"))
+            .when(F.col("n_all") > 0, F.col(f"{rule}_all"))  # else no document passes, and no fence is needed
         )
         columns.append(chosen.alias(rule))
     fences = joined.select("g.lang", "g.source", *columns)
