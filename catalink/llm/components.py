@@ -5,11 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.sinks import StageArea
-from .staging import put
+from .staging import Tables, put
 
 
-def components(edges: DataFrame, area: StageArea, name: str) -> DataFrame:
+def components(edges: DataFrame, area: Tables, name: str) -> DataFrame:
     """``node, component`` (the smallest node) of every node in ``edges(a, b)``, longs.
 
     Alternating large-star and small-star steps: every node links its larger
@@ -18,9 +17,8 @@ def components(edges: DataFrame, area: StageArea, name: str) -> DataFrame:
     aggregated to its minimum before it is joined back, and each step is a
     written table.
     """
-    current = put(
-        area, edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct(), f"{name}-edges"
-    )
+    first = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v")
+    current = put(area, first.distinct(), f"{name}-edges")
     step = 0
     while True:
         step += 1
@@ -28,15 +26,13 @@ def components(edges: DataFrame, area: StageArea, name: str) -> DataFrame:
         lows = put(area, both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("low")), f"{name}-low{step}")
         large = both.filter("v > u").join(lows, "u").select(F.col("v").alias("u"), F.col("low").alias("v"))
         large = put(area, large.filter("u <> v").distinct(), f"{name}-large{step}")
-        mins = put(area, large.groupBy("u").agg(F.min("v").alias("low")), f"{name}-min{step}")
-        joined = large.join(mins, "u")
-        small = joined.select(F.col("v").alias("u"), F.col("low").alias("v")).union(joined.select("u", F.col("low").alias("v")))
-        after = put(area, small.filter("u <> v").distinct(), f"{name}-small{step}")
+        mins = put(area, large.groupBy("u").agg(F.min("v").alias("low"), F.count(F.lit(1)).alias("n")), f"{name}-min{step}")
         # Done when the edges are stars: every node has one parent, and no parent has one.
-        parents = after.groupBy("u").agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("v"))
-        chained = after.select(F.col("v").alias("u")).distinct().join(after.select("u").distinct(), "u", "left_semi")
-        if parents.filter("n > 1").isEmpty() and chained.isEmpty():
-            stars = after.select(F.col("u").alias("node"), F.col("v").alias("component"))
-            roots = after.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
+        chained = large.join(mins.select(F.col("u").alias("v")), "v", "left_semi")
+        if mins.filter("n > 1").isEmpty() and chained.isEmpty():
+            stars = large.select(F.col("u").alias("node"), F.col("v").alias("component"))
+            roots = large.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
             return stars.union(roots)
-        current = after
+        joined = large.join(mins, "u")
+        small = joined.select(F.col("v").alias("u"), F.col("low").alias("v")).union(joined.select("u", F.col("low").alias("v")))
+        current = put(area, small.filter("u <> v").distinct(), f"{name}-small{step}")

@@ -6,22 +6,25 @@ size class; inside a class the hash decides.  The order is cut in fragments,
 and the overlap of a pair is the sum of its partial overlaps:
 
 * the *front* fragment of a document is its first ``|x| - ceil(t |x|) + 1``
-  n-grams.  Two sets with similarity ``t`` share some of it, and more: at
-  least the required overlap less what the longer rest could add.  The partial
-  overlaps of the front fragments are counted from postings, per pair;
-* pairs that can still reach the threshold have their partial overlaps
-  counted in each of ``FRAGMENTS`` hash fragments, separately, and summed.
+  n-grams: sets with similarity ``t`` share one there.  A pair is met at an
+  n-gram only if what follows it in both orders can still reach the overlap
+  the pair needs, and its partial overlap in front is counted before any other;
+* pairs that the front overlap leaves open have their partial overlaps counted
+  in each of ``FRAGMENTS`` hash fragments, separately, and summed.
 
 Documents with equal sets are one node, so copies never meet as pairs.  Large
-groups of near copies are linked first to the smallest node they share an
-n-gram with (a star, linear in the postings); pairs are then counted only
-between nodes that are not yet connected, which loses no component: a link
-inside a component changes nothing.
+groups of near copies are linked first to one node of each n-gram's postings,
+the one in whose order the n-gram comes earliest (in a group, the one with the
+fewest edits): a star, linear in the postings.  After that only nodes that are
+not yet connected meet, which loses no component: a link inside a component
+changes nothing.
 
 Edge cases: null texts and texts without a word have no n-grams and link with
 nothing; with fewer than ``n`` words the whole sequence is the one n-gram;
-repeated rows and ties get the same component; a null id counts as the
-smallest; an empty table gives an empty result; only id and text are read.
+repeated rows and ties get the same component, as do rows that repeat an id; a
+null id counts as the smallest; an empty table gives an empty result; only id
+and text are read.  Sets are told apart by 64-bit keys, n-grams by 64-bit
+hashes.
 """
 
 from __future__ import annotations
@@ -33,10 +36,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..sources.sinks import StageArea
 from .components import components
 from .shipping import ship_package
-from .staging import put, stage_area
+from .staging import Tables, put, stage_area
 from .text import LOWER_AZ, Block, Rolling, as_long, blocks, combine, mix, within, word_hashes
 
 WORDS = 5
@@ -44,9 +46,9 @@ THRESHOLD_PERCENT = 75
 FRAGMENTS = 4
 # The heavy-hitter summary: entries a task keeps, the least corpus count that is heavy,
 # entries sent to the tasks.
-SUMMARY_TASK = 1 << 15
+SUMMARY_TASK = 1 << 17
 SUMMARY_HELD = 1 << 21  # n-grams of a task that are counted together
-HEAVY_COUNT = 32
+HEAVY_COUNT = 16
 HEAVY_MAX = 1 << 17
 
 
@@ -136,7 +138,7 @@ def _survey_rows(n: int):
 
 
 def _front_rows(n: int, percent: int, heavy, classes):
-    """``gram, node, size, heavy``: the front fragment of every document's set in the global order."""
+    """``gram, node, size, pos, heavy``: the front fragment of every document's set in the global order."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, level = heavy.value, classes.value
@@ -151,16 +153,18 @@ def _front_rows(n: int, percent: int, heavy, classes):
                 rank = np.where(known[at] == grams, level[at], 0)
             doc = np.repeat(np.arange(block.rows), size)
             order = np.lexsort((grams, rank, doc))
-            front = np.repeat(front_size(size, percent), size) > within(size)
+            place = within(size)
+            front = np.repeat(front_size(size, percent), size) > place
             pick = order[front]
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(as_long(grams[pick])),
                     pa.array(as_long(set_keys(grams, off))[doc[pick]]),
                     pa.array(size[doc[pick]].astype(np.int32)),
+                    pa.array(place[front].astype(np.int32)),
                     pa.array(rank[pick] > 0),
                 ],
-                names=["gram", "node", "size", "heavy"],
+                names=["gram", "node", "size", "pos", "heavy"],
             )
 
     return rows
@@ -229,71 +233,66 @@ def similarity_components(
 
     # Front postings of n-grams that two or more sets hold in front.
     front = texts.mapInArrow(
-        _front_rows(n, percent, heavy, classes), "gram long, node long, size int, heavy boolean"
+        _front_rows(n, percent, heavy, classes), "gram long, node long, size int, pos int, heavy boolean"
     )
     return _joined(area, texts, members, front, n, percent, key)
 
 
 def _joined(
-    area: StageArea, texts: DataFrame, members: DataFrame, front: DataFrame, n: int, percent: int, key: str
+    area: Tables, texts: DataFrame, members: DataFrame, front: DataFrame, n: int, percent: int, key: str
 ) -> DataFrame:
     """From the sets' nodes and the front postings to the components of the documents."""
     nodes = put(
         area, members.groupBy("node").agg(F.min("id").alias("rep"), F.first("size").alias("size")), "nodes"
     )
-    light = front.filter("not heavy").select("gram", "node", "size")
+    # Postings of n-grams that two or more sets have in front; heavy ones are known to be shared.
+    columns = ["gram", "node", "size", "pos"]
     group = Window.partitionBy("gram")
-    shared = (
-        light.withColumn("lo", F.min("node").over(group))
-        .withColumn("hi", F.max("node").over(group))
-        .filter("lo <> hi")
-        .select("gram", "node", "size")
-    )
-    common = front.filter("heavy").select("gram", "node", "size")
-    postings = put(area, shared.union(common).distinct(), "postings")
+    light = front.filter("not heavy").select(*columns)
+    shared = light.withColumn("lo", F.min("node").over(group)).withColumn("hi", F.max("node").over(group)).filter("lo <> hi")
+    common = front.filter("heavy").select(*columns)
+    postings = put(area, shared.select(*columns).union(common).distinct(), "postings")
 
-    # Stars: every node with the smallest node of each of its n-grams; the best partner of a node is verified.
-    hubs = put(area, postings.groupBy("gram").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("n")).filter("n > 1"), "hubs")
+    # Stars: every node with the hub of each of its n-grams; the best partner of a node is verified.
+    hubs = put(area, _hubs(postings), "hubs")
     arms = (
         postings.join(hubs, "gram")
         .filter("node <> hub")
+        .filter(_can_meet("size", "pos", "hub_size", "hub_pos", percent))
         .groupBy("node", "hub")
-        .agg(F.count(F.lit(1)).alias("shared"), F.first("size").alias("size"))
+        .agg(F.count(F.lit(1)).alias("shared"))
     )
-    best = arms.groupBy("node", "size").agg(F.max_by("hub", F.struct("shared", "hub")).alias("hub"), F.max("shared").alias("shared"))
-    sizes = nodes.select(F.col("node").alias("hub"), F.col("size").alias("hub_size"))
-    stars = best.join(sizes, "hub").filter(_can_link("size", "hub_size", "shared", percent))
-    first_pairs = put(area, stars.select(F.col("node").alias("x"), F.col("hub").alias("y")), "star-pairs")
-    links = put(area, _verified(area, texts, nodes, first_pairs, n, percent, "star"), "star-links")
-    grouped = put(area, components(links.select(F.col("x").alias("a"), F.col("y").alias("b")), area, "star"), "star-components")
-
-    # All other pairs: front overlaps between nodes that are not connected yet.
+    best = arms.groupBy("node").agg(F.max_by("hub", F.struct("shared", "hub")).alias("hub"))
+    first_pairs = put(area, best.select(F.least("node", "hub").alias("x"), F.greatest("node", "hub").alias("y")).distinct(), "star-pairs")
+    links = _verified(area, texts, nodes, postings, first_pairs, n, percent, "star")
+    grouped = components(links.select(F.col("x").alias("a"), F.col("y").alias("b")), area, "star")
+    grouped = put(area, grouped.withColumnRenamed("component", "grp"), "star-components")
+
+    area.drop("hubs", "star-pairs")
+
+    # All other pairs: nodes that are not connected yet and meet at an n-gram.
     tagged = put(
         area,
-        postings.join(grouped.withColumnRenamed("component", "grp"), "node", "left").select(
-            "gram", "node", "size", F.coalesce("grp", "node").alias("grp")
-        ),
+        postings.join(grouped, "node", "left").select(*columns, F.coalesce("grp", "node").alias("grp")),
         "tagged-postings",
     )
     open_grams = put(
         area,
-        tagged.groupBy("gram").agg(F.min("grp").alias("lo"), F.max("grp").alias("hi")).filter("lo <> hi").select("gram"),
+        tagged.groupBy("gram").agg(F.min("grp").alias("lo"), F.max("grp").alias("hi"), F.min("size").alias("least")).filter("lo <> hi").select("gram", "least"),
         "open-grams",
     )
-    left = put(area, tagged.join(open_grams, "gram", "left_semi"), "open-postings")
-    other = left.select(
-        F.col("gram").alias("gram_y"), F.col("node").alias("y"), F.col("size").alias("size_y"), F.col("grp").alias("grp_y")
-    )
-    near = f"100 * least(size, size_y) >= {percent} * greatest(size, size_y)"
-    met = (
-        left.withColumnRenamed("node", "x")
-        .join(other, F.expr(f"gram = gram_y AND x < y AND grp <> grp_y AND {near}"))
-        .groupBy("x", "y", "size", "size_y")
-        .agg(F.count(F.lit(1)).alias("shared"))
-        .filter(_can_link("size", "size_y", "shared", percent))
-    )
-    rest_pairs = put(area, met.select("x", "y"), "rest-pairs")
-    rest = put(area, _verified(area, texts, nodes, rest_pairs, n, percent, "rest"), "rest-links")
+    # A posting that cannot meet even the smallest set of its n-gram leaves.
+    least = f"greatest(least, ({percent} * size + 99) div 100)"
+    left = tagged.join(open_grams, "gram").filter(f"size - pos >= {_required('size', least, percent)}").select(*columns, "grp")
+    left = put(area, left, "open-postings")
+    area.drop("tagged-postings", "open-grams")
+    other = left.select(*(F.col(c).alias(f"{c}_y") for c in left.columns))
+    meets = _can_meet("size", "pos", "size_y", "pos_y", percent)
+    met = left.join(other, F.expr(f"gram = gram_y AND node < node_y AND grp <> grp_y AND {meets}"))
+    rest_pairs = put(area, met.select(F.col("node").alias("x"), F.col("node_y").alias("y")).distinct(), "rest-pairs")
+    rest = _verified(area, texts, nodes, postings, rest_pairs, n, percent, "rest")
+
+    area.drop("open-postings", "rest-pairs", "postings")
 
     rep = nodes.select("node", "rep")
     edges = (
@@ -317,20 +316,50 @@ def _joined(
     )
 
 
+def _hubs(postings: DataFrame) -> DataFrame:
+    """Of every n-gram the node in whose order it comes earliest, for its size."""
+    best = F.min(F.struct((F.col("pos") / F.col("size")).alias("place"), "node", "size", "pos")).alias("h")
+    return (
+        postings.groupBy("gram")
+        .agg(best, F.count(F.lit(1)).alias("n"))
+        .filter("n > 1")
+        .select("gram", F.col("h.node").alias("hub"), F.col("h.size").alias("hub_size"), F.col("h.pos").alias("hub_pos"))
+    )
+
+
+def _can_meet(x: str, pos_x: str, y: str, pos_y: str, percent: int) -> str:
+    """Whether sets of these sizes whose first common n-gram stands at these places can link at all."""
+    near = f"100 * least({x}, {y}) >= {percent} * greatest({x}, {y})"
+    return f"{near} AND least({x} - {pos_x}, {y} - {pos_y}) >= {_required(x, y, percent)}"
+
+
 def _can_link(x: str, y: str, shared: str, percent: int) -> str:
     """Upper bound of the overlap: what the fronts share, and all of the longer rest."""
     rest = f"greatest({x} - {_front(x, percent)}, {y} - {_front(y, percent)})"
-    near = f"100 * least({x}, {y}) >= {percent} * greatest({x}, {y})"
-    return f"{near} AND {shared} + {rest} >= {_required(x, y, percent)}"
+    return f"{shared} + {rest} >= {_required(x, y, percent)}"
 
 
 def _verified(
-    area: StageArea, texts: DataFrame, nodes: DataFrame, pairs: DataFrame, n: int, percent: int, name: str
+    area: Tables,
+    texts: DataFrame,
+    nodes: DataFrame,
+    postings: DataFrame,
+    pairs: DataFrame,
+    n: int,
+    percent: int,
+    name: str,
 ) -> DataFrame:
     """The pairs that link: partial overlaps counted per fragment, then summed per pair."""
+    # The front fragment first: most pairs that met by chance end here.
+    px = postings.select(F.col("node").alias("x"), "gram", F.col("size").alias("nx"))
+    py = postings.select(F.col("node").alias("node_y"), F.col("gram").alias("gram_y"), F.col("size").alias("ny"))
+    front = pairs.join(px, "x").join(py, F.expr("y = node_y AND gram = gram_y"))
+    front = front.groupBy("x", "y").agg(F.count(F.lit(1)).alias("shared"), F.first("nx").alias("nx"), F.first("ny").alias("ny"))
+    pairs = put(area, front.filter(_can_link("nx", "ny", "shared", percent)).select("x", "y"), f"{name}-open")
+
     needed = pairs.select(F.col("x").alias("node")).union(pairs.select(F.col("y").alias("node"))).distinct()
     sources = put(area, nodes.join(needed, "node", "left_semi").select("node", F.col("rep").alias("id")), f"{name}-nodes")
-    cut = texts.join(sources, "id").select("id", "node", "text").mapInArrow(
+    cut = texts.join(sources.hint("merge"), "id").select("id", "node", "text").mapInArrow(
         _fragment_rows(n, FRAGMENTS), "node long, fragment int, grams array<bigint>"
     )
     # a repeated id can bring the same set again
@@ -343,7 +372,9 @@ def _verified(
         .select("x", "y", F.size(F.array_intersect("gx", "gy")).alias("part"), F.size("gx").alias("nx"), F.size("gy").alias("ny"))
     )
     total = partial.groupBy("x", "y").agg(F.sum("part").alias("i"), F.sum("nx").alias("nx"), F.sum("ny").alias("ny"))
-    return total.filter(f"100 * i >= {percent} * (nx + ny - i)").select("x", "y")
+    links = put(area, total.filter(f"100 * i >= {percent} * (nx + ny - i)").select("x", "y"), f"{name}-links")
+    area.drop(f"{name}-open", f"{name}-nodes", f"{name}-fragments")
+    return links
 
 
 def keep_one_per_component(

@@ -75,5 +75,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     area = stage_area(spark, "pipeline")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs, _ = area.put(stage(spark, docs, sf_dir), name)
+        docs = area.put(stage(spark, docs, sf_dir), name)
     return STAGES[-1][1](spark, docs, sf_dir)
