@@ -1,18 +1,18 @@
 """Best-fit packing of tokenised documents into sequences of a fixed capacity.
 
-Bulk-synchronous best-fit: documents and gaps are sorted by size; in each sweep
-every document goes for its successor, the smallest gap that holds it;
-conflicts over the gaps of one size are resolved by rank (larger documents
-first, then their number); the gaps shrink, and the next sweep begins.  When
-nothing fits any more, as many sequences open as the remaining tokens need at
-least, each seeded with one of the largest documents left.
+Bulk-synchronous best-fit: documents and gaps are sorted by size, and the
+documents go in ranges of that order, the largest first.  In a step all
+documents of one size sweep for their successors, the smallest gaps that hold
+them; conflicts over the gaps of one size are resolved by rank: the lowest
+ranks share the first gap, as many as it holds, the next ranks the next one.
+Documents that find no gap open new sequences, the gaps are updated, and the
+next size follows.  The result is that of best-fit decreasing.
 
 Sizes are integers up to the capacity, so equal sizes are swept as runs: a
-sweep works on at most ``capacity`` counts of documents and runs of gaps,
-whatever the corpus, and yields a plan of rank intervals.  The pieces
-themselves stay distributed: Spark ranks them inside their size (in buckets,
-so that a size with a third of all pieces is split) and each looks its place
-up in the plan.
+step works on at most ``capacity`` sizes of gaps, whatever the corpus, and
+yields a plan of rank intervals.  The pieces themselves stay distributed:
+Spark ranks them inside their size (in buckets, so that a size with a third of
+all pieces is split) and each looks its place up in the plan.
 
 Edge cases: a null or empty text is the one end token; a text longer than the
 capacity is cut into full pieces and a rest; repeated rows are packed each;
@@ -22,9 +22,9 @@ only id and text are read, so other columns cannot clash.
 
 from __future__ import annotations
 
-import re
 import zlib
-from bisect import bisect_left
+from array import array
+from bisect import bisect_left, insort
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -37,24 +37,62 @@ from tokenizers import Tokenizer
 
 from .shipping import ship_package
 from .staging import put, stage_area
-from .text import blocks, within
+from .text import Block, Rolling, blocks, mix, within, word_bounds
 
 CAPACITY = 2048
 END_ID = 0
 # Pieces of one size are ranked inside so many buckets.
 RANK_BUCKETS = 64
-# Words a worker remembers the ids of; beyond that it starts afresh.
-CACHE_WORDS = 600_000
+# Pieces of words a worker remembers the ids of; beyond that it starts afresh.
+CACHE_PIECES = 600_000
 
-_PLAIN = re.compile(rb"([A-Za-z]+)([.,]?)")
+_UPPER = np.zeros(256, dtype=bool)
+_UPPER[ord("A") : ord("Z") + 1] = True
+_LETTER = _UPPER.copy()
+_LETTER[ord("a") : ord("z") + 1] = True
+# ASCII punctuation but for the apostrophe, which opens contractions.
+_PUNCT = np.array([33 <= b < 127 and not chr(b).isalnum() and b != ord("'") for b in range(256)])
 
 
-class WordIds:
-    """Token ids of whole words, remembered per worker.
+def cut_words(block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Two pieces of every word as byte ranges, the bytes to read them from, and the documents' word offsets.
+
+    A word of letters (ASCII and U+00C0 to U+00FF) and then punctuation is cut
+    between them and its letters are lower-cased, as the tokenizer does it; any
+    other word is one piece, as it stands, and an empty one.
+    """
+    starts, ends, first = word_bounds(block)
+    data = block.data
+    # The two bytes of U+00C0 .. U+00FF, but for the multiplication and division signs.
+    lead = data == 0xC3
+    after = np.zeros(len(data), bool)
+    after[1:] = lead[:-1]
+    latin = after & (data != 0x97) & (data != 0xB7)
+    letter = _LETTER[data] | latin
+    letter[:-1] |= latin[1:]
+    punct = _PUNCT[data]
+    count = lambda marks: np.concatenate(([0], np.cumsum(marks)))
+    letters, known = count(letter), count(letter | punct)
+    back = np.zeros(len(data), bool)
+    back[1:] = letter[1:] & punct[:-1]  # letters after punctuation
+    turns = count(back)
+    plain = letter[starts] if len(starts) else np.zeros(0, bool)
+    plain &= (known[ends] - known[starts] == ends - starts) & (turns[ends] == turns[starts + 1])
+    middle = np.where(plain, starts + letters[ends] - letters[starts], ends)
+    inside = np.zeros(len(data) + 1, np.int64)
+    np.add.at(inside, starts[plain], 1)
+    np.add.at(inside, ends[plain], -1)
+    upper = (_UPPER[data] | latin & (data <= 0x9E)) & (np.cumsum(inside[:-1]) > 0)
+    folded = data + upper.astype(np.uint8) * np.uint8(0x20)
+    pieces = np.stack((starts, middle, middle, ends), axis=1).reshape(-1, 2)
+    return pieces, folded, starts, first
+
+
+class PieceIds:
+    """Token ids of pieces of words, remembered per worker.
 
     The tokenizer drops white space and never joins across it, so a text's ids
-    are its words' ids in a row.  A plain word is looked up in lower case and
-    without its full stop or comma, as the tokenizer folds and cuts it.
+    are its pieces' ids in a row.  Pieces are known by a 64-bit hash.
     """
 
     def __init__(self, path: str):
@@ -64,94 +102,60 @@ class WordIds:
         self.clear()
 
     def clear(self) -> None:
-        self.index: dict[bytes, int] = {}
-        self.start = np.zeros(1 << 12, np.int64)
-        self.size = np.zeros(1 << 12, np.int64)
-        self.flat = np.zeros(1 << 14, np.uint32)
-        self.words = self.used = 0
-
-    def _add(self, word: bytes, ids: list[int] | np.ndarray) -> int:
-        n = len(ids)
-        while self.used + n > len(self.flat):
-            self.flat = np.concatenate((self.flat, np.zeros_like(self.flat)))
-        if self.words == len(self.start):
-            self.start = np.concatenate((self.start, np.zeros_like(self.start)))
-            self.size = np.concatenate((self.size, np.zeros_like(self.size)))
-        self.flat[self.used : self.used + n] = ids
-        self.start[self.words], self.size[self.words] = self.used, n
-        self.index[word] = self.words
-        self.words += 1
-        self.used += n
-        return self.words - 1
-
-    def _ids(self, at: int) -> np.ndarray:
-        return self.flat[self.start[at] : self.start[at] + self.size[at]]
-
-    def _encode(self, words: list[bytes]) -> None:
-        """Tokenise new words, joined by spaces in one call; offsets tell them apart."""
-        texts = [w.decode("utf-8", "replace") for w in words]
+        self.known: dict[int, int] = {}
+        self.start, self.size, self.flat = array("q"), array("q"), array("I")
+
+    def _tokenise(self, pieces: list[bytes]) -> None:
+        """Append new pieces, joined by spaces in one call; offsets tell them apart."""
+        texts = [p.decode("utf-8", "replace") for p in pieces]
         begins = np.cumsum([0] + [len(t) + 1 for t in texts])
         got = self.tokenizer.encode(" ".join(texts), add_special_tokens=False)
-        ids = np.array(got.ids, np.uint32)
         owner = np.searchsorted(begins, [a for a, _ in got.offsets], side="right") - 1
-        cuts = np.searchsorted(owner, np.arange(len(words) + 1))
-        for k, word in enumerate(words):
-            self._add(word, ids[cuts[k] : cuts[k + 1]])
-
-    def learn(self, words: set[bytes]) -> None:
-        folded: dict[bytes, tuple[bytes, bytes]] = {}
-        fresh: set[bytes] = set()
-        for word in words:
-            m = _PLAIN.fullmatch(word)
-            parts = (m[1].lower(), m[2]) if m else (word, b"")
-            folded[word] = parts
-            fresh.update(p for p in parts if p and p not in self.index)
-        if fresh:
-            todo = sorted(fresh)
-            for at in range(0, len(todo), 4096):
-                self._encode(todo[at : at + 4096])
-        for word, (stem, stop) in folded.items():
-            if word not in self.index:
-                ids = self._ids(self.index[stem])
-                self._add(word, np.concatenate((ids, self._ids(self.index[stop]))) if stop else ids)
-
-    def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts, each closed by ``END_ID``, and the texts' offsets."""
-        if self.words > CACHE_WORDS:
+        cuts = np.searchsorted(owner, np.arange(len(pieces) + 1))
+        self.start.extend((cuts[:-1] + len(self.flat)).tolist())
+        self.size.extend(np.diff(cuts).tolist())
+        self.flat.extend(got.ids)
+
+    def encode(self, block: Block) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts of the block, each closed by ``END_ID``, and the texts' offsets."""
+        if len(self.known) > CACHE_PIECES:
             self.clear()
-        words = [t.split() for t in texts]  # bytes.split() cuts at space and 0x09-0x0D
-        every = [w for ws in words for w in ws]
-        at = list(map(self.index.get, every))
-        if None in at:
-            self.learn({w for w, k in zip(every, at, strict=True) if k is None})
-            at = list(map(self.index.get, every))
-        at = np.array(at, np.int64)
-        size = self.size[at] if len(at) else np.zeros(0, np.int64)
-        counts = np.array([len(ws) for ws in words], np.int64)
-        ends = np.concatenate(([0], np.cumsum(size)))[np.cumsum(counts)]  # ids up to the end of each text
-        off = np.concatenate(([0], ends + np.arange(1, len(texts) + 1)))
+        pieces, data, _, first = cut_words(block)
+        hashes = Rolling(mix(data.astype(np.uint64) + np.uint64(1))).ranges(pieces[:, 0], pieces[:, 1])
+        uniq, where, each = np.unique(hashes, return_index=True, return_inverse=True)
+        uniq = uniq.tolist()
+        fresh = [k for k, h in enumerate(uniq) if h not in self.known]
+        for at in range(0, len(fresh), 4096):
+            part = fresh[at : at + 4096]
+            count = len(self.start)
+            ranges = pieces[where[part]].tolist()
+            self._tokenise([data[a:b].tobytes() for a, b in ranges])
+            self.known.update(zip((uniq[k] for k in part), range(count, count + len(part)), strict=True))
+        index = np.array([self.known[h] for h in uniq], np.int64)[each]
+        start, size = np.array(self.start, np.int64)[index], np.array(self.size, np.int64)[index]
+        ends = np.concatenate(([0], np.cumsum(size)))[2 * first[1:]]  # ids up to the end of each text
+        off = np.concatenate(([0], ends + np.arange(1, block.rows + 1)))
         out = np.full(int(off[-1]), END_ID, np.uint32)
         real = np.ones(len(out), bool)
         real[off[1:] - 1] = False
-        if len(at):
-            out[real] = self.flat[np.repeat(self.start[at], size) + within(size)]
+        out[real] = np.array(self.flat, np.uint32)[np.repeat(start, size) + within(size)]
         return out, off
 
 
-_LOADED: dict[str, WordIds] = {}
+_LOADED: dict[str, PieceIds] = {}
 
 
-def _word_ids(path: str) -> WordIds:
+def _piece_ids(path: str) -> PieceIds:
     if path not in _LOADED:
-        _LOADED[path] = WordIds(path)
+        _LOADED[path] = PieceIds(path)
     return _LOADED[path]
 
 
 def _piece_rows(vocabulary: str, capacity: int, with_ids: bool):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _word_ids(public_tokenizers.path(vocabulary))
+        known = _piece_ids(public_tokenizers.path(vocabulary))
         for block in blocks(batches):
-            ids, off = known.encode([block.text(i) for i in range(block.rows)])
+            ids, off = known.encode(block)
             size = np.diff(off)
             n = -(-size // capacity)
             piece = within(n)
@@ -204,53 +208,48 @@ class Plan:
 
 def sweep_plan(counts: dict[int, int], capacity: int) -> Plan:
     """Bulk-synchronous best-fit over runs of equal sizes (see the module's text)."""
-    left = {size: n for size, n in counts.items() if n > 0}
-    taken = dict.fromkeys(left, 0)
     gaps: dict[int, list[tuple[int, int]]] = {}  # gap size -> runs of sequences (first, count)
+    sizes: list[int] = []  # the gap sizes, ascending
     rows: list[tuple[int, int, int, int]] = []
     opened = 0
 
-    def place(size: int, n: int, first: int, gap: int) -> None:
-        rows.append((size, taken[size], first, capacity - gap))
-        taken[size] += n
-        left[size] -= n
-        if not left[size]:
-            del left[size]
-        if gap > size:
-            updates.append((gap - size, first, n))
-
-    while left:
-        # Sweep: successors of all sizes, from the largest.
-        by_gap: dict[int, list[int]] = {}
-        sizes = sorted(gaps)
-        for size in sorted(left, reverse=True):
-            k = bisect_left(sizes, size)
-            if k < len(sizes):
-                by_gap.setdefault(sizes[k], []).append(size)
+    for size in sorted((k for k, n in counts.items() if n > 0), reverse=True):
+        left, rank = counts[size], 0
         updates: list[tuple[int, int, int]] = []
-        if by_gap:
-            for gap, wanting in by_gap.items():
-                runs = gaps.pop(gap)
-                for size in wanting:  # conflicts: the larger size has the lower rank
-                    while runs and size in left:
-                        first, count = runs.pop()
-                        n = min(count, left[size])
-                        place(size, n, first, gap)
-                        if count > n:
-                            runs.append((first + n, count - n))
-                if runs:
-                    gaps[gap] = runs
-        else:
-            need = max(1, -(-sum(s * n for s, n in left.items()) // capacity))
-            for size in sorted(left, reverse=True):
-                if need <= 0:
-                    break
-                n = min(need, left[size])
-                place(size, n, opened, capacity)
-                opened += n
-                need -= n
-        for gap, first, n in updates:
-            gaps.setdefault(gap, []).append((first, n))
+
+        def fill(gap: int, first: int, count: int) -> int:
+            """Documents go by rank to ``count`` gaps, as many as a gap holds to each; the number of gaps used."""
+            nonlocal left, rank
+            each, used = gap // size, 0
+            for per, many in ((each, min(count, left // each)), (left % each, 1)):
+                if per and many and used + many <= count and per * many <= left:
+                    for j in range(per):
+                        rows.append((size, rank, first + used, capacity - gap + j * size))
+                        rank += many
+                    left -= per * many
+                    updates.append((gap - per * size, first + used, many))
+                    used += many
+            return used
+
+        at = bisect_left(sizes, size)  # the successor: the smallest gap that holds this size
+        while left and at < len(sizes):
+            gap = sizes[at]
+            runs = gaps[gap]
+            while runs and left:
+                first, count = runs.pop()
+                used = fill(gap, first, count)
+                if used < count:
+                    runs.append((first + used, count - used))
+            if not runs:
+                del gaps[gap], sizes[at]
+        if left:
+            opened += fill(capacity, opened, left)
+        for gap, first, many in updates:
+            if gap:
+                if gap not in gaps:
+                    gaps[gap] = []
+                    insort(sizes, gap)
+                gaps[gap].append((first, many))
     table = np.array(sorted(rows), np.int64).reshape(-1, 4)
     return Plan(*table.T)
 

@@ -43,7 +43,7 @@ def assert_packed(rows, capacity):
         gap = free.pop(k) if k < len(free) else capacity
         opened += gap == capacity
         bisect.insort(free, gap - length)
-    assert len(held) <= opened + max(1, opened // 100)
+    assert len(held) == opened
 
 
 def test_query(spark, sf_dir, documents, tokenizer):
@@ -111,7 +111,7 @@ def test_plan_is_sound_and_tight(seed):
         gap = free.pop(k) if k < len(free) else capacity
         opened += gap == capacity
         bisect.insort(free, gap - length)
-    assert len(held) <= opened * 1.02 + 1
+    assert len(held) == opened
 
 
 def test_empty_table(spark):
