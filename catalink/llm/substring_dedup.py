@@ -25,7 +25,7 @@ from .windows import Hashes, Scheme, cut_repeats, removed_symbols
 
 def karp_rabin(sym: np.ndarray, s: Scheme) -> Hashes:
     rolling = Rolling(sym)
-    return rolling.windows(s.gram), rolling.windows(s.core), rolling.windows(s.length)
+    return rolling.windows(s.gram), rolling.windows(s.core), rolling.windows(s.inner), rolling.windows(s.length)
 
 
 def word_scheme(length: int) -> Scheme:

@@ -7,11 +7,11 @@ identifiers the previous one made, so ``length`` bytes take about
 ``log2(length)`` of them.  Identifiers are hashes, hence the same in every
 task, and equality of buckets is all that dedup needs of the order.
 
-Spark sorts the suffixes by these identifiers in three rounds (see
+Spark sorts the suffixes by these identifiers in four rounds (see
 ``windows``): by the bucket of an anchored suffix's core, where suffixes alone
 in their bucket leave; by the pair of that bucket and the buckets at the first
-and last offset of the run; and, for what is still open, by the bucket of each
-single suffix.  Every byte covered by a ``length``-byte string that also
+and last offset of the run; for what is still open, by the same pair for parts
+of the run; and last by the bucket of each single suffix.  Every byte covered by a ``length``-byte string that also
 starts anywhere else, in the same document or another, is removed.
 
 Edge cases: a null text is empty; texts shorter than ``length`` bytes keep
@@ -44,8 +44,8 @@ def refine_buckets(sym: np.ndarray, lengths: list[int]) -> list[np.ndarray]:
 
 
 def bucket_pointers(sym: np.ndarray, s: Scheme) -> Hashes:
-    gram, core, string = refine_buckets(sym, [s.gram, s.core, s.length])
-    return gram, core, string
+    gram, core, inner, string = refine_buckets(sym, [s.gram, s.core, s.inner, s.length])
+    return gram, core, inner, string
 
 
 def byte_scheme(length: int) -> Scheme:

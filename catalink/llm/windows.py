@@ -12,7 +12,9 @@ so consecutive strings travel together:
   every string of the run holds) and its *whole* (all symbols of the run);
 * a core that occurs once proves that no string of the run occurs elsewhere;
   a whole that occurs again proves that all of them do.  Only runs with a
-  known core and a whole of their own are opened into single strings.
+  known core and a whole of their own are opened, first into *parts* of
+  ``block`` strings, judged by an inner core and a whole of their own, and
+  those that are still open into single strings.
 
 Nothing is sampled: the strings of every run are decided, whole texts are
 read, and a hot string meets only pre-aggregated counts and joins of two plain
@@ -40,8 +42,8 @@ _LOW = np.uint64((1 << _BITS) - 1)
 _HIGH = ~_LOW
 _SLICE = 1 << 19
 
-# (gram hash, core hash, string hash) at every position of a slice; shorter arrays at its end.
-Hashes = tuple[np.ndarray, np.ndarray, np.ndarray]
+# Hashes of a gram, a core, a part's inner core and a string at every position of a slice, as far as they fit.
+Hashes = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
 
 
 @dataclass(frozen=True)
@@ -58,6 +60,15 @@ class Scheme:
     def core(self) -> int:
         return self.length - self.spread + 1
 
+    @property
+    def block(self) -> int:
+        """Strings of a part: about the root of a run's."""
+        return 1 << (self.spread.bit_length() // 2)
+
+    @property
+    def inner(self) -> int:
+        return self.length - self.block + 1
+
     def symbols(self, block: Block) -> tuple[np.ndarray, np.ndarray]:
         """Hashed symbols of a block and the documents' offsets among them."""
         if self.words:
@@ -91,10 +102,10 @@ def _slices(sym: np.ndarray, off: np.ndarray, s: Scheme) -> Iterator[tuple[int,
 
 
 def block_runs(sym: np.ndarray, off: np.ndarray, s: Scheme) -> tuple[np.ndarray, ...]:
-    """``first, last, core, whole`` of every run of a block, positions within the block."""
+    """``first, last, anchor, core, whole`` of every run of a block, positions within the block."""
     parts = []
     for begin, part, starts in _slices(sym, off, s):
-        gram, core, string = s.hashes(part, s)
+        gram, core, _, string = s.hashes(part, s)
         key = (gram & _HIGH) | np.arange(len(gram), dtype=np.uint64)
         anchor = (sliding_min(key, s.spread)[starts] & _LOW).astype(np.int64)
         new = np.ones(len(starts), bool)
@@ -104,27 +115,28 @@ def block_runs(sym: np.ndarray, off: np.ndarray, s: Scheme) -> tuple[np.ndarray,
         at = anchor[new]
         shape = ((last - first) * s.spread + (at - first)).astype(np.uint64)
         whole = combine(combine(string[first], string[last]), shape)
-        parts.append((first + begin, last + begin, core[at], whole))
+        parts.append((first + begin, last + begin, at + begin, core[at], whole))
     if not parts:
         zero = np.zeros(0, np.int64)
-        return zero, zero, zero.astype(np.uint64), zero.astype(np.uint64)
+        return zero, zero, zero, zero.astype(np.uint64), zero.astype(np.uint64)
     return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
 
 
-def string_hashes(sym: np.ndarray, s: Scheme) -> np.ndarray:
-    """Hash of the string at every position of a block (garbage where none fits)."""
-    out = np.zeros(len(sym), np.uint64)
+def string_hashes(sym: np.ndarray, s: Scheme) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the inner core and of the string at every position of a block (garbage where none fits)."""
+    inner, string = np.zeros(len(sym), np.uint64), np.zeros(len(sym), np.uint64)
     for begin in range(0, len(sym), _SLICE):
-        string = s.hashes(sym[begin : begin + _SLICE + s.length + s.spread], s)[2][:_SLICE]
-        out[begin : begin + len(string)] = string
-    return out
+        hashed = s.hashes(sym[begin : begin + _SLICE + s.length + s.spread], s)
+        for out, part in ((inner, hashed[2][:_SLICE]), (string, hashed[3][:_SLICE])):
+            out[begin : begin + len(part)] = part
+    return inner, string
 
 
 def _run_rows(s: Scheme):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches):
             sym, off = s.symbols(block)
-            first, last, core, whole = block_runs(sym, off, s)
+            first, last, anchor, core, whole = block_runs(sym, off, s)
             if len(first) == 0:
                 continue
             doc = np.searchsorted(off, first, side="right") - 1
@@ -133,38 +145,57 @@ def _run_rows(s: Scheme):
                     pa.array(block.column("id")[doc]),
                     pa.array(block.column("tag")[doc]),
                     pa.array((first - off[doc]).astype(np.int32)),
-                    pa.array((last - off[doc]).astype(np.int32)),
+                    pa.array((last - first).astype(np.int16)),
+                    pa.array((anchor - first).astype(np.int16)),
                     pa.array(as_long(core)),
                     pa.array(as_long(whole)),
                 ],
-                names=["id", "tag", "first", "last", "core", "whole"],
+                names=["id", "tag", "first", "more", "lead", "core", "whole"],
             )
 
     return rows
 
 
-def _string_rows(s: Scheme):
+def _part_rows(s: Scheme):
+    """The parts of the runs listed with each document.
+
+    A string is named by its distance ``d`` from the anchor; part ``k`` of a
+    run holds the distances from ``k * block`` on, as far as the run has them.
+    """
+
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches):
             sym, off = s.symbols(block)
-            hashed = string_hashes(sym, s)
+            inner, string = string_hashes(sym, s)
             lists = block.arrow("runs")
             n = lists.value_lengths().fill_null(0).to_numpy()
             runs = lists.flatten()
             col = lambda k: runs.field(k).to_numpy()  # noqa: B023, E731
-            base = np.repeat(off[:-1], n) + col("first")
-            size = (col("last") - col("first") + 1).astype(np.int64)
-            step = within(size)
-            many = lambda x: pa.array(np.repeat(x, size))  # noqa: B023, E731
+            far = col("lead").astype(np.int64)
+            near = far - col("more")
+            anchor = np.repeat(off[:-1], n) + col("first") + far
+            pieces = far // s.block - near // s.block + 1
+            many = lambda x: np.repeat(x, pieces)  # noqa: B023, E731
+            k = many(near // s.block) + within(pieces)
+            low = np.maximum(many(near), k * s.block)
+            high = np.minimum(many(far), k * s.block + s.block - 1)
+            anchor = many(anchor)
+            shape = (low * s.spread + high).astype(np.uint64)
+            size = high - low + 1
+            each = np.repeat(anchor - low, size) - within(size)
             yield pa.RecordBatch.from_arrays(
                 [
-                    many(col("core")),
-                    pa.array(as_long(hashed[np.repeat(base, size) + step])),
-                    many(col("whole")),
-                    many(np.repeat(block.column("id"), n)),
-                    pa.array(step.astype(np.int32)),
+                    pa.array(many(col("core"))),
+                    pa.array(as_long(combine(inner[anchor - k * s.block], k.astype(np.uint64)))),
+                    pa.array(as_long(combine(combine(string[anchor - high], string[anchor - low]), shape))),
+                    pa.array(many(col("whole"))),
+                    pa.array(many(np.repeat(block.column("id"), n))),
+                    pa.array(low.astype(np.int16)),
+                    pa.ListArray.from_arrays(
+                        pa.array(np.concatenate(([0], np.cumsum(size))).astype(np.int32)), pa.array(as_long(string[each]))
+                    ),
                 ],
-                names=["core", "string", "whole", "id", "step"],
+                names=["core", "inner", "part", "whole", "id", "low", "strings"],
             )
 
     return rows
@@ -193,66 +224,82 @@ def repeated_starts(docs: DataFrame, s: Scheme, ordered: bool, label: str) -> Da
     """
     ship_package(docs.sparkSession)
     area = stage_area(docs.sparkSession, label)
-    names = "id long, tag int, first int, last int, core long, whole long"
     texts = docs.select("id", "tag", "text")
-    runs = put(area, texts.mapInArrow(_run_rows(s), names), "runs")
+    columns = "id long, tag int, first int, more short, lead short, core long, whole long"
+    runs = put(area, texts.mapInArrow(_run_rows(s), columns), "runs")
+
+    def open_groups(classes: DataFrame, group: list[str], name: str) -> DataFrame:
+        """Groups with a class that its own size or smallest id does not settle, but another class may."""
+        held = classes.groupBy(*group)
+        if ordered:
+            found = held.agg(F.min("lowest").alias("a"), F.max("lowest").alias("b")).filter("a < b")
+        else:
+            found = held.agg(F.count(F.lit(1)).alias("a"), F.min("n").alias("b")).filter("a > 1 AND b = 1")
+        return put(area, found.select(*group), name)
 
     # Round 1: cores that occur once leave, with all their strings.
     cores = put(area, runs.groupBy("core").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("core"), "cores")
     live = put(area, runs.join(cores, "core", "left_semi"), "live-runs")
-
-    # Round 2: equal wholes are one class; a class is settled by its own size or its smallest id.
-    where = F.struct("id", "tag", "first", "last")
-    classes = put(
-        area,
-        live.groupBy("core", "whole").agg(F.count(F.lit(1)).alias("n"), F.min(where).alias("at")),
-        "classes",
+    area.drop("runs", "cores")
+
+    # Round 2: equal wholes are one class, settled by its size or its smallest id.
+    where = F.struct("id", "tag", "first", "more", "lead")
+    classes = live.groupBy("core", "whole").agg(F.count(F.lit(1)).alias("n"), F.min(where).alias("at"))
+    classes = put(area, classes.select("*", F.col("at.id").alias("lowest")), "classes")
+    opened = classes.join(open_groups(classes, ["core"], "open-cores"), "core", "left_semi")
+
+    # Round 3: parts of one run per open class, again settled by size or smallest id.
+    listed = F.collect_list(F.struct("core", "whole", "at.first", "at.more", "at.lead")).alias("runs")
+    per_doc = opened.groupBy(F.col("at.id").alias("id"), F.col("at.tag").alias("tag")).agg(listed)
+    columns = "core long, inner long, part long, whole long, id long, low short, strings array<bigint>"
+    parts = put(area, texts.join(per_doc, ["id", "tag"]).mapInArrow(_part_rows(s), columns), "parts")
+    area.drop("open-cores")
+    same = parts.groupBy("core", "inner", "part").agg(
+        F.count(F.lit(1)).alias("n"), F.min(F.struct("id", "whole")).alias("at")
     )
-    by_core = classes.groupBy("core")
-    if ordered:
-        unsettled = by_core.agg(F.min("at.id").alias("lo"), F.max("at.id").alias("hi")).filter("lo < hi")
-    else:
-        unsettled = by_core.agg(F.count(F.lit(1)).alias("c"), F.min("n").alias("least")).filter("c > 1 AND least = 1")
-    unsettled = put(area, unsettled.select("core"), "unsettled")
-    opened = classes.join(unsettled, "core", "left_semi")
-
-    # Round 3: single strings of one run per unsettled class.
-    per_doc = opened.groupBy(F.col("at.id").alias("id"), F.col("at.tag").alias("tag")).agg(
-        F.collect_list(F.struct("core", "whole", F.col("at.first").alias("first"), F.col("at.last").alias("last"))).alias("runs")
+    same = put(area, same.select("*", F.col("at.id").alias("lowest")), "part-classes")
+    open_inner = open_groups(same, ["core", "inner"], "open-inner-cores")
+
+    # Round 4: single strings of one part per class that is still open.
+    chosen = same.join(open_inner, ["core", "inner"], "left_semi").select("core", "inner", "part", F.col("at.whole").alias("whole"))
+    chosen = put(area, chosen, "open-parts")
+    strings = (
+        parts.join(chosen, ["core", "inner", "part", "whole"])
+        .select("core", "inner", "part", "id", "low", F.posexplode("strings").alias("pos", "string"))
+        .select("core", "inner", "part", "id", (F.col("low") + F.col("pos")).cast("short").alias("d"), "string")
     )
-    strings = put(
-        area,
-        texts.join(per_doc, ["id", "tag"])
-        .mapInArrow(_string_rows(s), "core long, string long, whole long, id long, step int"),
-        "strings",
-    )
-    same = strings.groupBy("core", "string")
+    strings = put(area, strings, "strings")
+    met = strings.groupBy("core", "string")
     if ordered:
-        known = same.agg(F.min("id").alias("lo"), F.max("id").alias("hi")).filter("lo < hi").select("core", "string", "lo")
+        known = met.agg(F.min("id").alias("a"), F.max("id").alias("b")).filter("a < b").select("core", "string", "a")
     else:
-        known = same.agg(F.min("whole").alias("a"), F.max("whole").alias("b")).filter("a <> b").select("core", "string")
+        known = met.agg(F.min("part").alias("a"), F.max("part").alias("b")).filter("a <> b").select("core", "string", "a")
     known = put(area, known, "known-strings")
-    marked = strings.join(known, ["core", "string"])
-    if ordered:
-        marked = marked.filter("id > lo")
-    steps = marked.groupBy("core", "whole").agg(F.collect_set("step").alias("steps"))
+    singles = strings.join(known, ["core", "string"]).filter("id > a" if ordered else "true")
+    singles = singles.groupBy("core", "inner", "part").agg(F.collect_set("d").alias("ds"))
+    judged = same.select("core", "inner", "part", "n", "lowest").join(singles, ["core", "inner", "part"], "left")
+    judged = put(area, judged.filter("n > 1 OR ds IS NOT NULL"), "part-verdicts")
+    area.drop("part-classes", "open-inner-cores", "open-parts", "strings", "known-strings")
+
+    # Back to the parts of every class, then to the runs of every class, then to the documents.
+    all_of_it = F.col("id") > F.col("lowest") if ordered else F.col("n") > 1
+    every = F.expr("transform(sequence(0, size - 1), i -> CAST(low + i AS SMALLINT))")
+    distances = (
+        parts.select("core", "inner", "part", "whole", "id", "low", F.size("strings").alias("size"))
+        .join(judged, ["core", "inner", "part"])
+        .select("core", "whole", F.when(all_of_it, every).otherwise(F.col("ds")).alias("ds"))
+        .filter("ds IS NOT NULL")
+    )
+    distances = distances.groupBy("core", "whole").agg(F.flatten(F.collect_list("ds")).alias("ds"))
     verdicts = put(
-        area,
-        classes.select("core", "whole", "n", F.col("at.id").alias("lowest")).join(steps, ["core", "whole"], "left"),
-        "verdicts",
+        area, classes.select("core", "whole", "n", "lowest").join(distances, ["core", "whole"], "left"), "verdicts"
     )
+    area.drop("classes", "parts", "part-verdicts")
 
-    # Back to the rows of every class, then to the documents.
-    if ordered:
-        settled = F.col("lowest") < F.col("id")
-    else:
-        settled = F.col("n") > 1
-    decided = live.join(verdicts.filter("n > 1 OR steps IS NOT NULL"), ["core", "whole"])
-    whole_run = F.array(F.struct("first", "last"))
-    single = F.transform("steps", lambda x: F.struct((F.col("first") + x).alias("first"), (F.col("first") + x).alias("last")))
-    found = decided.select("id", "tag", F.when(settled, whole_run).otherwise(single).alias("starts")).filter(
-        "starts IS NOT NULL"
-    )
+    decided = live.join(verdicts.filter("n > 1 OR ds IS NOT NULL"), ["core", "whole"])
+    run = F.array(F.struct("first", (F.col("first") + F.col("more")).cast("int").alias("last")))
+    single = F.expr("transform(ds, d -> named_struct('first', first + lead - d, 'last', first + lead - d))")
+    found = decided.select("id", "tag", F.when(all_of_it, run).otherwise(single).alias("starts")).filter("starts IS NOT NULL")
     return found.groupBy("id", "tag").agg(F.flatten(F.collect_list("starts")).alias("starts"))
 
 
