@@ -1,13 +1,23 @@
 """Quality rules with thresholds that adapt to language and source.
 
 Every document gets counts over its whole text.  Two fixed base rules judge
-it first (too few words, too much repetition); the other rules have no fixed
-cutoffs: a mergeable KLL quantile sketch per rule and ``(lang, source)`` gives
-the quartiles of the documents that pass the base rules, and a document is
-rejected when a value lies beyond the far-out fence
-``quartile -+ (spread * interquartile range + slack)``.  A group with fewer
-than ``min_docs`` such documents takes the sketches of its language, merged
-from all its sources, and a small language those of the whole corpus.
+it first (too few words, too much repetition); the others are judged against
+mergeable KLL quantile sketches, one per rule and ``(lang, source)``, of the
+documents that pass the base rules.  A document is rejected when a value lies
+beyond the far-out fence ``quartile -+ (spread * interquartile range + room)``:
+
+* The room of a share (symbols, repeated lines, repeated words) comes from the
+  far tail of the language, merged from the sketches of all its sources:
+  ``TAIL_REACH`` times its ``TAIL`` quantile, at most the rule's slack and at
+  least half of it.  Where more than a quarter of the documents have the value
+  0, both quartiles can be 0, and the room alone is the fence.
+* A source's own fence never lies beyond that of its language, so a source that
+  is full of junk cannot switch its rule off.  A language whose fence leaves the
+  range of a share (100 %) takes that of the corpus, and where this leaves it as
+  well, the room alone.
+
+A group with fewer than ``min_docs`` such documents takes the fence of its
+language, and a small language that of the whole corpus.
 
 Edge cases: a null or empty text has no words and fails the base rules; a
 null language or source is a group of its own; repeated rows are judged each;
@@ -34,6 +44,9 @@ MAX_REPEAT_PERCENT = 50
 SYMBOLS = b"#*$%&|<>"
 MIN_GROUP_DOCS = 200
 SPREAD = 6.0
+# The far tail that gives a share's room, and how far beyond it the room reaches.
+TAIL = 0.99
+TAIL_REACH = 1.5
 # Sketch size: rank error about 0.3 %; a group's sketch has a few kilobytes whatever its rows.
 KLL_K = 800
 
@@ -123,10 +136,28 @@ def _value(rule: str) -> Column:
     return F.when(F.col(bottom) > 0, F.col(top) / F.col(bottom)).otherwise(F.lit(0.0)).cast("double")
 
 
-def _quantile(sketch: str, q: float) -> Column:
+def _quantile(sketch: Column, q: float) -> Column:
     return F.kll_sketch_get_quantile_double(sketch, F.lit(q))
 
 
+def _quantiles(sketches: DataFrame, tag: str) -> DataFrame:
+    """The key columns, and per rule the quartiles and the far tail, named by ``tag``."""
+    out = [c for c in ("lang", "source") if c in sketches.columns] + [F.col("n").alias(f"n_{tag}")]
+    for rule in RULES:
+        sketch = F.when(F.col("n") > 0, F.col(rule))  # without a document that passes there is no fence
+        for name, q in (("q1", 0.25), ("q3", 0.75), ("tail", TAIL)):
+            out.append(_quantile(sketch, q).alias(f"{rule}_{name}_{tag}"))
+    return sketches.select(*out)
+
+
+def _room(rule: str, tag: str) -> Column:
+    """What a fence grants beyond the spread: for a share, from the far tail, inside half the slack and the slack."""
+    _, side, slack = RULES[rule]
+    if side == "both":
+        return F.lit(slack)
+    return F.least(F.lit(slack), F.greatest(F.lit(slack / 2), F.col(f"{rule}_tail_{tag}") * TAIL_REACH))
+
+
 def thresholds(counts: DataFrame, min_docs: int = MIN_GROUP_DOCS) -> DataFrame:
     """``lang, source, <rule>_low, <rule>_high``: the fences of every group that occurs in ``counts``.
 
@@ -146,32 +177,30 @@ def thresholds(counts: DataFrame, min_docs: int = MIN_GROUP_DOCS) -> DataFrame:
     corpus = by_lang.agg(F.sum("n").alias("n"), *merge)
 
     groups = counts.select("lang", "source").distinct()
-    pick = lambda t, tag: t.select(
-        *(c for c in ("lang", "source") if c in t.columns), F.col("n").alias(f"n_{tag}"), *(F.col(r).alias(f"{r}_{tag}") for r in RULES)
-    )
-    own, lang, everything = pick(sketches, "own"), pick(by_lang, "lang"), pick(corpus, "all")
+    own, lang, everything = _quantiles(sketches, "own"), _quantiles(by_lang, "lang"), _quantiles(corpus, "all")
     joined = (
         groups.alias("g")
         .join(own.alias("o"), F.expr("g.lang <=> o.lang AND g.source <=> o.source"), "left")
         .join(lang.alias("l"), F.expr("g.lang <=> l.lang"), "left")
         .crossJoin(F.broadcast(everything))  # one row: the corpus
     )
-    columns: list[Column] = []
-    for rule, (_, side, slack) in RULES.items():
-        chosen = (
-            F.when(F.col("n_own") >= min_docs, F.col(f"{rule}_own"))
-            .when(F.col("n_lang") >= min_docs, F.col(f"{rule}_lang"))
-            .when(F.col("n_all") > 0, F.col(f"{rule}_all"))  # else no document passes, and no fence is needed
-        )
-        columns.append(chosen.alias(rule))
-    fences = joined.select("g.lang", "g.source", *columns)
-    out: list[Column] = [F.col("lang"), F.col("source")]
+    large = lambda tag: F.col(f"n_{tag}") >= min_docs
+    out: list[Column] = [F.col("g.lang").alias("lang"), F.col("g.source").alias("source")]
     for rule, (_, side, slack) in RULES.items():
-        q1, q3 = _quantile(rule, 0.25), _quantile(rule, 0.75)
-        reach = (q3 - q1) * SPREAD + slack
-        out.append((q1 - reach if side == "both" else F.lit(None).cast("double")).alias(f"{rule}_low"))
-        out.append((q3 + reach).alias(f"{rule}_high"))
-    return put(area, fences.select(*out), "thresholds")
+        room = F.when(large("lang"), _room(rule, "lang")).otherwise(_room(rule, "all"))
+        reach = lambda tag: (F.col(f"{rule}_q3_{tag}") - F.col(f"{rule}_q1_{tag}")) * SPREAD + room  # noqa: B023, E731
+        high = {tag: F.col(f"{rule}_q3_{tag}") + reach(tag) for tag in ("own", "lang", "all")}
+        low = {tag: F.col(f"{rule}_q1_{tag}") - reach(tag) for tag in ("own", "lang", "all")}
+        if side == "both":
+            top = F.when(large("lang"), high["lang"]).otherwise(high["all"])
+            bottom = F.when(large("lang"), low["lang"]).otherwise(low["all"])
+            bottom = F.when(large("own"), F.greatest(low["own"], bottom)).otherwise(bottom)
+        else:  # a share: no fence beyond 100 %
+            top = F.when(large("lang") & (high["lang"] < 1), high["lang"]).when(high["all"] < 1, high["all"]).otherwise(room)
+            bottom = F.lit(None).cast("double")
+        top = F.when(large("own"), F.least(high["own"], top)).otherwise(top)
+        out += [bottom.alias(f"{rule}_low"), top.alias(f"{rule}_high")]
+    return put(area, joined.select(*out), "thresholds")
 
 
 def judge(counts: DataFrame, fences: DataFrame) -> DataFrame:

@@ -97,3 +97,40 @@ def test_empty_table(spark):
     none = spark.createDataFrame([], SCHEMA)
     assert Q.quality_rules(none.drop("kept")).collect() == []
     assert Q.filter_documents(none).collect() == []
+
+
+def junk_heavy():
+    """A clean source, one that is 30 % symbol junk, and one with a few documents of repeated lines."""
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice("abcdefghijklm") for _ in range(rng.randint(3, 7)))
+    lines = lambda: [" ".join(word() for _ in range(10)) for _ in range(10)]
+    rows = [(i, "\n".join(lines()), "aa", "clean", 0.5) for i in range(900)]
+    rows += [(1000 + i, "\n".join(lines()), "aa", "hot", 0.5) for i in range(280)]
+    rows += [(2000 + i, " ".join(word() + "###" for _ in range(100)), "aa", "hot", 0.5) for i in range(120)]
+    for i in range(10):  # a short line again and again, far beyond the language's tail, and no words repeated in a row
+        rows.append((3000 + i, "\n".join(f"{x}\nread on" for x in lines()[:5]), "aa", "clean", 0.5))
+    return rows
+
+
+def test_source_full_of_junk_does_not_switch_its_rules_off(spark):
+    df = spark.createDataFrame(junk_heavy(), SCHEMA)
+    gone = {r.doc_id for r in Q.quality_rules(df).collect() if not r.kept}
+    assert {i for i in gone if i < 2000} == set()
+    assert {i for i in gone if 2000 <= i < 3000} == set(range(2000, 2120))
+
+
+def test_rooms_come_from_the_far_tail_of_the_language(spark):
+    df = spark.createDataFrame(junk_heavy(), SCHEMA)
+    got = {r.doc_id: r for r in Q.quality_rules(df).collect()}
+    assert not any(got[i].base_failed or got[i].kept for i in range(3000, 3010))
+    counts = Q.document_counts(df, "doc_id long, lang string, source string")
+    for r in Q.thresholds(counts).collect():
+        for rule, (_, side, slack) in Q.RULES.items():
+            assert side == "both" or slack / 2 <= r[f"{rule}_high"] <= slack < 1
+
+
+def test_language_full_of_junk_takes_the_fence_of_the_corpus(spark):
+    rows = junk_heavy()
+    rows += [(5000 + r[0], r[1], "zz", "only", 0.5) for r in rows if r[3] == "hot"]
+    gone = {r.doc_id for r in Q.quality_rules(spark.createDataFrame(rows, SCHEMA)).collect() if not r.kept}
+    assert {i for i in gone if i > 5000} == set(range(7000, 7120))
