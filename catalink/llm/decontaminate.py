@@ -1,7 +1,9 @@
 """Benchmark decontamination by greedy string tiling.
 
-Documents and benchmark items are token sequences (lower-case runs of letters
-and digits; punctuation does not count).  Seeds are the items' grams of
+Documents and benchmark items are token sequences: case-folded runs of Unicode
+letters, marks and digits; whatever else there is (punctuation, symbols, spaces
+of any kind) only parts them.  Case is folded as the upper case of the lower
+case, so that sharp s meets its upper-case form SS.  Seeds are the items' grams of
 ``min_match`` tokens; documents and items that share seeds are paired.  For a
 pair, the longest matches of tokens not yet marked are marked as tiles, again
 and again, until none of ``min_match`` tokens is left; every round finds its
@@ -26,21 +28,25 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .shipping import ship_package
-from .text import IS_SPACE, LOWER_AZ, Block, Rolling, blocks, within, word_hashes
+from .text import Block, Rolling, blocks, within, word_hashes
 
 MIN_MATCH = 5
 MIN_COVERAGE = 0.5
 BLOCK_BYTES = 32 << 20
 
-_IS_BREAK = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
-_IS_BREAK |= IS_SPACE
 _FILTER_BITS = 20
 
 
+def token_text(text: Column) -> Column:
+    """The tokens of a text, cut by single spaces; documents and items go through it alike."""
+    # the replacement stands between the two: directly nested, the optimizer drops the inner one
+    return F.upper(F.regexp_replace(F.lower(text), r"[^\p{L}\p{M}\p{N}]+", " "))
+
+
 def tile(item: np.ndarray, doc: np.ndarray, min_match: int) -> list[tuple[int, int, int]]:
     """Greedy string tiling: ``(item position, document position, length)`` of every tile.
 
@@ -95,7 +101,7 @@ def tile(item: np.ndarray, doc: np.ndarray, min_match: int) -> list[tuple[int, i
 
 
 class ItemIndex:
-    """Seeds of a block of benchmark items."""
+    """Seeds of a block of benchmark items (their ``token_text``)."""
 
     def __init__(self, items: list[tuple[object, str | None]], min_match: int):
         self.min_match = min_match
@@ -103,7 +109,7 @@ class ItemIndex:
         batch = pa.RecordBatch.from_arrays([pa.array([t for _, t in items], pa.string())], names=["text"])
         tokens, first = [], [0]
         for block in blocks([batch], size=1 << 62):
-            hashes, _, _, off = word_hashes(block, fold=LOWER_AZ, is_space=_IS_BREAK)
+            hashes, _, _, off = word_hashes(block)
             tokens.append(hashes)
             first.extend(off[1:].tolist())
         self.tokens = np.concatenate(tokens) if tokens else np.zeros(0, np.uint64)
@@ -142,7 +148,7 @@ class ItemIndex:
 
     def scan(self, block: Block, min_coverage: float) -> Iterator[tuple[int, int, int, int, int]]:
         """``(row, item, covered tokens, tiles, longest tile)`` of every contaminated pair of a block."""
-        hashes, _, _, off = word_hashes(block, fold=LOWER_AZ, is_space=_IS_BREAK)
+        hashes, _, _, off = word_hashes(block)
         doc, place = self.hits(hashes, off)
         if len(doc) == 0:
             return
@@ -168,8 +174,8 @@ class ItemIndex:
 
 
 def item_blocks(benchmark: DataFrame, item: str, text: str) -> Iterator[list[tuple[object, str | None]]]:
-    """The benchmark in blocks of about ``BLOCK_BYTES``, dealt by a hash of the row."""
-    rows = benchmark.select(F.col(item).alias("item"), F.col(text).alias("text"))
+    """The benchmark's ``token_text`` in blocks of about ``BLOCK_BYTES``, dealt by a hash of the row."""
+    rows = benchmark.select(F.col(item).alias("item"), token_text(F.col(text)).alias("text"))
     total = rows.agg(F.sum(F.octet_length("text"))).collect()[0][0] or 0
     blocks_needed = max(1, -(-total // BLOCK_BYTES))
     dealt = F.pmod(F.xxhash64("item", "text"), F.lit(blocks_needed))
@@ -214,7 +220,7 @@ def contaminated_pairs(
     """``key, item, n_tokens, covered, coverage, n_tiles, longest`` of every contaminated pair."""
     spark = docs.sparkSession
     ship_package(spark)
-    rows = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
+    rows = docs.select(F.col(key).cast("long").alias("id"), token_text(F.col(text)).alias("text"))
     schema = "id long, item long, n_tokens long, covered long, coverage double, n_tiles int, longest int"
     out = None
     for items in item_blocks(benchmark.withColumn(item, F.col(item).cast("long")), item, item_text):
@@ -243,7 +249,7 @@ def drop_contaminated(
     """The rows of ``docs`` that no benchmark item contaminates, all columns unchanged; no shuffle."""
     spark = docs.sparkSession
     ship_package(spark)
-    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), "text")
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), token_text(F.col("text")).alias("text"))
     schema = f"row {rows.schema['row'].dataType.simpleString()}, text string"
     for items in item_blocks(benchmark, "item_id", "text"):
         index = spark.sparkContext.broadcast(ItemIndex(items, min_match))

@@ -96,3 +96,29 @@ def test_query_finds_every_verbatim_item(spark, sf_dir, documents):
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()]
     got = {(r.doc_id, r.item_id) for r in D.op2_string_tiling(spark, sf_dir).collect()}
     assert got == {(i, k) for i, t in documents for k, x in items if x in t}
+
+
+FOREIGN = {
+    20: "Él señaló aquí mismo: ¿cómo explicará mañana Íñigo la pérdida trágica según cuántos árbitros españoles están allí también?",
+    21: "Über große Straßen fährt täglich früh Jürgens müder Käufer, während schöne Vögel größere Bäume fröhlich überqueren müssen.",
+    22: "The “quick” answer is that nobody’s lamp was ever lit before seven tired wizards came home for supper",
+}
+
+
+def test_letters_of_any_case_and_signs_of_any_kind(spark):
+    items = spark.createDataFrame(list(FOREIGN.items()), "item_id long, text string")
+    rows = [
+        (1, FOREIGN[20].upper()),
+        (2, FOREIGN[21].upper()),
+        (3, FOREIGN[21].lower().replace(" ", "\u00a0")),
+        (4, FOREIGN[22].replace(" ", "\u2014")),  # dashes between all words
+        (5, FOREIGN[22].replace("“", '"').replace("”", '"').replace("’", "'")),
+        (6, "«" + "…».«".join(FOREIGN[20].split()) + "»"),
+        (7, "Él señaló nada más, y über große Straßen fährt niemand"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = D.contaminated_pairs(docs, items).collect()
+    assert sorted((r.doc_id, r.item_id, r.coverage) for r in found) == [
+        (1, 20, 1.0), (2, 21, 1.0), (3, 21, 1.0), (4, 22, 1.0), (5, 22, 1.0), (6, 20, 1.0)
+    ]
+    assert [tuple(r) for r in D.drop_contaminated(docs, items).collect()] == [rows[6]]
