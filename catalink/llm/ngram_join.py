@@ -21,10 +21,13 @@ changes nothing.
 
 Edge cases: null texts and texts without a word have no n-grams and link with
 nothing; with fewer than ``n`` words the whole sequence is the one n-gram;
-repeated rows and ties get the same component, as do rows that repeat an id; a
-null id counts as the smallest; an empty table gives an empty result; only id
-and text are read.  Sets are told apart by 64-bit keys, n-grams by 64-bit
-hashes.
+repeated rows and ties get the same component.  Components are built over the
+sets, never over ids: rows that share an id, or have none, are linked only if
+their texts are.  A component is named by its smallest id, a null id counting
+as the smallest, so two components can bear one name where an id is repeated;
+``keep_one_per_component`` tells them apart.  An empty table gives an empty
+result; only id and text are read.  Sets are told apart by 64-bit keys, n-grams
+by 64-bit hashes, the texts of one id by 64-bit digests.
 """
 
 from __future__ import annotations
@@ -33,7 +36,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .components import components
@@ -50,6 +53,8 @@ SUMMARY_TASK = 1 << 17
 SUMMARY_HELD = 1 << 21  # n-grams of a task that are counted together
 HEAVY_COUNT = 16
 HEAVY_MAX = 1 << 17
+# Stands for a null id.
+LOWEST = -(1 << 63)
 
 
 def block_shingles(block: Block, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -95,7 +100,7 @@ def _survey_rows(n: int):
     """One row per document (its set key and size), and at the end the task's frequent n-grams."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["id", "node", "size", "heavy"]
+        names = ["id", "digest", "node", "size", "heavy"]
         summary = (np.zeros(0, np.uint64), np.zeros(0, np.int64))
         held: list[np.ndarray] = []
 
@@ -112,6 +117,7 @@ def _survey_rows(n: int):
             yield pa.RecordBatch.from_arrays(
                 [
                     block.arrow("id"),
+                    block.arrow("digest"),
                     pa.array(as_long(set_keys(grams, off))),
                     pa.array(size.astype(np.int32)),
                     pa.array(np.zeros(len(size), bool)),
@@ -127,6 +133,7 @@ def _survey_rows(n: int):
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(as_long(summary[0])),
+                    pa.array(np.zeros(len(summary[0]), np.int64)),
                     pa.array(summary[1]),
                     pa.array(np.zeros(len(summary[0]), np.int32)),
                     pa.array(np.ones(len(summary[0]), bool)),
@@ -176,7 +183,7 @@ def _fragment_rows(n: int, fragments: int):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches):
             grams, off = block_shingles(block, n)
-            asked = as_long(set_keys(grams, off)) == block.column("node")  # an id may come with other texts
+            asked = as_long(set_keys(grams, off)) == block.column("node")
             # grams are sorted as unsigned hashes: a fragment is a range of them
             edges = np.array([(k << 64) // fragments for k in range(1, fragments)], dtype=np.uint64)
             part = np.searchsorted(edges, grams, side="right")
@@ -204,18 +211,37 @@ def _front(size: str, percent: int) -> str:
     return f"({size} - (({size} * {percent} + 99) div 100) + 1)"
 
 
+def _keyed(key: str, text: str) -> tuple[Column, Column]:
+    """A row's id, the smallest long for a null one, and the digest of its text."""
+    return F.coalesce(F.col(key).cast("long"), F.lit(LOWEST)).alias("id"), F.xxhash64(F.col(text)).alias("digest")
+
+
 def similarity_components(
     docs: DataFrame, n: int = WORDS, percent: int = THRESHOLD_PERCENT, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
     """``key, n_shingles, component_id`` of every row of ``docs``."""
+    members, named = _named_nodes(docs, n, percent, key, text)
+    undo = lambda c: F.when(c == LOWEST, F.lit(None).cast("long")).otherwise(c)
+    empty = members.filter("size = 0").select("id", "size", F.col("id").alias("component_id"))
+    full = members.filter("size > 0").join(named.select("node", "component_id"), "node").select("id", "size", "component_id")
+    return full.union(empty).select(
+        undo(F.col("id")).alias(key), F.col("size").cast("long").alias("n_shingles"), undo(F.col("component_id")).alias("component_id")
+    )
+
+
+def _named_nodes(docs: DataFrame, n: int, percent: int, key: str, text: str) -> tuple[DataFrame, DataFrame]:
+    """The rows' sets, ``id, digest, node, size``, and of every set the first row of its component.
+
+    The latter is ``node, rep, digest, component_id, component_digest``: the smallest
+    (id, digest) of the set's rows and that of the component's.
+    """
     spark = docs.sparkSession
     ship_package(spark)
     area = stage_area(spark, "ngram-join")
-    lowest = F.lit(-(1 << 63))
-    texts = docs.select(F.coalesce(F.col(key).cast("long"), lowest).alias("id"), F.col(text).alias("text"))
+    texts = docs.select(*_keyed(key, text), F.col(text).alias("text"))
 
-    survey = put(area, texts.mapInArrow(_survey_rows(n), "id long, node long, size int, heavy boolean"), "survey")
-    members = survey.filter("not heavy").select("id", "node", "size")
+    survey = put(area, texts.mapInArrow(_survey_rows(n), "id long, digest long, node long, size int, heavy boolean"), "survey")
+    members = survey.filter("not heavy").select("id", "digest", "node", "size")
     frequent = (
         survey.filter("heavy")
         .groupBy("id")
@@ -235,16 +261,15 @@ def similarity_components(
     front = texts.mapInArrow(
         _front_rows(n, percent, heavy, classes), "gram long, node long, size int, pos int, heavy boolean"
     )
-    return _joined(area, texts, members, front, n, percent, key)
+    return members, _joined(area, texts, members, front, n, percent)
 
 
-def _joined(
-    area: Tables, texts: DataFrame, members: DataFrame, front: DataFrame, n: int, percent: int, key: str
-) -> DataFrame:
-    """From the sets' nodes and the front postings to the components of the documents."""
-    nodes = put(
-        area, members.groupBy("node").agg(F.min("id").alias("rep"), F.first("size").alias("size")), "nodes"
+def _joined(area: Tables, texts: DataFrame, members: DataFrame, front: DataFrame, n: int, percent: int) -> DataFrame:
+    """From the sets' nodes and the front postings to the nodes' components, named by their first rows."""
+    firsts = members.filter("size > 0").groupBy("node").agg(
+        F.min(F.struct("id", "digest")).alias("r"), F.first("size").alias("size")
     )
+    nodes = put(area, firsts.select("node", F.col("r.id").alias("rep"), F.col("r.digest").alias("digest"), "size"), "nodes")
     # Postings of n-grams that two or more sets have in front; heavy ones are known to be shared.
     columns = ["gram", "node", "size", "pos"]
     group = Window.partitionBy("gram")
@@ -294,26 +319,19 @@ def _joined(
 
     area.drop("open-postings", "rest-pairs", "postings")
 
-    rep = nodes.select("node", "rep")
-    edges = (
-        links.union(rest)
-        .join(rep.select(F.col("node").alias("x"), F.col("rep").alias("a")), "x")
-        .join(rep.select(F.col("node").alias("y"), F.col("rep").alias("b")), "y")
-        .select("a", "b")
-    )
+    edges = links.union(rest).select(F.col("x").alias("a"), F.col("y").alias("b"))
     found = put(area, components(edges, area, "all"), "components")
-    named = nodes.join(found.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "node", F.coalesce("component", "rep").alias("component_id")
-    )
-    named = put(area, named, "node-components")
-    null = F.lit(None).cast("long")
-    lowest = F.lit(-(1 << 63))
-    undo = lambda c: F.when(c == lowest, null).otherwise(c)
-    empty = members.filter("size = 0").select("id", "size", F.col("id").alias("component_id"))
-    full = members.filter("size > 0").join(named, "node").select("id", "size", "component_id")
-    return full.union(empty).select(
-        undo(F.col("id")).alias(key), F.col("size").cast("long").alias("n_shingles"), undo(F.col("component_id")).alias("component_id")
+    linked = found.join(nodes.select("node", "rep", "digest"), "node")
+    lows = linked.groupBy("component").agg(F.min(F.struct("rep", "digest")).alias("low"))
+    heads = found.join(put(area, lows, "component-firsts"), "component").select("node", "low")
+    named = nodes.join(put(area, heads, "heads"), "node", "left").select(
+        "node",
+        "rep",
+        "digest",
+        F.coalesce("low.rep", "rep").alias("component_id"),
+        F.coalesce("low.digest", "digest").alias("component_digest"),
     )
+    return put(area, named, "node-components")
 
 
 def _hubs(postings: DataFrame) -> DataFrame:
@@ -358,11 +376,11 @@ def _verified(
     pairs = put(area, front.filter(_can_link("nx", "ny", "shared", percent)).select("x", "y"), f"{name}-open")
 
     needed = pairs.select(F.col("x").alias("node")).union(pairs.select(F.col("y").alias("node"))).distinct()
-    sources = put(area, nodes.join(needed, "node", "left_semi").select("node", F.col("rep").alias("id")), f"{name}-nodes")
-    cut = texts.join(sources.hint("merge"), "id").select("id", "node", "text").mapInArrow(
+    sources = put(area, nodes.join(needed, "node", "left_semi").select("node", F.col("rep").alias("id"), "digest"), f"{name}-nodes")
+    cut = texts.join(sources.hint("merge"), ["id", "digest"]).select("id", "node", "text").mapInArrow(
         _fragment_rows(n, FRAGMENTS), "node long, fragment int, grams array<bigint>"
     )
-    # a repeated id can bring the same set again
+    # a repeated row brings its set again
     parts = put(area, cut.dropDuplicates(["node", "fragment"]), f"{name}-fragments")
     xs = parts.select(F.col("node").alias("x"), "fragment", F.col("grams").alias("gx"))
     ys = parts.select(F.col("node").alias("node_y"), F.col("fragment").alias("fragment_y"), F.col("grams").alias("gy"))
@@ -380,18 +398,23 @@ def _verified(
 def keep_one_per_component(
     docs: DataFrame, n: int = WORDS, percent: int = THRESHOLD_PERCENT, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of its component, one row for each such id.
+    """One row of ``docs`` for each component: the one with the smallest id (null first), then text digest.
 
-    Rows that repeat an id are one document; of them the one with the smallest
-    text (null last) stays.  All columns are unchanged.
+    Rows that no text links survive, whether their id is null, repeated or
+    their own; a row without a word links with nothing, so all of these stay.
+    All columns are unchanged.
     """
-    found = similarity_components(docs, n, percent, key, text)
-    keep = found.filter(F.col(key).eqNullSafe(F.col("component_id"))).select(F.col(key).alias("keep_id")).distinct()
-    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col(key).alias("id"))
-    kept = rows.join(keep, F.col("id").eqNullSafe(F.col("keep_id")), "left_semi")
-    # Ids are unique in a sound corpus; the window costs no shuffle beyond the join's.
-    once = Window.partitionBy("id").orderBy(F.col(f"row.`{text}`").asc_nulls_last())
-    return kept.withColumn("n", F.row_number().over(once)).filter("n = 1").select("row.*")
+    _, named = _named_nodes(docs, n, percent, key, text)
+    keep = named.filter("rep = component_id AND digest = component_digest").select(
+        F.col("rep").alias("keep_id"), F.col("digest").alias("keep_digest")
+    )
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), *_keyed(key, text))
+    wordless = ~F.coalesce(F.col(f"row.`{text}`").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    kept = rows.filter(~wordless).join(keep, F.expr("id = keep_id AND digest = keep_digest"), "left_semi")
+    # One of equal rows; the window costs no shuffle beyond the join's.
+    once = Window.partitionBy("id", "digest").orderBy("id")
+    kept = kept.withColumn("n", F.row_number().over(once)).filter("n = 1")
+    return kept.select("row.*").union(rows.filter(wordless).select("row.*"))
 
 
 def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:

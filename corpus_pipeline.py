@@ -7,8 +7,9 @@ All but the last return the columns of ``docs``, whatever these are.
 * ``quality_rules``: documents that the base rules or the adaptive fences
   reject go.
 * ``near_duplicates``: of each group of documents linked by five-word n-grams
-  at a similarity of 0.75 the smallest ``doc_id`` stays (one row of it, also
-  where rows are repeated); documents without a word link with nothing.
+  at a similarity of 0.75 the row with the smallest ``doc_id`` stays (one row,
+  also where rows are repeated); rows that only share an id, or have none, are
+  not linked by that, and documents without a word link with nothing.
 * ``repeated_strings``: bytes covered by 400-byte strings that occur more than
   once are cut out of the texts; ``n_chars`` follows.
 * ``decontaminate``: documents whose text covers at least half of a benchmark

@@ -88,3 +88,22 @@ def test_components_of_chains_and_stars(spark):
     got = {r.node: r.component for r in components(df, stage_area(spark, "test"), "t").collect()}
     want = {**dict.fromkeys(range(31), 0), **dict.fromkeys([*range(100, 140), 200], 100), 50: 50, 51: 50}
     assert got == want
+
+
+def test_rows_without_an_id_or_with_a_shared_one_are_linked_by_text_alone(spark):
+    rng = random.Random(5)
+    fresh = lambda: [f"w{rng.randrange(10**6)}" for _ in range(40)]
+    distinct = [" ".join(fresh()) for _ in range(30)]
+    rows = [(None, t, "null") for t in distinct[:15]] + [(4, t, "same") for t in distinct[15:]]
+    left, right = fresh(), fresh()  # two clusters that rows of one id link to
+    clusters = [(4, left), (20, [*left[:-1], "x"]), (21, ["y", *left[1:]]), (4, right), (30, [*right[:-1], "x"]), (None, [*right, "z"])]
+    rows += [(i, " ".join(w), "cluster") for i, w in clusters]
+    rows += [(None, distinct[0], "copy"), (None, None, "empty"), (None, "", "empty"), (4, " ", "empty")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    kept = [tuple(r) for r in keep_one_per_component(df).collect()]
+    texts = collections.Counter(t for _, t, _ in kept)
+    assert texts == collections.Counter([*distinct, " ".join(left), " ".join([*right, "z"]), None, "", " "])
+    named = similarity_components(df).collect()
+    assert {r.component_id for r in named if r.doc_id in (20, 21)} == {4}
+    assert {r.component_id for r in named if r.doc_id == 30} == {None}
+    assert len(named) == len(rows)
