@@ -3,7 +3,8 @@
 All visible text of a page is kept (menus and asides too): paragraphs and
 headings are set off by empty lines, other blocks by line ends, list items get
 markers and indents, table cells are aligned in columns, ``pre`` keeps its
-spacing.  Scripts, styles, the document head and hidden elements are invisible.
+spacing.  Scripts, styles, the document head and hidden elements are invisible;
+formulas, the text of drawings (``svg``) and ``xmp`` are not.
 
 Edge cases: a null page gives null text, an empty one gives the empty string;
 broken markup never fails (unknown end tags are ignored, open elements end
@@ -27,8 +28,21 @@ from .shipping import ship_package
 # Fixed values of HTML: element classes.
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 RAW = frozenset("script style xmp iframe noembed noframes textarea title".split())
-HIDDEN = frozenset("head script style template title noscript iframe object audio video canvas datalist svg math".split())
-PARAGRAPH = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl table pre blockquote figure hr".split())
+HIDDEN = frozenset("head script style template title noscript iframe object audio video canvas datalist".split())
+# Foreign elements: inside svg only text and embedded HTML show; what shows in neither.
+SVG_TEXT = frozenset("text foreignobject".split())
+FOREIGN_HIDDEN = {
+    "svg": frozenset("desc defs symbol metadata clippath mask marker pattern".split()),
+    "math": frozenset("annotation annotation-xml".split()),
+}
+FOREIGN = frozenset(FOREIGN_HIDDEN)
+# HTML inside foreign elements is allowed in these; elsewhere these start tags end the foreign element.
+FOREIGN_HTML = frozenset("foreignobject desc annotation-xml mi mo mn ms mtext".split())
+ENDS_FOREIGN = frozenset(
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li menu meta nobr ol p "
+    "pre ruby s small span strong strike sub sup table tt u ul var".split()
+)
+PARAGRAPH = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl table pre xmp blockquote figure hr".split())
 BLOCK = PARAGRAPH | frozenset(
     "html body address article aside details dialog dd div dt fieldset figcaption footer form header hgroup "
     "legend li main menu nav section summary center caption tr thead tbody tfoot optgroup option search".split()
@@ -52,11 +66,16 @@ IMPLIED_END = {
 # Elements that an end tag of another element outside them cannot close over.
 SCOPE = frozenset("table td th caption html body template".split())
 
+# A quote groups only where it opens the value of an attribute, right after "="; any other is
+# part of a name or of an unquoted value, and the tag ends at the next ">".  Possessive: linear.
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>",
+    r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?"
+    r"|<(/?)([a-zA-Z][^\s/>]*+)"
+    r"((?:[\s/]++|[^\s/>][^\s/>=]*+(?:\s*+=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s>\"'][^\s>]*+)?+)?+)*+)>"
+    r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>",
     re.S,
 )
-_ATTR = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'=<>`]+)))?")
+_ATTR = re.compile(r"([^\s/>][^\s/>=]*+)(?:\s*+=\s*+(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"'][^\s>]*+)))?+")
 _SPACE = re.compile(r"[ \t\n\r\f]+")
 
 
@@ -166,8 +185,13 @@ def build_tree(page: str) -> Node:
             opened.end_implied(*IMPLIED_END[tag])
         if tag in ("td", "th") and stack[-1].tag in ("table", "thead", "tbody", "tfoot"):
             push("tr", {})  # a cell without a row opens one
+        foreign = opened.holds(FOREIGN) and not opened.holds(FOREIGN_HTML)
+        if foreign and tag in ENDS_FOREIGN:
+            while opened.holds(FOREIGN):
+                opened.end_implied(FOREIGN, frozenset())
+            foreign = False
         attrs = _attrs(raw)
-        if tag in VOID or raw.endswith("/") and tag in ("svg", "math"):
+        if tag in VOID or raw.endswith("/") and (foreign or tag in FOREIGN):
             stack[-1].children.append(Node(tag, attrs))
             continue
         push(tag, attrs)
@@ -180,6 +204,8 @@ def build_tree(page: str) -> Node:
             stop = end if stop < 0 else stop
             if tag in ("textarea", "title"):
                 text(page[at:stop])
+            elif tag == "xmp" and stop > at:  # as it stands, entities too
+                stack[-1].children.append(page[at:stop])
             close = page.find(">", stop)
             at = end if close < 0 else close + 1
             opened.cut(len(stack) - 1)
@@ -304,17 +330,25 @@ def render(root: Node) -> str:
     flows = [Flow()]
     counters: list[list[int]] = []
     pre = 0
+    inside: list[str] = []  # the open svg and math elements, and what shows its text in an svg
     todo: list[tuple[Node | str, bool]] = [(root, False)]
     while todo:
         node, leaving = todo.pop()
         flow = flows[-1]
+        where = inside[-1] if inside else ""
         if isinstance(node, str):
+            if where == "svg":
+                continue
             flow.verbatim(node) if pre else flow.words(node)
             continue
         tag = node.tag
         if not leaving:
-            if not visible(node):
+            if not visible(node) or where in FOREIGN and tag in FOREIGN_HIDDEN[where]:
                 continue
+            if tag in FOREIGN or where == "svg" and tag in SVG_TEXT:
+                inside.append(tag)
+                if tag in SVG_TEXT:  # placed on its own
+                    flow.words(" ")
             if tag == "br":
                 flow.newline()
                 continue
@@ -364,12 +398,16 @@ def render(root: Node) -> str:
             elif tag in BLOCK:
                 if not flow.marker:
                     flow.brk(2 if tag in PARAGRAPH else 1)
-            if tag in ("pre", "textarea"):
+            if tag in ("pre", "xmp", "textarea"):
                 pre += 1
             todo.append((node, True))
             todo.extend((c, False) for c in reversed(node.children))
             continue
-        if tag in ("pre", "textarea"):
+        if inside and tag == inside[-1]:
+            inside.pop()
+            if tag in SVG_TEXT:
+                flow.words(" ")
+        if tag in ("pre", "xmp", "textarea"):
             pre -= 1
         if tag in ("td", "th"):
             cell = flows.pop()

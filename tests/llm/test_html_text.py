@@ -119,3 +119,30 @@ def test_query_emits_the_visible_words(spark, sf_dir):
         ours = [w for w in got[k].split() if w not in ("-", "|", "---", ">")]
         ours = [w for w in ours if not re.fullmatch(r"\d+\.", w)]
         assert "".join(ours) == "".join(w for w in plain if w not in ("-", "|", "---", ">") and not re.fullmatch(r"\d+\.", w))
+
+
+SHOWN = [
+    ('<a href="x"">first</a> mid <a href="y"">second</a> end', "first mid second end"),
+    ("<p title=don't>Hello visible</p><p>it's here</p> tail", "Hello visible\n\nit's here\n\ntail"),
+    ("<p title=a\"hidden\">yes</p>it's", "yes\n\nit's"),
+    ("<p 'a' b>x > y</p>'z'", "x > y\n\n'z'"),
+    ("<p a = 'x>y' hidden>no</p><b c=\"1\"d='2>'>yes", "yes"),
+    ("<p style=display:none>no</p><i a=>x</i><i =b='>y", "xy"),
+    ("<p>a <math><mi>x</mi><mo>=</mo><mn>2</mn></math> b", "a x=2 b"),
+    ("<math><semantics><mi>x</mi><annotation>\\tex</annotation></semantics></math>", "x"),
+    ("a<svg><title>no</title><desc>no</desc>no<path/><text>b<tspan>c</tspan></text><text>d</text></svg>e", "a bc d e"),
+    ("<svg><defs><text>no</text></defs><text/>no<foreignObject><p>yes</p></foreignObject>no</svg>", "yes"),
+    ("<svg><path d=1><p>yes", "yes"),
+    ("<xmp><b>&amp;  x</xmp>", "<b>&amp;  x"),
+]
+
+
+@pytest.mark.parametrize(("page", "want"), SHOWN)
+def test_stray_quotes_and_foreign_text_are_shown(page, want):
+    assert page_text(page) == want
+
+
+def test_tags_that_never_end_take_linear_time():
+    assert page_text("<a " + "b='c' " * 50000).startswith("<a b='c'")
+    assert page_text("<a " + 'b="' * 50001 + "x").startswith("<a b=")
+    assert page_text("<p " + "a=b'" * 50000 + ">x") == "x"
