@@ -12,11 +12,14 @@ from . import (
     html_text,
     ngram_join,
     packing,
+    phrases,
     quality,
     sharding,
     substring_dedup,
     suffix_dedup,
+    token_alignment,
     url_filter,
+    warc,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -30,6 +33,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_layout_text": html_text.op8_layout_text,
     "op9_url_filter": url_filter.op9_url_filter,
     "op10_chat_snapshots": chat.op10_chat_snapshots,
+    "op11_gzip_members": warc.op11_gzip_members,
+    "op12_run_skipping": token_alignment.op12_run_skipping,
+    "op13_phrases": phrases.op13_phrases,
 }
 
-ORACLE: dict[str, str] = {"op10_chat_snapshots": chat.OP10_SQL}
+ORACLE: dict[str, str] = {
+    "op10_chat_snapshots": chat.OP10_SQL,
+    "op11_gzip_members": warc.OP11_SQL,
+    "op13_phrases": phrases.OP13_SQL,
+}
