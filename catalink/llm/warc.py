@@ -168,7 +168,7 @@ def inflated(content: bytes) -> Iterator[bytes]:
             part = content[at : at + INFLATE_BYTES]
             at += len(part)
             yield stream.decompress(part, INFLATE_BYTES)
-            while stream.unconsumed_tail:
+            while stream.unconsumed_tail and not stream.eof:
                 yield stream.decompress(stream.unconsumed_tail, INFLATE_BYTES)
         while not stream.eof and (more := stream.decompress(b"", INFLATE_BYTES)):
             yield more
