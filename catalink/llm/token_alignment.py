@@ -11,10 +11,6 @@ are worked on in blocks of about 16 MB of text.  A block's distinct pairs (not
 each document's) travel to the counts and back, so a pair that stands in every
 document moves once a block; the documents' own links stay packed in the block.
 
-Tokens are looked up by chunks of text, cut where a character that is no space
-is followed by a space, line feed or tab: neither tokenizer joins across it
-(checked against the vocabulary when a worker starts).
-
 Edge cases: null and empty texts, and texts that a tokenizer does not give back
 byte for byte (the second one writes U+2581 for a space), have no tokens: zeros
 and an empty digest.  Rows are aligned each, repeated or without an id; two
@@ -26,10 +22,10 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import json
 import os
 import re
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -46,12 +42,13 @@ from .text import within
 
 A_FILE, B_FILE = "byte_bpe_50k.json", "piece_bpe_32k.model"
 BLOCK_BYTES = 16 << 20
-# Chunks a worker remembers the ids of, and the longest one it remembers.
-CACHE_CHUNKS, CACHE_CHARS = 200_000, 64
 # An id pair as one number: first id * PAIR + second id.
 PAIR = 1 << 32
 
-_CUT = re.compile(r"(?<=\S)(?=[ \n\t])")
+# Fixed value: how byte-level vocabularies cut a text into words.
+WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+# Outside of these blocks characters are still being added.
+_RARE = re.compile("[^\0-\u02af\u0300-\u0377\u0386-\u04ff\u2010-\u205f\u20a0-\u20b0\u2190-\u23f0\u3040-\u3096\u4e00-\u9fa5\uac00-\ud7a3]")
 _SPACE = "▁"
 
 
@@ -67,11 +64,17 @@ def byte_of_char() -> dict[str, int]:
 
 
 class TokenPair:
-    """Both tokenizers of a worker: token ids of texts, and every token's bytes."""
+    """Both tokenizers of a worker: token ids of texts, and every token's bytes.
+
+    The first vocabulary's merges are numbered in their order (checked), so
+    that tiktoken runs them, several times as fast; texts with characters that
+    Unicode versions may class differently go to the tokenizer of the file.
+    """
 
     def __init__(self, a_path: str, b_path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import sentencepiece
+        import tiktoken
         from tokenizers import Tokenizer
 
         self.a = Tokenizer.from_file(a_path)
@@ -80,58 +83,42 @@ class TokenPair:
         self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_file=b_path)
         chars = byte_of_char()
-        size = 1 + max(self.a.get_vocab().values())
-        self.a_bytes = [b""] * size
-        for entry, i in self.a.get_vocab().items():
+        with open(a_path, encoding="utf-8") as file:
+            model = json.load(file)["model"]
+        vocab, merges = model["vocab"], [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+        ranked = all(vocab[x + y] == 256 + k for k, (x, y) in enumerate(merges))
+        self.a_bytes = [b""] * (1 + max(vocab.values()))
+        for entry, i in vocab.items():
             # A special token's entry is no byte-level text, and no text yields it.
             self.a_bytes[i] = bytes(chars[c] for c in entry) if all(c in chars for c in entry) else entry.encode()
+        ranks = {self.a_bytes[i]: i for i in range(256 + len(merges))}
+        self.fast = tiktoken.Encoding("a", pat_str=WORDS, mergeable_ranks=ranks, special_tokens={}) if ranked else None
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.b_bytes = [
             bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(_SPACE, " ").encode()
             for i, p in enumerate(pieces)
         ]
-        if any(_SPACE in p.lstrip(_SPACE) or "\n" in p or "\t" in p for p in pieces):
-            raise ValueError("a piece joins across a space, line feed or tab: texts cannot be cut there")
         self.a_len = np.array([len(x) for x in self.a_bytes], np.int64)
         self.b_len = np.array([len(x) for x in self.b_bytes], np.int64)
-        self.a_text = [str(i) for i in range(len(self.a_bytes))]
-        self.b_text = [str(i) for i in range(len(self.b_bytes))]
-        self.lone_space = [self.b.piece_to_id(_SPACE)]
-        self.known: dict[str, tuple] = {}
-
-    def _chunk_ids(self, chunks: list[str]) -> Iterator[tuple]:
-        """Per chunk its ids by both tokenizers, and whether both give its bytes back."""
-        a_ids = [e.ids for e in self.a.encode_batch(chunks, add_special_tokens=False)]
-        # The second tokenizer puts a space in front: that of the chunk, or else one to be dropped again.
-        own = [c[0] == " " for c in chunks]
-        b_ids = self.b.encode([c[1:] if s else c for c, s in zip(chunks, own, strict=True)], num_threads=1)
-        for chunk, space, a, b in zip(chunks, own, a_ids, b_ids, strict=True):
-            if not space:
-                b = b[1:]
-            elif len(chunk) == 1:
-                b = self.lone_space
-            raw = chunk.encode("utf-8", "surrogatepass")
-            same = b"".join(map(self.a_bytes.__getitem__, a)) == raw == b"".join(map(self.b_bytes.__getitem__, b))
-            yield a, b, same
-
-    def encode(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+        self.a_text = np.array([(f"{i},", f"{i}|") for i in range(len(self.a_bytes))], object)
+        self.b_text = np.array([(f"{i},", f"{i};") for i in range(len(self.b_bytes))], object)
+
+    def _a_ids(self, text: str) -> np.ndarray:
+        if self.fast is None or _RARE.search(text):
+            return np.array(self.a.encode(text, add_special_tokens=False).ids, np.int64)
+        return self.fast.encode_to_numpy(text, disallowed_special=()).astype(np.int64)
+
+    def encode(self, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Ids by both tokenizers of every text with a space in front; empty where the bytes would differ."""
-        cut = [_CUT.split(" " + t) if t else [] for t in texts]
-        if len(self.known) > CACHE_CHUNKS:
-            self.known.clear()
-        known, passing = self.known, {}
-        fresh = list({c for c in chain.from_iterable(cut) if c not in known})
-        for at in range(0, len(fresh), 1024):
-            part = fresh[at : at + 1024]
-            for c, ids in zip(part, self._chunk_ids(part), strict=True):
-                (known if len(c) <= CACHE_CHARS and len(known) <= 2 * CACHE_CHUNKS else passing)[c] = ids
-        out = []
-        for chunks in cut:
-            found = [known[c] if c in known else passing[c] for c in chunks]
-            if not all(x[2] for x in found):
-                found = []
-            out.append(tuple(np.array(list(chain.from_iterable(x[k] for x in found)), np.int64) for k in (0, 1)))
-        return out
+        none = np.zeros(0, np.int64)
+        for text, b in zip(texts, self.b.encode(texts, num_threads=1), strict=True):
+            raw = (" " + text).encode()
+            if not text or b"".join(map(self.b_bytes.__getitem__, b)) != raw:
+                yield none, none
+                continue
+            a = self._a_ids(" " + text)
+            # A byte-level vocabulary without a normaliser loses nothing; a token of another length would show here.
+            yield (a, np.array(b, np.int64)) if self.a_len[a].sum() == len(raw) else (none, none)
 
 
 @functools.lru_cache(maxsize=1)
@@ -211,18 +198,20 @@ def all_links(cuts, links) -> tuple[np.ndarray, np.ndarray]:
     )
 
 
-def groups_text(cuts, a: list[str], b: list[str]) -> str:
-    """``a1,a2|b1;a3|b2,b3``: the ids of every group."""
-    parts: list[str] = []
-    i = j = 0
-    for end_a, end_b, n in zip(*cuts, strict=True):
-        if n > 0:
-            parts.extend([f"{p}|{q}" for p, q in zip(a[i : i + n], b[j : j + n], strict=True)])
-            i, j = i + n, j + n
-        else:
-            parts.append(f"{','.join(a[i : end_a + 1])}|{','.join(b[j : end_b + 1])}")
-            i, j = end_a + 1, end_b + 1
-    return ";".join(parts)
+def groups_text(sizes: tuple[np.ndarray, np.ndarray], a: np.ndarray, b: np.ndarray) -> str:
+    """``a1,a2|b1;a3|b2,b3``: the ids of every group, given each as text that ends in its separator.
+
+    ``a`` and ``b`` have two columns: the id within a group, and as its last one of either side.
+    """
+    size_a, size_b = sizes
+    end_a, end_b = np.cumsum(size_a), np.cumsum(size_b)
+    out = np.empty(len(a) + len(b), object)
+    for ids, size, end, before in ((a, size_a, end_a, end_b - size_b), (b, size_b, end_b, end_a)):
+        last = np.zeros(len(ids), np.int64)
+        last[end - 1] = 1
+        at = np.arange(len(ids))
+        out[at + np.repeat(before, size)] = ids[at, last]
+    return "".join(out.tolist())[:-1]
 
 
 def _texts(batch: pa.RecordBatch, at: int, size: int) -> list[str]:
@@ -345,7 +334,7 @@ def aligned_blocks(df: DataFrame, tokenizers: tuple[str, str] | None = None) ->
                     cuts, links = align(np.cumsum(pair.a_len[a]), np.cumsum(pair.b_len[b]))
                     left, right = all_links(cuts, links)
                     pairs, times = np.unique(a[left] * PAIR + b[right], return_counts=True)
-                    text = groups_text(cuts, [pair.a_text[k] for k in a.tolist()], [pair.b_text[k] for k in b.tolist()])
+                    text = groups_text(group_sizes(cuts), pair.a_text[a], pair.b_text[b])
                     block.numbers.append((len(a), len(b), len(a) + len(b) - len(left), len(left)))
                     block.digests.append(hashlib.sha256(text.encode()).hexdigest() if len(a) else "")
                     block.pairs.append(pairs)
