@@ -223,7 +223,7 @@ def longer_of_level(blocks: DataFrame, pairs: DataFrame, level: int, max_words:
 
     def run(block: pa.Table, known: pa.Table) -> pa.Table:
         schema = pa.schema([(f.split()[0], {"string": pa.string(), "int": pa.int32(), "long": pa.int64()}[f.split()[1]]) for f in _GRAMS.split(", ")])
-        if not len(known):
+        if not len(known) or not len(block):  # the pairs of a settled language stay behind
             return schema.empty_table()
         open_ = _opened({c: block.column(c)[0] for c in block.column_names})
         tokens, rank = open_["tokens"], open_["level"]

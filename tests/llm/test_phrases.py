@@ -76,6 +76,12 @@ def test_settles_early(spark, monkeypatch):
     assert grown == [0]
 
 
+def test_one_language_settles_before_the_other(spark):
+    docs = [("en", f"rare{i % 9}a rare{i % 9}b. the the of the of") for i in range(40)] + corpus(5, ("fr",))
+    df = spark.createDataFrame(docs, "lang string, text string")
+    assert sorted(tuple(r) for r in mine_phrases(df, min_count=3, top=2, level_factor=6).collect()) == brute(docs, 3, 2)
+
+
 def test_edge_cases(spark):
     docs = [(None, None), ("en", ""), ("en", "  \t .,"), ("x", "A b"), ("x", "a B"), ("x", "a b a b"), ("x", "long " * 30_000), ("und", "q r"), (None, "q r")]
     df = spark.createDataFrame(docs, "lang string, text string")
