@@ -16,6 +16,11 @@ from ..operators.merge import upsert_first_non_null
 from ..sources.catalog import TrackerCatalogue, conform, empty_target, read_target
 from ..sources.schemas import TARGET_KEYS, TARGET_SCHEMAS
 from ..sources.sinks import StageArea, recover_swap, write_swap
+from ..sources.snapshots import Buckets, Commit, upsert_buckets
+
+STATUS = "fixed_cve_status"
+# Buckets of a new fix-status table; a table keeps the number it was made with.
+STATUS_BUCKETS = 64
 
 NUMBERS = ("changelog_string_number", "fixed_tracker_string_number")
 
@@ -67,3 +72,17 @@ def run_fix_status(
         return rows
     finally:
         stage.release()
+
+
+def upsert_fix_status(commit: Commit, incoming: DataFrame, n_buckets: int = STATUS_BUCKETS) -> tuple[int, list[int]]:
+    """S9 on the snapshot table: only buckets with incoming keys are rewritten; returns incoming rows and those buckets."""
+    known = commit.base.tables.get(STATUS)
+    buckets = known.buckets if known and known.buckets else Buckets(tuple(TARGET_KEYS[STATUS]), n_buckets)
+    stage = StageArea(incoming.sparkSession, "fix-status")
+    try:
+        staged, _ = stage.put(incoming, "incoming")
+        rows = staged.count()
+        touched = upsert_buckets(commit, STATUS, staged, TARGET_SCHEMAS[STATUS], buckets, merge_fix_status) if rows else []
+        return rows, touched
+    finally:
+        stage.release()

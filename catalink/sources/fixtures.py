@@ -128,7 +128,8 @@ def fixture_catalogue(spark: SparkSession, sf_dir: str) -> FixtureCatalogue:
     )
     # Repeated names under a second id, and a five-digit CVE.
     again = named_cves.where(F.col("id") % 9 == 0).select((F.col("id") + 5000000).alias("id"), "name")
-    long_name = spark.range(1).select(F.lit(88000001).cast("long").alias("id"), F.lit("CVE-2001-12345").alias("name"))
+    # Names of single rows are computed, as a real table's are read: a literal would fold into join keys.
+    long_name = spark.range(1).select(F.lit(88000001).cast("long").alias("id"), F.concat(F.lit("CVE-2001-1234"), (F.col("id") + 5).cast("string")).alias("name"))
     vulnerabilities = named_cves.unionByName(again).unionByName(long_name)
     chg_vln_lnk = (
         lineitem.where((F.col("l_orderkey") % 4 == 0) & (F.col("l_linenumber") <= 3))
@@ -163,7 +164,7 @@ def fixture_catalogue(spark: SparkSession, sf_dir: str) -> FixtureCatalogue:
         (pk + 500000).alias("pkg_id"),
         F.when(pk % 23 != 0, _when_mod(pk, 17, 0, F.lit("0.0.0"), F.col("p_brand"))).alias("version"),
     )
-    extra_cve = spark.range(1).select(F.lit(999999).cast("long").alias("cve_id"), F.lit("CVE-1999-0001").alias("cve_name"))
+    extra_cve = spark.range(1).select(F.lit(999999).cast("long").alias("cve_id"), F.concat(F.lit("CVE-1999-000"), (F.col("id") + 1).cast("string")).alias("cve_name"))
     trk_cve = vulnerabilities.select((F.col("id") + 900000).alias("cve_id"), F.col("name").alias("cve_name")).unionByName(extra_cve)
     lk = F.col("l_orderkey")
     trk_cve_rep = (

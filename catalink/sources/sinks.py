@@ -1,9 +1,9 @@
 """Writers: replace, append, crosswalk append, and write-then-swap.
 
 Spark writes are set-based and partitioned; there are no client-side batches.
-A table that is also being read (crosswalk, fix-status table) is never
-overwritten in place: the new content goes to a sibling folder which then
-replaces the old one.
+A table that is also being read is never overwritten in place: ``write_swap``
+writes a sibling folder which then replaces the old one, and the tables that
+the jobs load are versions of a ``snapshots.SnapshotStore``.
 """
 
 from __future__ import annotations
@@ -115,85 +115,6 @@ def write_swap(df: DataFrame, location: str, partition_by: list[str] | None = No
         raise OSError(f"could not move {staged} to {location}")
 
 
-class PendingRun:
-    """All outputs of one load, written aside and published together.
-
-    Tables are written under ``{base}/_pending/{run}``; nothing of a run is
-    visible before its marker file, written last.  ``publish`` then moves the
-    files into place (adding to a table, or replacing it), and each move can be
-    repeated: ``recover_runs`` finishes a published run that a crash cut short
-    and drops a run without a marker, so a rerun loads nothing twice and no
-    table stays half replaced.
-    """
-
-    FOLDER = "_pending"
-    MARKERS = {True: "_APPEND", False: "_REPLACE"}
-
-    def __init__(self, spark: SparkSession, base: str, append: bool, run: str | None = None):
-        self.spark, self.base, self.append = spark, base.rstrip("/"), append
-        self.run = run or uuid.uuid4().hex
-        self.root = f"{self.base}/{self.FOLDER}/{self.run}"
-
-    def path(self, table: str) -> str:
-        return f"{self.root}/{table}"
-
-    def publish(self) -> None:
-        fs, root, jvm = _fs_and_path(self.spark, self.root)
-        fs.mkdirs(root)
-        fs.create(jvm.org.apache.hadoop.fs.Path(root, self.MARKERS[self.append]), True).close()
-        self._move()
-
-    def _move(self) -> None:
-        fs, root, jvm = _fs_and_path(self.spark, self.root)
-        path = jvm.org.apache.hadoop.fs.Path
-        tables = [st.getPath() for st in fs.listStatus(root) if st.isDirectory()]
-        # Rejects are two levels deep: {base}/_rejects/{name}.
-        nested = [t for t in tables if t.getName().startswith("_rejects")]
-        tables = [t for t in tables if t not in nested]
-        for outer in nested:
-            tables += [st.getPath() for st in fs.listStatus(outer) if st.isDirectory()]
-        for table in tables:
-            relative = table.toUri().getPath()[len(root.toUri().getPath()) + 1 :]
-            target = path(f"{self.base}/{relative}")
-            if self.append and not relative.startswith("_rejects"):
-                self._add(fs, table, target, path)
-            else:
-                if fs.exists(target):
-                    fs.delete(target, True)
-                fs.mkdirs(target.getParent())
-                if not fs.rename(table, target):
-                    raise OSError(f"could not move {table} to {target}")
-        fs.delete(root, True)
-
-    def _add(self, fs, table, target, path) -> None:
-        """Move every file below ``table``; file names are unique per write."""
-        files = fs.listFiles(table, True)
-        prefix = len(table.toUri().getPath()) + 1
-        moves = []
-        while files.hasNext():
-            source = files.next().getPath()
-            if not source.getName().startswith("_"):
-                moves.append((source, path(target, source.toUri().getPath()[prefix:])))
-        for source, place in moves:
-            fs.mkdirs(place.getParent())
-            if not fs.rename(source, place):
-                raise OSError(f"could not move {source} to {place}")
-
-
-def recover_runs(spark: SparkSession, base: str) -> None:
-    """Finish published runs below ``base`` and drop unpublished ones; loads call it before they read."""
-    fs, pending, jvm = _fs_and_path(spark, f"{base.rstrip('/')}/{PendingRun.FOLDER}")
-    if not fs.exists(pending):
-        return
-    for status in sorted(fs.listStatus(pending), key=lambda st: st.getModificationTime()):
-        root = status.getPath()
-        modes = [m for m, name in PendingRun.MARKERS.items() if fs.exists(jvm.org.apache.hadoop.fs.Path(root, name))]
-        if modes:
-            PendingRun(spark, base, modes[0], root.getName())._move()
-        else:
-            fs.delete(root, True)
-
-
 def observed(obs: Observation) -> dict:
     """An observation's metrics; none if the plan turned out empty and the observed node was dropped from it."""
     try:
@@ -204,27 +125,6 @@ def observed(obs: Observation) -> dict:
         return {}
 
 
-class RowCounter:
-    """Row count of a frame, observed while the frame is written."""
-
-    def __init__(self, df: DataFrame, name: str):
-        self._obs = Observation(f"{name}-{uuid.uuid4().hex[:8]}")
-        self.df = df.observe(self._obs, F.count(F.lit(1)).alias("rows"))
-
-    def rows(self) -> int:
-        return int(observed(self._obs).get("rows") or 0)
-
-
-def with_row_count(df: DataFrame, name: str) -> tuple[DataFrame, RowCounter]:
-    """Attach a row counter that fills in when ``df`` is written.
-
-    The count rides along the write job instead of a second scan; read it
-    with ``counter.rows()`` after the write.
-    """
-    counter = RowCounter(df, name)
-    return counter.df, counter
-
-
 class StageArea:
     """Intermediate tables of one run, written under the session's checkpoint folder.
 

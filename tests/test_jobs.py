@@ -32,13 +32,12 @@ def test_full_then_incremental_then_fix_status(spark, folders):
     assert {k: v for k, v in again.items() if not k.startswith("reject:")} == {k: 0 for k in full if not k.startswith("reject:")}
 
     first = jobs.run_cve_fix_status(spark, targets, str(folders / "tracker"))
-    table = spark.read.parquet(f"{targets}/fixed_cve_status")
-    before = sorted(map(tuple, table.collect()))
+    before = sorted(map(tuple, jobs.read_loaded(spark, targets, "fixed_cve_status").collect()))
     assert first["fixed_cve_status"] == len(before) > 0
     assert first["changes_in_scope"] > 0 and first["reject:log_unknown_cves"] > 0 and first["reject:tracker_unknown_cves"] > 0
-    assert spark.read.parquet(f"{targets}/_rejects/tracker_unknown_cves").count() == first["reject:tracker_unknown_cves"]
+    assert jobs.read_rejects(spark, targets, "tracker_unknown_cves").count() == first["reject:tracker_unknown_cves"]
     jobs.run_cve_fix_status(spark, targets, str(folders / "tracker"))
-    after = sorted(map(tuple, spark.read.parquet(f"{targets}/fixed_cve_status").collect()))
+    after = sorted(map(tuple, jobs.read_loaded(spark, targets, "fixed_cve_status").collect()))
     assert before == after  # merging the same evidence twice changes nothing
 
 

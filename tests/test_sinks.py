@@ -103,39 +103,3 @@ def test_fix_status_keeps_user_ids_after_a_crash(spark, tmp_path):
     assert run_fix_status(spark, loc, row(1, 2, 7, 7, None)) == 1
     assert table_of(spark, loc) == [(1, 2, 5, 6, 42)]
     assert run_fix_status(spark, loc, row(1, 2, 7, 7, None).limit(0)) == 0
-
-
-def test_pending_run_is_all_or_nothing(spark, tmp_path):
-    from catalink.sources.sinks import PendingRun, recover_runs
-
-    base = str(tmp_path)
-    write_replace(spark.range(2), f"{base}/a")
-    dropped = PendingRun(spark, base, append=True)
-    write_replace(spark.range(10, 15), dropped.path("a"))
-    recover_runs(spark, base)  # crashed before its marker: nothing of it stays
-    assert spark.read.parquet(f"{base}/a").count() == 2 and not os.listdir(f"{base}/_pending")
-
-    run = PendingRun(spark, base, append=True)
-    write_replace(spark.range(10, 15).repartition(3), run.path("a"))
-    write_replace(spark.range(4), run.path("b"))
-    write_replace(spark.range(1), run.path("_rejects/r"))
-    moved = []
-
-    def crash(fs, table, target, path, add=PendingRun._add):
-        if moved:
-            raise RuntimeError("crash")
-        moved.append(table)
-        add(run, fs, table, target, path)
-
-    run._add = crash
-    with pytest.raises(RuntimeError):
-        run.publish()  # one table is in, the other not yet
-    for _ in range(2):
-        recover_runs(spark, base)
-        assert spark.read.parquet(f"{base}/a").count() == 7 and spark.read.parquet(f"{base}/b").count() == 4
-        assert spark.read.parquet(f"{base}/_rejects/r").count() == 1
-
-    replace = PendingRun(spark, base, append=False)
-    write_replace(spark.range(9), replace.path("a"))
-    replace.publish()
-    assert spark.read.parquet(f"{base}/a").count() == 9 and spark.read.parquet(f"{base}/b").count() == 4
