@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.clean import epoch_in_range
 from .crosswalk import remap, unmapped
 from .links import remap_links
 
@@ -84,6 +85,21 @@ def rejected_by_parent(df: DataFrame, crosswalk: DataFrame, table: str, ref_col:
     return unmapped(df, crosswalk, table, ref_col)
 
 
+def times_out_of_range(frames: list[tuple[str, DataFrame]]) -> DataFrame:
+    """X5 / X6 audit frame ``(table_name, id, time)``: epochs that no timestamp can hold.
+
+    Loads turn them into the load time (or NULL) like a missing time; this
+    frame tells which values were replaced.
+    """
+    parts = [
+        df.where(~epoch_in_range("time")).select(F.lit(name).alias("table_name"), "id", "time") for name, df in frames
+    ]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
 def rejected_change_links(
     chg_vln_lnk: DataFrame, crosswalk: DataFrame, change_table: str = "changes", cve_table: str = "vulnerabilities"
 ) -> DataFrame:

@@ -73,18 +73,21 @@ def changelog_versions(
     pkg_versions: DataFrame,
     run_ts: dt.datetime | str,
     zero_is_null: bool = True,
+    how: str = "inner",
 ) -> DataFrame:
     """Narrow changelog rows ``(old_id, pkg_vrs_id, date_added)`` - no text.
 
     Changes whose version is unmapped are dropped (inner join, as the source
-    query does).  ``zero_is_null=True`` is X5 (incremental load), ``False`` is
+    query does) or, with ``how="left"``, kept without a version, beside their
+    ``pkg_vsn_ref``, for a reject frame.  ``zero_is_null=True`` is X5 (incremental load), ``False`` is
     X6 (full load: only a NULL time becomes the load time).  Keeping the text
     out of this step means the joins and the key numbering shuffle ids only.
     """
     lookup = version_lookup(crosswalk, pkg_versions)
-    base = changes.select("id", "pkg_vsn_ref").join(lookup, F.col("pkg_vsn_ref") == lookup["_pv_old"])
+    base = changes.select("id", "pkg_vsn_ref").join(lookup, F.col("pkg_vsn_ref") == lookup["_pv_old"], how)
     return base.select(
         F.col("id").alias("old_id"),
+        *(["pkg_vsn_ref"] if how == "left" else []),
         "pkg_vrs_id",
         C.epoch_or_load_time("_pv_time", run_ts, zero_is_null).alias("date_added"),
     )

@@ -100,9 +100,28 @@ class _Steps:
         reading files beats recomputing an anti join against the crosswalk.
         Its id range, observed during that write, sets the bucket levels.
         """
+        return self.numbered(*self.keep_with_bounds(delta, f"{name}-delta"), key_col, base, name)
+
+    def routed(self, mapped: DataFrame, out_col: str, name: str) -> tuple[DataFrame, DataFrame, tuple | None]:
+        """rows of one left join, written apart by whether their parent was found.
+
+        Returns the accepted rows, the rejected ones, and the id range of the
+        accepted; each side then reads its own folder, so the join runs once.
+        """
+        found = F.col(out_col).isNotNull()
         if self.stage is None:
-            return dense_keys(delta, "old_id", key_col, base)
-        staged, bounds = self.keep_with_bounds(delta, f"{name}-delta")
+            return mapped.where(found), mapped.where(~found).drop(out_col), None
+        ids = F.when(found, F.col("old_id"))
+        staged, stats = self.stage.put(
+            mapped.withColumn("_found", found.cast("int")), name, {"lo": F.min(ids), "hi": F.max(ids)}, "_found"
+        )
+        accepted, rejected = (staged.where(F.col("_found") == flag).drop("_found") for flag in (1, 0))
+        return accepted, rejected.drop(out_col), (stats["lo"], stats["hi"])
+
+    def numbered(self, staged: DataFrame, bounds: tuple | None, key_col: str, base: int, name: str) -> DataFrame:
+        """Number a staged frame by ``old_id`` after ``base``, given its id range."""
+        if bounds is None:
+            return dense_keys(staged, "old_id", key_col, base)
         if bounds[0] is None:  # S10: nothing new in this step, skip numbering and the second write
             return staged.withColumn(key_col, F.lit(None).cast("long"))
         return self.keep(dense_keys(staged, "old_id", key_col, base, bounds=bounds), f"{name}-keyed")
@@ -176,6 +195,10 @@ def _run_steps(
     rejects: dict[str, DataFrame] = {}
     zero_is_null = not full
 
+    rejects["times_out_of_range"] = audit.times_out_of_range(
+        [("assemblies", sources.assemblies), ("pkg_versions", sources.pkg_versions)]
+    )
+
     # 1. projects
     staged = projects_with_vendor(sources.projects, sources.publishers)
     rejects["projects_without_publisher"] = rejected_projects(sources.projects, sources.publishers)
@@ -187,11 +210,12 @@ def _run_steps(
 
     # 2. assemblies
     cleaned = clean_assemblies(sources.assemblies, run_ts)
-    delta = steps.keep(only_new(cleaned, steps.crosswalk, "assemblies"), "assembly-new")
-    rejects["assemblies_without_project"] = audit.rejected_by_parent(delta, steps.crosswalk, "projects", "prj_ref")
-    mapped = remap(delta, steps.crosswalk, "projects", "prj_ref", "prj_id")
+    delta = only_new(cleaned, steps.crosswalk, "assemblies")
+    mapped, rejects["assemblies_without_project"], bounds = steps.routed(
+        remap(delta, steps.crosswalk, "projects", "prj_ref", "prj_id", "left"), "prj_id", "assembly-mapped"
+    )
     base = steps.base(_target(spark, targets, "assembly"), "assm_id", "assemblies")
-    keyed = steps.keyed(mapped, "assm_id", base, "assembly")
+    keyed = steps.numbered(mapped, bounds, "assm_id", base, "assembly")
     out["assembly"] = _project_target(keyed, "assembly")
     steps.add(crosswalk_rows(keyed, "assemblies", new_col="assm_id"))
 
@@ -215,11 +239,11 @@ def _run_steps(
 
     # 4. versions by (package, version)
     cleaned = clean_pkg_versions(sources.pkg_versions, run_ts)
-    delta = steps.keep(only_new(cleaned, steps.crosswalk, "pkg_versions"), "version-new")
-    rejects["versions_without_package"] = audit.rejected_by_parent(delta, steps.crosswalk, "src_packages", "src_pkg_ref")
-    mapped, bounds = steps.keep_with_bounds(
-        remap(delta, steps.crosswalk, "src_packages", "src_pkg_ref", "pkg_id").drop("src_pkg_ref"), "version-delta"
+    delta = only_new(cleaned, steps.crosswalk, "pkg_versions")
+    mapped, rejects["versions_without_package"], bounds = steps.routed(
+        remap(delta, steps.crosswalk, "src_packages", "src_pkg_ref", "pkg_id", "left"), "pkg_id", "version-mapped"
     )
+    mapped = mapped.drop("src_pkg_ref")
     pkg_version = _target(spark, targets, "pkg_version")
     if bounds is not None and bounds[0] is None:  # S10: no new version
         mapping = mapped.select("old_id", "pkg_id", "version", F.lit(None).cast("long").alias("pkg_vrs_id"))
@@ -262,13 +286,15 @@ def _run_steps(
 
     # 8. changelog (J2, J4, J16, X5/X6, X11, A4): ids, versions and keys on narrow
     # rows; the change text joins in once at the end.
-    delta = steps.keep(
-        only_new(sources.changes.select("id", "pkg_vsn_ref"), steps.crosswalk, "changes", key_col="id"), "changelog-new"
+    delta = only_new(sources.changes.select("id", "pkg_vsn_ref"), steps.crosswalk, "changes", key_col="id")
+    narrow, unversioned, bounds = steps.routed(
+        changelog_versions(delta, steps.crosswalk, sources.pkg_versions, run_ts, zero_is_null, "left"),
+        "pkg_vrs_id", "changelog-mapped",
     )
-    narrow = changelog_versions(delta, steps.crosswalk, sources.pkg_versions, run_ts, zero_is_null)
-    rejects["changes_without_version"] = audit.rejected_by_parent(delta, steps.crosswalk, "pkg_versions", "pkg_vsn_ref")
+    rejects["changes_without_version"] = unversioned.select(F.col("old_id").alias("id"), "pkg_vsn_ref")
+    narrow = narrow.drop("pkg_vsn_ref")
     base = steps.base(_target(spark, targets, "changelog"), "id", "changes")
-    keyed = steps.keyed(narrow, "id", base, "changelog")
+    keyed = steps.numbered(narrow, bounds, "id", base, "changelog")
     idents = idents_per_change(sources.chg_vln_lnk, sources.vulnerabilities) if full else None
     out["changelog"] = _project_target(with_text(keyed, sources.changes, idents), "changelog")
     steps.add(crosswalk_rows(keyed, "changes", new_col="id"))

@@ -63,6 +63,10 @@ def _run_steps(sources: SourceCatalogue, stage: StageArea | None) -> LoadResult:
     def run_map() -> DataFrame:
         return union_crosswalks(*maps)
 
+    rejects["times_out_of_range"] = audit.times_out_of_range(
+        [("assemblies", sources.assemblies), ("pkg_versions", sources.pkg_versions)]
+    )
+
     # project: projects joined with publishers (vendor), new key per row
     rejects["projects_without_publisher"] = rejected_projects(sources.projects, sources.publishers)
     staged = projects_with_vendor(sources.projects, sources.publishers).withColumnRenamed("vendor", joined_column("publishers", "name"))

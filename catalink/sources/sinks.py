@@ -141,7 +141,9 @@ class StageArea:
         self.root = f"{root}/catalink-{label}-{uuid.uuid4().hex[:12]}"
         self._n = 0
 
-    def put(self, df: DataFrame, name: str, observe: dict[str, Column] | None = None) -> tuple[DataFrame, dict]:
+    def put(
+        self, df: DataFrame, name: str, observe: dict[str, Column] | None = None, partition_by: str | None = None
+    ) -> tuple[DataFrame, dict]:
         """Write ``df``; return it read back, plus aggregates observed during the write."""
         self._n += 1
         path = f"{self.root}/{self._n:02d}-{name}"
@@ -149,9 +151,11 @@ class StageArea:
         if observe:
             obs = Observation(f"{name}-{self._n}")
             df = df.observe(obs, *[col.alias(key) for key, col in observe.items()])
-        df.write.mode("overwrite").parquet(path)
+        write_replace(df, path, [partition_by] if partition_by else None)
         stats = dict.fromkeys(observe or {}) | (observed(obs) if obs is not None else {})
-        return self.spark.read.parquet(path), stats
+        # An empty partitioned write leaves no file to infer a schema from.
+        reader = self.spark.read.schema(df.schema) if partition_by else self.spark.read
+        return reader.parquet(path), stats
 
     def release(self) -> None:
         fs, path, _ = _fs_and_path(self.spark, self.root)

@@ -61,3 +61,35 @@ def test_second_incremental_load_adds_nothing(sources, incr):
     again = incremental_load(sources, RUN_TS, incr.targets, incr.crosswalk)
     counts = {r.table_name: r.n_rows for r in again.counts().collect()}
     assert set(counts.values()) == {0}, counts
+
+
+def test_rejects_are_the_rows_without_a_parent(sources, full):
+    from catalink.operators.audit import rejected_by_parent
+
+    for name, df, key, table, ref in (
+        ("assemblies_without_project", sources.assemblies, "id", "projects", "prj_ref"),
+        ("versions_without_package", sources.pkg_versions, "id", "src_packages", "src_pkg_ref"),
+        ("changes_without_version", sources.changes, "id", "pkg_versions", "pkg_vsn_ref"),
+    ):
+        got = full.rejects[name]
+        want = rejected_by_parent(df, full.crosswalk, table, ref)
+        assert rows(got, [F.col("id" if "id" in got.columns else "old_id")]) == rows(want, [key]), name
+        assert want.count() > 0
+
+
+def test_times_out_of_range_are_reported(spark, sources):
+    odd = sources.assemblies.withColumn("time", F.when(F.col("id") % 100 == 0, F.lit(10**18)).otherwise(F.col("time")))
+    report = full_load(sources.replace(assemblies=odd), RUN_TS).rejects["times_out_of_range"]
+    n = sources.assemblies.where("id % 100 = 0").count()
+    assert n > 0 and rows(report.select("table_name", "time").distinct()) == [("assemblies", 10**18)] and report.count() == n
+
+
+def test_key_ranges_hold_every_row_once(spark):
+    from catalink.sources.catalog import key_ranges
+
+    df = spark.range(-5, 25).selectExpr("if(id = 24, null, id) AS id")
+    for lo, hi, n in ((0, 19, 4), (-5, 23, 7), (3, 4, 10), (0, 0, 3), (None, None, 4), (0, 19, 1), (-7, -1, 3)):
+        parts = key_ranges("id", lo, hi, n)
+        assert 1 <= len(parts) <= max(n, 1)
+        hits = df.selectExpr("id", " + ".join(f"if({p}, 1, 0)" for p in parts) + " AS hits")
+        assert rows(hits.select("hits").distinct()) == [(1,)], (lo, hi, n)
