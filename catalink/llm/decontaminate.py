@@ -30,6 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .shipping import ship_package
 from .text import Block, Rolling, blocks, within, word_hashes
@@ -249,8 +250,8 @@ def drop_contaminated(
     """The rows of ``docs`` that no benchmark item contaminates, all columns unchanged; no shuffle."""
     spark = docs.sparkSession
     ship_package(spark)
-    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), token_text(F.col("text")).alias("text"))
-    schema = f"row {rows.schema['row'].dataType.simpleString()}, text string"
+    rows = docs.select(F.struct("*").alias("row"), token_text(F.col("text")).alias("text"))
+    schema = T.StructType([rows.schema["row"], T.StructField("text", T.StringType())])
     for items in item_blocks(benchmark, "item_id", "text"):
         index = spark.sparkContext.broadcast(ItemIndex(items, min_match))
         rows = rows.mapInArrow(_clean_rows(index, min_coverage), schema)

@@ -408,7 +408,7 @@ def keep_one_per_component(
     keep = named.filter("rep = component_id AND digest = component_digest").select(
         F.col("rep").alias("keep_id"), F.col("digest").alias("keep_digest")
     )
-    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), *_keyed(key, text))
+    rows = docs.select(F.struct("*").alias("row"), *_keyed(key, text))
     wordless = ~F.coalesce(F.col(f"row.`{text}`").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
     kept = rows.filter(~wordless).join(keep, F.expr("id = keep_id AND digest = keep_digest"), "left_semi")
     # One of equal rows; the window costs no shuffle beyond the join's.

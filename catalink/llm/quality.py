@@ -34,6 +34,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .shipping import ship_package
 from .staging import put, stage_area
@@ -119,12 +120,12 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def document_counts(docs: DataFrame, keep: str) -> DataFrame:
-    """The counts of every whole text, with the key columns ``keep`` (``name type``, cut by ``;`` or ``,``)."""
+def document_counts(docs: DataFrame, keep: str | T.StructType) -> DataFrame:
+    """The counts of every whole text, with the key columns ``keep`` (``name type, ...``, or their schema)."""
     ship_package(docs.sparkSession)
-    parts = [c.strip() for c in keep.split(";" if ";" in keep else ",")]
-    names = [c.split(" ", 1)[0] for c in parts]
-    return docs.select(*names, "text").mapInArrow(_counts, ", ".join([*parts, COUNTS]))
+    keep = T.StructType.fromDDL(keep) if isinstance(keep, str) else keep
+    schema = T.StructType([*keep.fields, *T.StructType.fromDDL(COUNTS).fields])
+    return docs.select(*keep.fieldNames(), "text").mapInArrow(_counts, schema)
 
 
 def base_failed() -> Column:
@@ -241,9 +242,9 @@ def filter_documents(docs: DataFrame) -> DataFrame:
     area = stage_area(docs.sparkSession, "quality-filter")
     counts = put(area, document_counts(docs, "lang string, source string"), "counts")
     fences = thresholds(counts)
-    row = docs.select(F.struct("*").alias("row")).schema["row"].dataType.simpleString()
     tagged = docs.select(F.struct("*").alias("row"), "lang", "source", "text")
-    judged = judge(document_counts(tagged, f"row {row}; lang string; source string"), fences)
+    kept = T.StructType([tagged.schema[c] for c in ("row", "lang", "source")])
+    judged = judge(document_counts(tagged, kept), fences)
     return judged.filter("kept").select("row.*")
 
 

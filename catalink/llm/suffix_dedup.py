@@ -73,7 +73,7 @@ def dedup_documents(docs: DataFrame, length: int = 400) -> DataFrame:
         elif name == "n_chars":
             columns.append(F.length(text).cast(docs.schema["n_chars"].dataType).alias("n_chars"))
         else:
-            columns.append(F.col(f"row.`{name}`").alias(name))
+            columns.append(F.col("row").getField(name).alias(name))
     return cut.select(*columns)
 
 

@@ -31,6 +31,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .shipping import ship_package
 from .staging import put, stage_area
@@ -174,6 +175,8 @@ def _part_rows(s: Scheme):
             far = col("lead").astype(np.int64)
             near = far - col("more")
             anchor = np.repeat(off[:-1], n) + col("first") + far
+            if np.any(anchor - near + s.length > np.repeat(off[1:], n)):
+                raise ValueError("a run reaches beyond its text: two texts of one id share a 64-bit digest")
             pieces = far // s.block - near // s.block + 1
             many = lambda x: np.repeat(x, pieces)  # noqa: B023, E731
             k = many(near // s.block) + within(pieces)
@@ -204,13 +207,13 @@ def _part_rows(s: Scheme):
 def keyed(docs: DataFrame, key: str, text: str) -> DataFrame:
     """``row, id, tag, text``: every column of the input packed in ``row``.
 
-    ``(id, tag)`` tells texts apart even where an id repeats; a null id counts
-    as the smallest.
+    ``(id, tag)`` tells texts apart even where an id repeats (``tag`` is a
+    64-bit digest of the text); a null id counts as the smallest.
     """
     return docs.select(
-        F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"),
+        F.struct("*").alias("row"),
         F.coalesce(F.col(key).cast("long"), F.lit(-(1 << 63))).alias("id"),
-        (F.crc32(F.coalesce(F.col(text), F.lit("")).cast("binary")) - F.lit(1 << 31)).cast("int").alias("tag"),
+        F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("tag"),
         F.col(text).alias("text"),
     )
 
@@ -225,7 +228,7 @@ def repeated_starts(docs: DataFrame, s: Scheme, ordered: bool, label: str) -> Da
     ship_package(docs.sparkSession)
     area = stage_area(docs.sparkSession, label)
     texts = docs.select("id", "tag", "text")
-    columns = "id long, tag int, first int, more short, lead short, core long, whole long"
+    columns = "id long, tag long, first int, more short, lead short, core long, whole long"
     runs = put(area, texts.mapInArrow(_run_rows(s), columns), "runs")
 
     def open_groups(classes: DataFrame, group: list[str], name: str) -> DataFrame:
@@ -300,7 +303,8 @@ def repeated_starts(docs: DataFrame, s: Scheme, ordered: bool, label: str) -> Da
     run = F.array(F.struct("first", (F.col("first") + F.col("more")).cast("int").alias("last")))
     single = F.expr("transform(ds, d -> named_struct('first', first + lead - d, 'last', first + lead - d))")
     found = decided.select("id", "tag", F.when(all_of_it, run).otherwise(single).alias("starts")).filter("starts IS NOT NULL")
-    return found.groupBy("id", "tag").agg(F.flatten(F.collect_list("starts")).alias("starts"))
+    # Equal rows bring the same starts; a set holds them once, and partial sets move.
+    return found.groupBy("id", "tag").agg(F.flatten(F.collect_set("starts")).alias("starts"))
 
 
 def _cut_rows(s: Scheme, as_text: bool):
@@ -316,6 +320,8 @@ def _cut_rows(s: Scheme, as_text: bool):
             flat = lists.flatten()
             depth = np.zeros(total + 1, np.int64)
             if len(flat):
+                if np.any(off[doc] + flat.field("last").to_numpy() + s.length > off[doc + 1]):
+                    raise ValueError("a removed string reaches beyond its text: two texts of one id share a 64-bit digest")
                 np.add.at(depth, off[doc] + flat.field("first").to_numpy(), 1)
                 np.add.at(depth, off[doc] + flat.field("last").to_numpy() + s.length, -1)
             gone = np.cumsum(depth[:-1]) > 0
@@ -375,11 +381,10 @@ def cut_repeats(
     rows = keyed(docs, key, text)
     starts = repeated_starts(rows, s, ordered, label)
     joined = rows.join(starts, ["id", "tag"], "left").select("row", "text", "starts")
-    kind = joined.schema["row"].dataType.simpleString()
-    return joined.mapInArrow(
-        _cut_rows(s, as_text),
-        f"row {kind}, n_symbols long, spans array<struct<first:int,end:int>>, kept {'string' if as_text else 'binary'}",
+    rest = T.StructType.fromDDL(
+        f"n_symbols long, spans array<struct<first:int,end:int>>, kept {'string' if as_text else 'binary'}"
     )
+    return joined.mapInArrow(_cut_rows(s, as_text), T.StructType([joined.schema["row"], *rest.fields]))
 
 
 def removed_symbols() -> Column:

@@ -87,10 +87,22 @@ def test_empty_and_odd_documents(spark, sf_dir):
         assert kept.count() == (4 if data and len(data) > 3 else 0)
 
 
+def test_any_column_names(spark, sf_dir):
+    text = " ".join(f"w{j}" for j in range(80))
+    docs = spark.createDataFrame(
+        [(k, f"{k} {text} {k}", "en", "s", 7, k, "a", "b", "c", "d") for k in range(3)],
+        "doc_id long, text string, lang string, source string, n_chars long, row int, `my col` string, `a-b` string, `t``k` string, `d.t` string",
+    )
+    for name, stage in P.STAGES:
+        out = stage(spark, docs, sf_dir)
+        assert name == "pack" or out.columns == docs.columns
+        assert out.count() == (1 if name == "near_duplicates" else 3), name
+
+
 def test_entry_registers_everything():
     import __spark_entry__ as entry
 
     names = entry.queries()
-    assert {f"op{k}" for k in range(1, 11)} <= {n.split("_")[0] for n in names} and "pipeline" in names
+    assert {f"op{k}" for k in range(1, 14)} <= {n.split("_")[0] for n in names} and "pipeline" in names
     assert set(entry.oracle_sql()) <= set(names)
     assert importlib.util.find_spec("catalink.llm") is not None

@@ -139,6 +139,29 @@ def test_cut_documents_keep_their_columns(spark):
     assert got[3].text == "clean" and got[4].text is None and got[4].n_chars is None
 
 
+def test_texts_without_an_id_whose_short_checksums_collide(spark):
+    """The 32-bit checksums of ``plumless`` and ``buckeroo`` are equal, whatever follows both."""
+    tail = "".join(random.Random(5).choices("abcdef ", k=90))
+    data = [(None, "plumless" + tail), (None, "buckeroo" + tail), (None, "plumless" + tail[:50] + "x" * 60), (4, "other")]
+    df = spark.createDataFrame(data, "doc_id long, text string")
+    got = sorted(bytes(r.kept) for r in remove_repeated_bytes(df, 40).collect())
+    want = sorted(bytes(c for c, gone in zip(raw, mask, strict=True) if not gone) for raw, mask in brute_bytes(data, 40))
+    assert got == want
+
+
+def test_many_equal_rows_without_an_id(spark):
+    """A third of a corpus being one text: what is gathered per text does not grow with its copies."""
+    text = "".join(random.Random(6).choices("abcdefgh ", k=700))
+    alone = "".join(random.Random(7).choices("ijklmnop ", k=500))
+    made = spark.range(0, 3000, 1, 4).selectExpr("CAST(null AS LONG) AS doc_id", f"'{text}' AS text")
+    df = made.unionByName(spark.createDataFrame([(1, alone)], made.schema))
+    rows = windows.keyed(df, "doc_id", "text")
+    starts = windows.repeated_starts(rows, byte_scheme(400), False, "test").collect()
+    assert len(starts) == 1 and len(starts[0].starts) <= 700
+    got = remove_repeated_bytes(df).groupBy("row.doc_id").agg({"n_symbols": "count", "kept": "max"}).collect()
+    assert {(r.doc_id, r["count(n_symbols)"], bytes(r["max(kept)"])) for r in got} == {(None, 3000, b""), (1, 1, alone.encode())}
+
+
 def test_empty_tables(spark):
     none = spark.createDataFrame([], "doc_id long, text string")
     assert remove_repeated_bytes(none).collect() == []
