@@ -104,7 +104,7 @@ class TokenPair:
         self.b_text = np.array([(f"{i},", f"{i};") for i in range(len(self.b_bytes))], object)
 
     def _a_ids(self, text: str) -> np.ndarray:
-        if self.fast is None or _RARE.search(text):
+        if self.fast is None or not (text.isascii() or _RARE.search(text) is None):
             return np.array(self.a.encode(text, add_special_tokens=False).ids, np.int64)
         return self.fast.encode_to_numpy(text, disallowed_special=()).astype(np.int64)
 
@@ -134,29 +134,24 @@ def align(a_end: np.ndarray, b_end: np.ndarray):
     ``links`` are the index pairs of the groups that are not one to one.
     """
     x, y = a_end.tolist(), b_end.tolist()
-    raw_x, raw_y = a_end.astype("<i4").tobytes(), b_end.astype("<i4").tobytes()
-    n, m = len(x), len(y)
+    # Each closed by a mark of its own, so that no block matches beyond the end.
+    raw_x, raw_y = np.append(a_end, -1).astype("<i4").tobytes(), np.append(b_end, -2).astype("<i4").tobytes()
+    n = len(x)
     at_a, at_b, count, link_a, link_b = [], [], [], [], []
     i = j = 0
     while i < n:
         if x[i] == y[j]:
-            run, step = 1, 1
-            while True:  # probe ever longer blocks at this shift
-                p, q, w = 4 * (i + run), 4 * (j + run), 4 * step
-                if i + run + step > n or j + run + step > m or raw_x[p : p + w] != raw_y[q : q + w]:
-                    break
-                run += step
-                step *= 2
-            while step > 1:  # the run ends inside the last block
-                step //= 2
-                p, q, w = 4 * (i + run), 4 * (j + run), 4 * step
-                if i + run + step <= n and j + run + step <= m and raw_x[p : p + w] == raw_y[q : q + w]:
-                    run += step
             at_a.append(i)
             at_b.append(j)
-            count.append(run)
-            i += run
-            j += run
+            p, q, w = 4 * i + 4, 4 * j + 4, 4
+            while raw_x[p : p + w] == raw_y[q : q + w]:  # probe ever longer blocks at this shift
+                p, q, w = p + w, q + w, 2 * w
+            while w > 4:  # the run ends inside the last block
+                w //= 2
+                if raw_x[p : p + w] == raw_y[q : q + w]:
+                    p, q = p + w, q + w
+            count.append(p // 4 - i)
+            i, j = p // 4, q // 4
         else:
             end_x, end_y = x[i], y[j]
             link_a.append(i)
