@@ -10,8 +10,8 @@ All but the last return the columns of ``docs``, whatever these are.
   at a similarity of 0.75 the row with the smallest ``doc_id`` stays (one row,
   also where rows are repeated); rows that only share an id, or have none, are
   not linked by that, and documents without a word link with nothing.
-* ``repeated_strings``: bytes covered by 400-byte strings that occur more than
-  once are cut out of the texts; ``n_chars`` follows.
+* ``repeated_strings``: bytes covered by strings of ``REPEAT_BYTES`` that occur
+  more than once are cut out of the texts; ``n_chars`` follows.
 * ``decontaminate``: documents whose text covers at least half of a benchmark
   item go.
 * ``pack``: what is left is tokenised and packed into sequences of at most
@@ -31,6 +31,10 @@ from catalink.llm.quality import filter_documents
 from catalink.llm.staging import stage_area
 from catalink.llm.suffix_dedup import dedup_documents
 
+# What fifty words hold at least, bar rare texts of very short words: a passage of over
+# fifty words that occurs again contains a repeated string of this length.
+REPEAT_BYTES = 250
+
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
@@ -46,7 +50,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 1: repeated strings are cut out of the texts."""
-    return dedup_documents(docs)
+    return dedup_documents(docs, REPEAT_BYTES)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
