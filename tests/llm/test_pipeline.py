@@ -51,7 +51,7 @@ def test_near_duplicates(stages):
 def test_repeated_strings(stages):
     before, after = rows(stages[2]), rows(stages[3])
     ids = sorted(before)
-    for i, (raw, mask) in zip(ids, brute_bytes([(i, before[i].text) for i in ids], 400), strict=True):
+    for i, (raw, mask) in zip(ids, brute_bytes([(i, before[i].text) for i in ids], P.REPEAT_BYTES), strict=True):
         kept = bytes(c for c, gone in zip(raw, mask, strict=True) if not gone).decode("utf-8", "ignore")
         assert after[i].text == kept and (after[i].n_chars == len(kept) or not any(mask))
 
