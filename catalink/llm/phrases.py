@@ -19,6 +19,8 @@ bound of its best word left; settled languages are not grown any more.
 The corpus is held as written blocks of one language: the words of the block
 and its texts as word numbers.  Counts travel as one row per block and phrase,
 never per occurrence, so a phrase that stands everywhere moves once a block.
+Pairs, the bulk of what is counted, travel as two word ids; only those that are
+frequent get their text.
 
 Edge cases: a null text is empty, a null language is ``und``; a phrase never
 runs on into another piece or row; repeated rows count each; ties are broken by
@@ -59,8 +61,9 @@ _APART = _BREAK.copy()
 _APART[list(SPACES)] = True
 
 _BLOCK = "block long, lang string, n long, words array<string>, times array<long>, tokens binary"
-_LEVELLED = "block long, lang string, words array<string>, levels array<int>, tokens binary"
-_GRAMS = "block long, at long, lang string, phrase string, size int, n long, low int, high int, first int, last int"
+_LEVELLED = "block long, lang string, words array<string>, ids array<long>, levels array<int>, tokens binary"
+_PAIRS = "block long, at long, one long, two long, n long"
+_GRAMS = "lang string, phrase string, size int, n long, low int, high int"
 
 
 def _pack(values: np.ndarray) -> bytes:
@@ -124,65 +127,53 @@ def word_blocks(df: DataFrame, size: int = BLOCK_BYTES) -> DataFrame:
 
 
 def frequent_words(blocks: DataFrame, min_count: int, level_factor: int = LEVEL_FACTOR) -> DataFrame:
-    """``lang, phrase, f, level``: words of at least ``min_count`` occurrences; the level grows with ``f``."""
+    """``lang, phrase, f, level, id``: words of at least ``min_count`` occurrences; the level grows with ``f``.
+
+    The ids are unique but differ from run to run: the table is to be written before they are used.
+    """
     each = blocks.select("lang", F.explode(F.arrays_zip("words", "times")).alias("x"))
     counted = each.groupBy("lang", F.col("x.words").alias("phrase")).agg(F.sum("x.times").alias("f"))
     level = F.floor(F.log(F.col("f") / F.lit(min_count)) / F.log(F.lit(float(level_factor)))).cast("int")
-    return counted.where(F.col("f") >= min_count).withColumn("level", level)
+    return counted.where(F.col("f") >= min_count).withColumn("level", level).withColumn("id", F.monotonically_increasing_id())
 
 
 def levelled_blocks(blocks: DataFrame, words: DataFrame) -> DataFrame:
-    """The blocks with the level of every frequent word; the others are taken out and separate pieces."""
+    """The blocks with the id and level of every frequent word; the others are taken out and separate pieces."""
     asked = blocks.select(F.col("block").alias("of"), "lang", F.posexplode("words").alias("at", "phrase"))
-    known = asked.join(words.select("lang", "phrase", "level"), ["lang", "phrase"]).select("of", "at", "level")
+    known = asked.join(words.select("lang", "phrase", "level", "id"), ["lang", "phrase"]).select("of", "at", "level", "id")
 
     def run(block: pa.Table, levels: pa.Table) -> pa.Table:
         words = block.column("words")[0].values
-        at, level = levels.column("at").to_numpy(), levels.column("level").to_numpy()
+        at, level, ids = (levels.column(c).to_numpy() for c in ("at", "level", "id"))
         order = np.argsort(at)
-        at, level = at[order], level[order]
+        at, level, ids = at[order], level[order], ids[order]
         place = np.full(len(words) + 1, -1, np.int64)  # the last entry stands for -1, a break
         place[at] = np.arange(len(at))
         tokens = place[_unpack(block.column("tokens")[0].as_py())]
         again = np.zeros(len(tokens), bool)
         again[1:] = (tokens[1:] < 0) & (tokens[:-1] < 0)
         kept = pa.array(words.take(pa.array(at, pa.int64())), pa.string())
-        lists = [pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in (kept, pa.array(level, pa.int32()))]
+        values = (kept, pa.array(ids, pa.int64()), pa.array(level, pa.int32()))
+        lists = [pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in values]
         arrays = [block.column("block"), block.column("lang"), *lists, pa.array([_pack(tokens[~again])])]
-        return pa.Table.from_arrays(arrays, names=["block", "lang", "words", "levels", "tokens"])
+        return pa.Table.from_arrays(arrays, names=["block", "lang", "words", "ids", "levels", "tokens"])
 
     narrow = blocks.select("block", "lang", "words", "tokens")
     return narrow.groupBy("block").cogroup(known.groupBy("of")).applyInArrow(run, _LEVELLED)
 
 
-def _grams(block: dict, starts: np.ndarray, size: int) -> dict:
-    """The distinct grams of ``size`` words (two or more) at these starts: a start of each, and how often it occurs."""
-    tokens, key = block["tokens"], block["tokens"][starts]
-    for k in range(1, size):  # exact numbers: each step renumbers (gram so far, next word)
-        _, where, key, times = np.unique(
-            key * len(block["words"]) + tokens[starts + k], return_index=True, return_inverse=True, return_counts=True
-        )
-    return {"start": starts[where], "times": times}
-
-
-def _rows(block: dict, size: int, found: dict) -> pa.RecordBatch:
-    start = found["start"]
+def _rows(block: dict, size: int, start: np.ndarray, times: np.ndarray) -> pa.RecordBatch:
+    """Grams of ``size`` words, each by one of its starts, and how often they occur."""
     index = [block["tokens"][start + k] for k in range(size)]
     words = [block["words"].take(pa.array(i, pa.int64())) for i in index]
-    level = block["levels"]
-    first, last = level[index[0]], level[index[-1]]
-    n = len(start)
+    first, last = block["levels"][index[0]], block["levels"][index[-1]]
     arrays = [
-        pa.array(np.full(n, block["block"]), pa.int64()),
-        pa.array(index[0] << 32 | index[1], pa.int64()),
-        pa.array([block["lang"]] * n, pa.string()),
+        pa.array([block["lang"]] * len(start), pa.string()),
         pc.binary_join_element_wise(*words, " "),
-        pa.array(np.full(n, size), pa.int32()),
-        pa.array(found["times"], pa.int64()),
+        pa.array(np.full(len(start), size), pa.int32()),
+        pa.array(times, pa.int64()),
         pa.array(np.minimum(first, last), pa.int32()),
         pa.array(np.maximum(first, last), pa.int32()),
-        pa.array(first, pa.int32()),
-        pa.array(last, pa.int32()),
     ]
     return pa.RecordBatch.from_arrays(arrays, names=[f.split()[0] for f in _GRAMS.split(", ")])
 
@@ -194,6 +185,7 @@ def _opened(row: dict) -> dict:
         "block": row["block"].as_py(),
         "lang": row["lang"].as_py(),
         "words": row["words"].values.cast(pa.string()),
+        "ids": row["ids"].values.to_numpy(),
         "levels": levels,
         "tokens": tokens,
         # Level of the word at every place; one no word has where a piece ends.
@@ -202,17 +194,34 @@ def _opened(row: dict) -> dict:
 
 
 def pairs_of_level(blocks: DataFrame, level: int) -> DataFrame:
-    """Pairs of words, the rarer of this level, with how often each block holds them."""
+    """``block, at, one, two, n``: pairs of words, the rarer of this level, and how often each block holds them.
+
+    ``one`` and ``two`` are the words' ids, ``at`` their numbers in the block.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(batch.num_rows):
                 block = _opened({c: batch.column(c)[k] for c in batch.schema.names})
-                least = np.minimum(block["level"][:-1], block["level"][1:])
-                starts = np.flatnonzero(least == level)
-                yield _rows(block, 2, _grams(block, starts, 2))
-
-    return blocks.mapInArrow(run, _GRAMS)
+                tokens, ids = block["tokens"], block["ids"]
+                starts = np.flatnonzero(np.minimum(block["level"][:-1], block["level"][1:]) == level)
+                at, n = np.unique(tokens[starts] << 32 | tokens[starts + 1], return_counts=True)
+                columns = (np.full(len(at), block["block"]), at, ids[at >> 32], ids[at & 0xFFFFFFFF], n)
+                names = [f.split()[0] for f in _PAIRS.split(", ")]
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=names)
+
+    return blocks.mapInArrow(run, _PAIRS)
+
+
+def frequent_pairs(pairs: DataFrame, words: DataFrame, min_count: int) -> DataFrame:
+    """``one, two, lang, phrase, f, size, low, high, first, last`` of the pairs with ``min_count`` occurrences."""
+    counted = pairs.groupBy("one", "two").agg(F.sum("n").alias("f")).where(F.col("f") >= min_count)
+    one = words.select(F.col("id").alias("one"), "lang", F.col("phrase").alias("a"), F.col("level").alias("first"))
+    two = words.select(F.col("id").alias("two"), F.col("phrase").alias("b"), F.col("level").alias("last"))
+    return counted.join(one, "one").join(two, "two").select(
+        "one", "two", "lang", F.concat_ws(" ", "a", "b").alias("phrase"), "f", F.lit(2).alias("size"),
+        F.least("first", "last").alias("low"), F.greatest("first", "last").alias("high"), "first", "last",
+    )
 
 
 def longer_of_level(blocks: DataFrame, pairs: DataFrame, level: int, max_words: int) -> DataFrame:
@@ -231,17 +240,31 @@ def longer_of_level(blocks: DataFrame, pairs: DataFrame, level: int, max_words:
         frequent = np.zeros(len(tokens), bool)
         frequent[both] = np.isin(tokens[both] << 32 | tokens[both + 1], known.column("at").to_numpy())
         after = np.concatenate((rank, [-1]))
-        out = []
         ends = np.concatenate((np.flatnonzero(tokens < 0), [len(tokens)]))
+        wanted = []  # for each size which starts to count
         for size in range(3, max_words + 1):
             starts = np.union1d(
                 np.flatnonzero(frequent & (rank == level)),  # grown to the right from a pair at their start
                 np.flatnonzero(frequent[size - 2 :] & (after[size - 1 :] == level)),  # to the left from one at their end
             )
             starts = starts[starts + size <= ends[np.searchsorted(ends, starts)]]
-            starts = starts[np.minimum(rank[starts], rank[starts + size - 1]) == level]
-            if len(starts):
-                out.append(_rows(open_, size, _grams(open_, starts, size)))
+            wanted.append(starts[np.minimum(rank[starts], rank[starts + size - 1]) == level])
+        out = []
+        # All starts grow word by word; each step numbers (gram so far, next word) exactly.
+        alive = np.unique(np.concatenate(wanted))
+        room = ends[np.searchsorted(ends, alive)] - alive
+        key = tokens[alive]
+        for size in range(2, max_words + 1):
+            alive, room, key = alive[room >= size], room[room >= size], key[room >= size]
+            key = np.unique(key * len(open_["words"]) + tokens[alive + size - 1], return_inverse=True)[1]
+            if size >= 3 and len(wanted[size - 3]):
+                starts = wanted[size - 3]
+                gram = key[np.searchsorted(alive, starts)]
+                times = np.bincount(gram)
+                where = np.zeros(len(times), np.int64)
+                where[gram] = starts
+                seen = times > 0
+                out.append(_rows(open_, size, where[seen], times[seen]))
         return pa.Table.from_batches(out, schema) if out else schema.empty_table()
 
     return blocks.groupBy("block").cogroup(pairs.groupBy("of")).applyInArrow(run, _GRAMS)
@@ -321,18 +344,14 @@ def mine_phrases(
     for level in levels:
         growing = blocks.join(open_.select("lang"), "lang", "left_semi").select(*blocks.columns)
         pairs = put(area, pairs_of_level(growing, level), f"pairs-{level}")
-        kept = put(area, _summed(pairs, min_count), f"kept-{level}")
-        here = put(
-            area,
-            pairs.join(kept.select("lang", "phrase"), ["lang", "phrase"], "left_semi")
-            .select(F.col("block").alias("of"), "at", "lang", "first", "last"),
-            f"here-{level}",
-        )
+        kept = put(area, frequent_pairs(pairs, words, min_count), f"kept-{level}")
+        placed = pairs.join(kept.select("one", "two", "first", "last"), ["one", "two"])
+        here = put(area, placed.select(F.col("block").alias("of"), "at", "first", "last"), f"here-{level}")
         area.drop(f"pairs-{level}")
         known = here if known is None else known.unionByName(here)
         mine = known.where((F.col("first") == level) | (F.col("last") == level)).select("of", "at")
         longer = put(area, _summed(longer_of_level(growing, mine, level, max_words), min_count), f"longer-{level}")
-        found = kept.unionByName(longer)
+        found = kept.select(*longer.columns).unionByName(longer)
         counted = found if counted is None else counted.unionByName(found)
         ready = counted.where(F.col("high") == level).join(open_.select("lang"), "lang", "left_semi")
         new = put(area, scored(surviving(ready, counted), counted, words, sizes), f"scored-{level}")
