@@ -12,6 +12,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .crosswalk import remap
+from .key_filter import key_filter, may_hold
+
+# A target at least so many times larger than the delta is filtered by the delta's keys before it is shuffled.
+FILTER_RATIO = 8
+
+
+def plan_bytes(df: DataFrame) -> int:
+    """Catalyst's size estimate: for a scan of files the bytes of its columns; joins only make it larger."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def remap_links(
@@ -33,10 +42,14 @@ def new_links_only(remapped: DataFrame, existing: DataFrame, cols: tuple[str, st
 
     De-duplicating first repairs a ``NOT EXISTS`` that only sees earlier
     statements (repeats inside one batch would pass); the distinct is a
-    partial aggregate, so repeated pairs collapse before the shuffle.
+    partial aggregate, so repeated pairs collapse before the shuffle.  Of an
+    ``existing`` much larger than the delta only the rows that a Bloom filter of
+    the delta's pairs lets pass are shuffled; the result is the same.
     """
-    pairs = remapped.select(*cols).distinct()
-    return pairs.join(existing.select(*cols), list(cols), "left_anti")
+    delta, known = remapped.select(*cols), existing.select(*cols)
+    if plan_bytes(delta) * FILTER_RATIO <= plan_bytes(known):
+        known = may_hold(known, cols, key_filter(delta, cols))
+    return delta.distinct().join(known, list(cols), "left_anti")
 
 
 def mapped_links(links: DataFrame, crosswalk: DataFrame) -> DataFrame:
