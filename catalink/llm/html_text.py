@@ -9,6 +9,8 @@ formulas, the text of drawings (``svg``) and ``xmp`` are not.
 Edge cases: a null page gives null text, an empty one gives the empty string;
 broken markup never fails (unknown end tags are ignored, open elements end
 with their parents); nesting of any depth is walked with an explicit stack;
+cells that span rows push the cells below them aside (in a table whose cells lie
+too thin for that, see ``GRID_PLACES``, they do not);
 repeated rows are rendered each; an empty table gives an empty result.
 Only the key and the page are read, so other columns cannot clash.
 """
@@ -225,6 +227,12 @@ def visible(node: Node) -> bool:
     return True
 
 
+# How far a cell spans at most (rowspan 0: as far as that).
+MOST_COLUMNS, MOST_ROWS = 100, 65534
+# A table with more places under hanging cells than these, and so many for each cell, is laid out without rowspans.
+GRID_PLACES, GRID_FACTOR = 10_000, 100
+
+
 class Flow:
     """Lines of one block context; ``gap`` is the pending break (0 none, 1 line, 2 empty line)."""
 
@@ -298,29 +306,55 @@ class Flow:
         return self.lines[start:]
 
 
-def _span(node: Node) -> int:
-    value = node.attrs.get("colspan", "1")
-    return min(max(int(value), 1), 100) if value.isascii() and value.isdigit() else 1
+def _span(node: Node, name: str, most: int) -> int:
+    value = node.attrs.get(name, "1")
+    if not (value.isascii() and value.isdigit()):
+        return 1
+    return most if name == "rowspan" and int(value[:9]) == 0 else min(max(int(value[:9]), 1), most)
+
+
+Cell = tuple[list[str], int, int]  # its lines, columns and rows
+
 
+def _place(rows: list[list[Cell]], spans: bool) -> list[list[tuple[int, list[str], int]]] | None:
+    """``(column, lines, colspan)`` of every row's cells, right of what hangs over from above; None if they lie too thin."""
+    covered: dict[int, int] = {}  # column -> the last row that a cell from above covers
+    out = []
+    room = GRID_PLACES + GRID_FACTOR * sum(map(len, rows))
+    for r, row in enumerate(rows):
+        at, placed = 0, []
+        for lines, span, deep in row:
+            while taken := [c for c in range(at, at + span) if covered.get(c, -1) >= r]:
+                room -= taken[-1] + 1 - at
+                at = taken[-1] + 1
+                if room < 0:
+                    return None
+            placed.append((at, lines, span))
+            if spans and deep > 1:
+                covered.update(dict.fromkeys(range(at, at + span), r + deep - 1))
+            at += span
+        out.append(placed)
+    return out
 
-def _table(rows: list[list[tuple[list[str], int]]]) -> list[str]:
-    """Rows of cells ``(lines, colspan)`` as aligned text; a spanning cell does not widen its columns."""
+
+def _table(rows: list[list[Cell]]) -> list[str]:
+    """Rows of cells as aligned text; a spanning cell does not widen its columns and shows in its first row."""
+    grid = _place(rows, True) or _place(rows, False) or []
     widths: list[int] = []
-    for row in rows:
-        at = 0
-        for lines, span in row:
+    for row in grid:
+        for at, lines, span in row:
             widths.extend([0] * (at + span - len(widths)))
             if span == 1:
                 widths[at] = max(widths[at], max(map(len, lines), default=0))
-            at += span
     out = []
-    for row in rows:
-        for k in range(max((len(lines) for lines, _ in row), default=0)):
-            cells, at = [], 0
-            for lines, span in row:
+    for row in grid:
+        for k in range(max((len(lines) for _, lines, _ in row), default=0)):
+            cells, end = [], 0
+            for at, lines, span in row:
+                cells.extend(" " * w for w in widths[end:at])
                 width = sum(widths[at : at + span]) + 3 * (span - 1)
                 cells.append((lines[k] if k < len(lines) else "").ljust(width))
-                at += span
+                end = at + span
             out.append(" | ".join(cells).rstrip(" "))
     return out
 
@@ -415,7 +449,7 @@ def render(root: Node) -> str:
             if up.rows is not None:
                 if not up.rows:
                     up.rows.append([])
-                up.rows[-1].append((cell.text(), _span(node)))
+                up.rows[-1].append((cell.text(), _span(node, "colspan", MOST_COLUMNS), _span(node, "rowspan", MOST_ROWS)))
             else:  # a cell outside any table is a block
                 up.block(cell.text())
                 up.brk(1)
@@ -423,7 +457,7 @@ def render(root: Node) -> str:
             table = flows.pop()
             up = flows[-1]
             outside = table.text()  # caption and stray text come before the rows
-            up.block(outside + _table([r for r in table.rows or [] if r]))
+            up.block(outside + _table(table.rows or []))
             up.brk(2)
         elif tag in ("ul", "ol", "menu"):
             counters.pop()

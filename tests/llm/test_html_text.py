@@ -146,3 +146,23 @@ def test_tags_that_never_end_take_linear_time():
     assert page_text("<a " + "b='c' " * 50000).startswith("<a b='c'")
     assert page_text("<a " + 'b="' * 50001 + "x").startswith("<a b=")
     assert page_text("<p " + "a=b'" * 50000 + ">x") == "x"
+
+
+def test_rowspan_moves_later_cells():
+    from catalink.llm.html_text import page_text
+
+    page = "<table><tr><td rowspan=2>A</td><td>B</td></tr><tr><td>C</td></tr><tr><td>dd</td><td>E</td></tr></table>"
+    assert page_text(page) == "A  | B\n   | C\ndd | E"
+    wide = "<table><tr><td>x</td><td rowspan=0 colspan=2>y</td><td>z</td></tr><tr></tr><tr><td>1</td><td>2</td></tr></table>"
+    lines = page_text(wide).split("\n")
+    assert [line.index(c) for line, c in zip(lines, "z2", strict=True)] == [lines[0].index("z")] * 2
+    odd = "<table><tr><td rowspan=x>A</td><td rowspan=-1>B</td></tr><tr><td>C</td></tr></table>"
+    assert page_text(odd) == "A | B\nC"
+
+
+def test_rowspan_too_thin_is_ignored():
+    from catalink.llm.html_text import page_text
+
+    page = "<table><tr>" + "<td rowspan=9999>a" * 3000 + "</tr>" + "<tr><td>b" * 3000 + "</table>"
+    lines = page_text(page).split("\n")
+    assert len(lines) == 3001 and set(lines[1:]) == {"b"}
