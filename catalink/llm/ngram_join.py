@@ -17,7 +17,8 @@ groups of near copies are linked first to one node of each n-gram's postings,
 the one in whose order the n-gram comes earliest (in a group, the one with the
 fewest edits): a star, linear in the postings.  After that only nodes that are
 not yet connected meet, which loses no component: a link inside a component
-changes nothing.
+changes nothing.  ``similarity_join`` gives the links themselves: there all pairs
+of classes are counted.
 
 Edge cases: null texts and texts without a word have no n-grams and link with
 nothing; with fewer than ``n`` words the whole sequence is the one n-gram;
@@ -235,6 +236,12 @@ def _named_nodes(docs: DataFrame, n: int, percent: int, key: str, text: str) ->
     The latter is ``node, rep, digest, component_id, component_digest``: the smallest
     (id, digest) of the set's rows and that of the component's.
     """
+    area, texts, members, front = _fronts(docs, n, percent, key, text)
+    return members, _joined(area, texts, members, front, n, percent)
+
+
+def _fronts(docs: DataFrame, n: int, percent: int, key: str, text: str) -> tuple[Tables, DataFrame, DataFrame, DataFrame]:
+    """The step tables, the texts, the rows' sets and the front fragments of all sets."""
     spark = docs.sparkSession
     ship_package(spark)
     area = stage_area(spark, "ngram-join")
@@ -257,26 +264,31 @@ def _named_nodes(docs: DataFrame, n: int, percent: int, key: str, text: str) ->
     heavy = spark.sparkContext.broadcast(grams[order])
     classes = spark.sparkContext.broadcast(level[order])
 
-    # Front postings of n-grams that two or more sets hold in front.
     front = texts.mapInArrow(
         _front_rows(n, percent, heavy, classes), "gram long, node long, size int, pos int, heavy boolean"
     )
-    return members, _joined(area, texts, members, front, n, percent)
+    return area, texts, members, front
 
 
-def _joined(area: Tables, texts: DataFrame, members: DataFrame, front: DataFrame, n: int, percent: int) -> DataFrame:
-    """From the sets' nodes and the front postings to the nodes' components, named by their first rows."""
+def _postings(area: Tables, members: DataFrame, front: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """One row for each set, and the front postings of n-grams that two or more sets hold in front."""
     firsts = members.filter("size > 0").groupBy("node").agg(
         F.min(F.struct("id", "digest")).alias("r"), F.first("size").alias("size")
     )
     nodes = put(area, firsts.select("node", F.col("r.id").alias("rep"), F.col("r.digest").alias("digest"), "size"), "nodes")
-    # Postings of n-grams that two or more sets have in front; heavy ones are known to be shared.
+    # Heavy n-grams are known to be shared.
     columns = ["gram", "node", "size", "pos"]
     group = Window.partitionBy("gram")
     light = front.filter("not heavy").select(*columns)
     shared = light.withColumn("lo", F.min("node").over(group)).withColumn("hi", F.max("node").over(group)).filter("lo <> hi")
     common = front.filter("heavy").select(*columns)
-    postings = put(area, shared.select(*columns).union(common).distinct(), "postings")
+    return nodes, put(area, shared.select(*columns).union(common).distinct(), "postings")
+
+
+def _joined(area: Tables, texts: DataFrame, members: DataFrame, front: DataFrame, n: int, percent: int) -> DataFrame:
+    """From the sets' nodes and the front postings to the nodes' components, named by their first rows."""
+    nodes, postings = _postings(area, members, front)
+    columns = ["gram", "node", "size", "pos"]
 
     # Stars: every node with the hub of each of its n-grams; the best partner of a node is verified.
     hubs = put(area, _hubs(postings), "hubs")
@@ -367,7 +379,23 @@ def _verified(
     percent: int,
     name: str,
 ) -> DataFrame:
-    """The pairs that link: partial overlaps counted per fragment, then summed per pair."""
+    """The pairs that link."""
+    links = put(area, _overlaps(area, texts, nodes, postings, pairs, n, percent, name).select("x", "y"), f"{name}-links")
+    area.drop(f"{name}-open", f"{name}-nodes", f"{name}-fragments")
+    return links
+
+
+def _overlaps(
+    area: Tables,
+    texts: DataFrame,
+    nodes: DataFrame,
+    postings: DataFrame,
+    pairs: DataFrame,
+    n: int,
+    percent: int,
+    name: str,
+) -> DataFrame:
+    """``x, y, i, nx, ny`` of the pairs that link: partial overlaps counted per fragment, then summed per pair."""
     # The front fragment first: most pairs that met by chance end here.
     px = postings.select(F.col("node").alias("x"), "gram", F.col("size").alias("nx"))
     py = postings.select(F.col("node").alias("node_y"), F.col("gram").alias("gram_y"), F.col("size").alias("ny"))
@@ -390,9 +418,58 @@ def _verified(
         .select("x", "y", F.size(F.array_intersect("gx", "gy")).alias("part"), F.size("gx").alias("nx"), F.size("gy").alias("ny"))
     )
     total = partial.groupBy("x", "y").agg(F.sum("part").alias("i"), F.sum("nx").alias("nx"), F.sum("ny").alias("ny"))
-    links = put(area, total.filter(f"100 * i >= {percent} * (nx + ny - i)").select("x", "y"), f"{name}-links")
-    area.drop(f"{name}-open", f"{name}-nodes", f"{name}-fragments")
-    return links
+    return total.filter(f"100 * i >= {percent} * (nx + ny - i)")
+
+
+def similarity_join(
+    docs: DataFrame, n: int = WORDS, percent: int = THRESHOLD_PERCENT, key: str = "doc_id", text: str = "text"
+) -> tuple[DataFrame, DataFrame]:
+    """The join itself: ``(members, links)``.
+
+    ``members`` has every row of ``docs`` as ``key, class_id, n_shingles, n_links``:
+    rows with equal sets are one class, and ``n_links`` counts the other rows that
+    a row links with, those of its class included; a row without a word has a null
+    class and no link.  ``links`` has every pair of classes that link, once, as
+    ``class_x, class_y, id_x, id_y, overlap, n_x, n_y``: an id is the smallest of
+    its class (null first), the overlap and the sizes are those of the sets.
+
+    Unlike the components, which leave out pairs that are connected already, all
+    pairs that the position bound lets meet are counted, so the work grows with
+    the links between different texts; copies are never expanded into pairs.
+    """
+    area, texts, members, front = _fronts(docs, n, percent, key, text)
+    nodes, postings = _postings(area, members, front)
+    columns = ["gram", "node", "size", "pos"]
+    other = postings.select(*(F.col(c).alias(f"{c}_y") for c in columns))
+    meets = _can_meet("size", "pos", "size_y", "pos_y", percent)
+    met = postings.join(other, F.expr(f"gram = gram_y AND node < node_y AND {meets}"))
+    pairs = put(area, met.select(F.col("node").alias("x"), F.col("node_y").alias("y")).distinct(), "pairs")
+    links = put(area, _overlaps(area, texts, nodes, postings, pairs, n, percent, "join"), "links")
+    area.drop("postings", "pairs", "join-open", "join-nodes", "join-fragments")
+
+    undo = lambda c: F.when(F.col(c) == LOWEST, F.lit(None).cast("long")).otherwise(F.col(c))
+    reps = lambda side: nodes.select(F.col("node").alias(side), F.col("rep").alias(f"id_{side}"))
+    named = links.join(reps("x"), "x").join(reps("y"), "y").select(
+        F.col("x").alias("class_x"),
+        F.col("y").alias("class_y"),
+        undo("id_x").alias("id_x"),
+        undo("id_y").alias("id_y"),
+        F.col("i").alias("overlap"),
+        F.col("nx").alias("n_x"),
+        F.col("ny").alias("n_y"),
+    )
+    rows = put(area, members.filter("size > 0").groupBy("node").agg(F.count(F.lit(1)).alias("rows")), "class-rows")
+    ends = links.select("x", "y").union(links.select("y", "x"))
+    partners = rows.withColumnRenamed("node", "y").join(ends, "y").groupBy("x").agg(F.sum("rows").alias("partners"))
+    counts = rows.join(partners.withColumnRenamed("x", "node"), "node", "left").select(
+        "node", (F.col("rows") - 1 + F.coalesce("partners", F.lit(0))).alias("n_links")
+    )
+    full = members.filter("size > 0").join(put(area, counts, "class-links"), "node")
+    wordless = members.filter("size = 0").withColumn("node", F.lit(None).cast("long")).withColumn("n_links", F.lit(0).cast("long"))
+    shown = lambda df: df.select(
+        undo("id").alias(key), F.col("node").alias("class_id"), F.col("size").cast("long").alias("n_shingles"), "n_links"
+    )
+    return shown(full).union(shown(wordless)), named
 
 
 def keep_one_per_component(

@@ -49,6 +49,21 @@ def test_collapse_and_edge_cases(spark):
     assert text[6] == "<|im_start|>user\nhi<|im_end|>\n<|im_start|>assistant\nother<|im_end|>\n"
 
 
+def test_turns_without_an_id_stand_alone(spark):
+    rows = [(None, k, "user", "the same line") for k in range(50)] + [(None, 0, "user", "the same line")] * 50
+    rows += [(None, 1, "user", "only here"), (None, None, None, None), (None, 3, "user", "hi"), (None, 2, "user", "opens")]
+    rows += [(4, 0, "user", "hi"), (5, 0, "user", "opens"), (5, 1, "assistant", "more")]
+    got = ours(format_chats(spark.createDataFrame([(*r, 9) for r in rows], SCHEMA)))
+    assert got == duck(rows)
+    wrap = lambda role, text: f"<|im_start|>{role}\n{text}<|im_end|>\n"
+    opened = wrap("user", "opens") + wrap("assistant", "more")
+    assert got == sorted(
+        [(None, 1, wrap("user", "the same line")), (None, 1, wrap("user", "only here")), (None, 1, wrap("", ""))]
+        + [(4, 1, wrap("user", "hi")), (5, 2, opened)],
+        key=str,
+    )
+
+
 def test_long_conversation_and_its_prefixes(spark):
     rows = [(c, k, "user", f"turn {k}") for c, n in ((1, 300), (2, 299), (3, 1), (4, 300)) for k in range(n)]
     df = spark.createDataFrame([(*r, 9) for r in rows], SCHEMA)

@@ -6,18 +6,23 @@ import random
 import pytest
 
 from catalink.llm.components import components
-from catalink.llm.ngram_join import keep_one_per_component, op4_ngram_join, similarity_components
+from catalink.llm.ngram_join import keep_one_per_component, op4_ngram_join, similarity_components, similarity_join
 from catalink.llm.staging import stage_area
 
 FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
 
-def brute(rows, n=5, percent=75):
-    """``{id: (set size, component)}`` for unique ids."""
+def shingle_sets(rows, n=5):
     sets = {}
     for i, t in rows:
         w = (t or "").encode().translate(FOLD).split()
         sets[i] = {tuple(w[k : k + n]) for k in range(len(w) - n + 1)} if len(w) >= n else ({tuple(w)} if w else set())
+    return sets
+
+
+def brute(rows, n=5, percent=75):
+    """``{id: (set size, component)}`` for unique ids."""
+    sets = shingle_sets(rows, n)
     root = {i: i for i in sets}
 
     def find(x):
@@ -63,6 +68,45 @@ def test_against_brute_force(spark, seed):
     assert 5 < len({c for _, c in want.values()}) < len(want)
 
 
+@pytest.mark.parametrize("percent", [75, 40])
+def test_join_gives_every_link_with_its_overlap(spark, percent):
+    rows = made_documents(3)
+    rows += [(1000 + k, rows[k % 20][1]) for k in range(60)]  # copies
+    df = spark.createDataFrame([(i, t, 1, 2) for i, t in rows], "doc_id long, text string, node long, class_id int")
+    members, links = similarity_join(df, percent=percent)
+    sets = shingle_sets(rows)
+    linked = lambda a, b: a and b and 100 * len(a & b) >= percent * len(a | b)
+    got = members.collect()
+    class_of = {r.doc_id: r.class_id for r in got}
+    assert len(got) == len(rows) and {r.doc_id: r.n_shingles for r in got} == {i: len(s) for i, s in sets.items()}
+    assert {r.doc_id: r.n_links for r in got} == {
+        i: sum(1 for j in sets if j != i and linked(s, sets[j])) for i, s in sets.items()
+    }
+    least = {}
+    for i in sorted(sets):
+        if sets[i]:
+            least.setdefault(frozenset(sets[i]), i)
+    reps = sorted(least.values())
+    want = {(a, b): len(sets[a] & sets[b]) for a in reps for b in reps if a < b and linked(sets[a], sets[b])}
+    found = links.collect()
+    assert {(min(r.id_x, r.id_y), max(r.id_x, r.id_y)): r.overlap for r in found} == want
+    assert len(found) == len(want) > 20
+    for r in found:
+        assert (class_of[r.id_x], class_of[r.id_y]) == (r.class_x, r.class_y)
+        assert (r.n_x, r.n_y) == (len(sets[r.id_x]), len(sets[r.id_y]))
+
+
+def test_join_of_nothing_and_of_rows_without_an_id(spark):
+    members, links = similarity_join(spark.createDataFrame([], "doc_id long, text string"))
+    assert members.collect() == [] and links.collect() == []
+    text = "one two three four five six seven"
+    df = spark.createDataFrame([(None, text), (None, text), (3, text), (3, None), (None, "")], "doc_id long, text string")
+    members, links = similarity_join(df)
+    rows = members.collect()
+    assert links.collect() == [] and sorted(r.n_links for r in rows) == [0, 0, 2, 2, 2]
+    assert all((r.class_id is None) == (r.n_links == 0) for r in rows)
+
+
 def test_query_against_brute_force(spark, sf_dir, documents):
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in op4_ngram_join(spark, sf_dir).collect()}
     assert got == brute(documents)
