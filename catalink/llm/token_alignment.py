@@ -26,6 +26,7 @@ import json
 import os
 import re
 from collections.abc import Iterator
+from operator import itemgetter
 
 import numpy as np
 import public_tokenizers
@@ -100,8 +101,9 @@ class TokenPair:
         ]
         self.a_len = np.array([len(x) for x in self.a_bytes], np.int64)
         self.b_len = np.array([len(x) for x in self.b_bytes], np.int64)
-        self.a_text = np.array([(f"{i},", f"{i}|") for i in range(len(self.a_bytes))], object)
-        self.b_text = np.array([(f"{i},", f"{i};") for i in range(len(self.b_bytes))], object)
+        # Entry 2 * id stands inside of a group, the next one at its end.
+        self.a_text = np.array([f"{i}{mark}" for i in range(len(self.a_bytes)) for mark in ",|"], object)
+        self.b_text = np.array([f"{i}{mark}" for i in range(len(self.b_bytes)) for mark in ",;"], object)
 
     def _a_ids(self, text: str) -> np.ndarray:
         if self.fast is None or not (text.isascii() or _RARE.search(text) is None):
@@ -113,7 +115,8 @@ class TokenPair:
         none = np.zeros(0, np.int64)
         for text, b in zip(texts, self.b.encode(texts, num_threads=1), strict=True):
             raw = (" " + text).encode()
-            if not text or b"".join(map(self.b_bytes.__getitem__, b)) != raw:
+            # The first token twice, so that the getter always gives a tuple.
+            if not text or not b or b"".join(itemgetter(b[0], *b)(self.b_bytes)[1:]) != raw:
                 yield none, none
                 continue
             a = self._a_ids(" " + text)
@@ -129,7 +132,7 @@ def token_pair(a_path: str, b_path: str) -> TokenPair:
 def align(a_end: np.ndarray, b_end: np.ndarray):
     """Groups and links of two token sequences over the same bytes, given the tokens' byte ends.
 
-    Returns ``(cuts, links)``.  ``cuts`` are three lists ``a, b, n``: from
+    Returns ``(cuts, links)``.  ``cuts`` are three arrays ``a, b, n``: from
     tokens ``a`` and ``b`` on, ``n`` groups end one token further each.
     ``links`` are the index pairs of the groups that are not one to one.
     """
@@ -170,12 +173,12 @@ def align(a_end: np.ndarray, b_end: np.ndarray):
             count.append(-1)  # a group that is not one to one ends here
             i += 1
             j += 1
-    return (at_a, at_b, count), (link_a, link_b)
+    return tuple(np.array(c, np.int64) for c in (at_a, at_b, count)), (link_a, link_b)
 
 
 def group_sizes(cuts) -> tuple[np.ndarray, np.ndarray]:
     """How many tokens of either sequence each group holds."""
-    at_a, at_b, count = (np.array(c, np.int64) for c in cuts)
+    at_a, at_b, count = cuts
     times = np.abs(count)
     step = within(times)
     ends = (np.repeat(at_a, times) + step + 1, np.repeat(at_b, times) + step + 1)
@@ -184,7 +187,7 @@ def group_sizes(cuts) -> tuple[np.ndarray, np.ndarray]:
 
 def all_links(cuts, links) -> tuple[np.ndarray, np.ndarray]:
     """Index pairs of all tokens whose byte ranges overlap."""
-    at_a, at_b, count = (np.array(c, np.int64) for c in cuts)
+    at_a, at_b, count = cuts
     run = count > 0
     step = within(count[run])
     return tuple(
@@ -193,19 +196,16 @@ def all_links(cuts, links) -> tuple[np.ndarray, np.ndarray]:
     )
 
 
-def groups_text(sizes: tuple[np.ndarray, np.ndarray], a: np.ndarray, b: np.ndarray) -> str:
-    """``a1,a2|b1;a3|b2,b3``: the ids of every group, given each as text that ends in its separator.
-
-    ``a`` and ``b`` have two columns: the id within a group, and as its last one of either side.
-    """
+def groups_text(sizes: tuple[np.ndarray, np.ndarray], a: np.ndarray, b: np.ndarray, pair: TokenPair) -> str:
+    """``a1,a2|b1;a3|b2,b3``: the ids of every group."""
     size_a, size_b = sizes
     end_a, end_b = np.cumsum(size_a), np.cumsum(size_b)
     out = np.empty(len(a) + len(b), object)
-    for ids, size, end, before in ((a, size_a, end_a, end_b - size_b), (b, size_b, end_b, end_a)):
-        last = np.zeros(len(ids), np.int64)
-        last[end - 1] = 1
-        at = np.arange(len(ids))
-        out[at + np.repeat(before, size)] = ids[at, last]
+    sides = ((a, pair.a_text, size_a, end_a, end_b - size_b), (b, pair.b_text, size_b, end_b, end_a))
+    for ids, table, size, end, before in sides:
+        entry = 2 * ids
+        entry[end - 1] += 1
+        out[np.arange(len(ids)) + np.repeat(before, size)] = table[entry]
     return "".join(out.tolist())[:-1]
 
 
@@ -329,7 +329,7 @@ def aligned_blocks(df: DataFrame, tokenizers: tuple[str, str] | None = None) ->
                     cuts, links = align(np.cumsum(pair.a_len[a]), np.cumsum(pair.b_len[b]))
                     left, right = all_links(cuts, links)
                     pairs, times = np.unique(a[left] * PAIR + b[right], return_counts=True)
-                    text = groups_text(group_sizes(cuts), pair.a_text[a], pair.b_text[b])
+                    text = groups_text(group_sizes(cuts), a, b, pair)
                     block.numbers.append((len(a), len(b), len(a) + len(b) - len(left), len(left)))
                     block.digests.append(hashlib.sha256(text.encode()).hexdigest() if len(a) else "")
                     block.pairs.append(pairs)
