@@ -62,7 +62,7 @@ def version_lookup(crosswalk: DataFrame, pkg_versions: DataFrame) -> DataFrame:
     changes table is shuffled once (J2 + J16 share the key ``pkg_vsn_ref``).
     """
     pairs = for_table(crosswalk, "pkg_versions")
-    return pairs.join(pkg_versions.select(F.col("id").alias("old_id"), "time"), "old_id").select(
+    return pairs.join(pkg_versions.select(F.col("id").alias("old_id"), "time").hint("merge"), "old_id").select(
         F.col("old_id").alias("_pv_old"), F.col("new_id").alias("pkg_vrs_id"), F.col("time").alias("_pv_time")
     )
 
@@ -83,7 +83,7 @@ def changelog_versions(
     X6 (full load: only a NULL time becomes the load time).  Keeping the text
     out of this step means the joins and the key numbering shuffle ids only.
     """
-    lookup = version_lookup(crosswalk, pkg_versions)
+    lookup = version_lookup(crosswalk, pkg_versions).hint("merge")
     base = changes.select("id", "pkg_vsn_ref").join(lookup, F.col("pkg_vsn_ref") == lookup["_pv_old"], how)
     return base.select(
         F.col("id").alias("old_id"),

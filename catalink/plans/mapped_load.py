@@ -116,7 +116,7 @@ def _run_steps(sources: SourceCatalogue, stage: StageArea | None) -> LoadResult:
     pv_time = sources.pkg_versions.select(F.col("id").alias("_pv"), F.col("time").alias("_pv_time"))
     narrow = (
         sources.changes.select("id", "pkg_vsn_ref")
-        .join(pv_time, F.col("pkg_vsn_ref") == pv_time["_pv"], "left")
+        .join(pv_time.hint("merge"), F.col("pkg_vsn_ref") == pv_time["_pv"], "left")
         .select(F.col("id").alias("old_id"), "pkg_vsn_ref", C.null_if_zero("_pv_time").alias("_time"))
     )
     rejects["changes_without_version"] = audit.rejected_by_parent(narrow, run_map(), "pkg_version", "pkg_vsn_ref")

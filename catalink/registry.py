@@ -218,7 +218,7 @@ def q_crosswalk_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def existing_packages(fx: FixtureCatalogue) -> DataFrame:
     """Stand-in package target: names of source packages the crosswalk says are loaded."""
     pairs = xw.for_table(fx.crosswalk, "src_packages")
-    src = fx.sources.src_packages.where(F.col("name").isNotNull())
+    src = fx.sources.src_packages.where(F.col("name").isNotNull()).hint("merge")
     return pairs.join(src, pairs["old_id"] == src["id"]).select(F.col("new_id").alias("pkg_id"), F.col("name").alias("pkg_name"))
 
 
