@@ -49,7 +49,7 @@ def new_links_only(remapped: DataFrame, existing: DataFrame, cols: tuple[str, st
     delta, known = remapped.select(*cols), existing.select(*cols)
     if plan_bytes(delta) * FILTER_RATIO <= plan_bytes(known):
         known = may_hold(known, cols, key_filter(delta, cols))
-    return delta.distinct().join(known, list(cols), "left_anti")
+    return delta.distinct().join(known.hint("merge"), list(cols), "left_anti")
 
 
 def mapped_links(links: DataFrame, crosswalk: DataFrame) -> DataFrame:

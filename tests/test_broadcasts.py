@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from catalink.operators.changelog import changelog_versions
 from catalink.operators.crosswalk import merge_crosswalk, only_new, remap
 from catalink.operators.keys import crosswalk_rows
+from catalink.operators.links import mapped_links, new_links_only
 from catalink.operators.natural_key import get_or_create_by_name, get_or_create_version
 
 
@@ -73,3 +74,15 @@ def test_natural_keys(spark, saved):
     mapping, created = get_or_create_version(versions, loaded, materialize=written, bounds=(0, 2999))
     assert mapping.count() == 3000 and created.count() == 2900
     assert broadcast_joins(mapping) == [] and ran == []
+
+
+def test_links(spark, pairs, saved):
+    links = saved(spark.range(3000).select(F.col("id").alias("asm_ref"), (F.col("id") % 7).alias("pkg_vsn_ref")), "links")
+    mapped = mapped_links(links, pairs)
+    assert mapped.count() == 3000
+    assert broadcast_joins(mapped) == []
+    delta = saved(mapped.where("assm_id IS NOT NULL").select("assm_id", "pkg_vrs_id"), "delta")
+    target = saved(delta.where("assm_id % 2 = 0"), "target")
+    new = new_links_only(delta.unionByName(delta), target)
+    assert new.count() == 1000
+    assert broadcast_joins(new) == []
