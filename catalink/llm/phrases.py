@@ -87,8 +87,9 @@ def tokenise(text: bytes) -> tuple[pa.Array, np.ndarray]:
     letters = np.ascontiguousarray(data[inside[1:-1]])
     words = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(offsets.tobytes()), pa.py_buffer(letters.tobytes()))
     coded = words.dictionary_encode()
-    breaks = np.concatenate(([0], np.cumsum(_BREAK[data])))
-    apart = np.flatnonzero(breaks[starts[1:]] > breaks[ends[:-1]]) + 1
+    # Counted at the words only: a running count over the bytes would hold sixteen bytes for each.
+    breaks = np.flatnonzero(_BREAK[data])
+    apart = np.flatnonzero(np.searchsorted(breaks, starts[1:]) > np.searchsorted(breaks, ends[:-1])) + 1
     return coded.dictionary.cast(pa.string()), np.insert(coded.indices.to_numpy().astype(np.int64), apart, -1)
 
 
@@ -126,21 +127,31 @@ def word_blocks(df: DataFrame, size: int = BLOCK_BYTES) -> DataFrame:
     return df.mapInArrow(run, _BLOCK)
 
 
-def frequent_words(blocks: DataFrame, min_count: int, level_factor: int = LEVEL_FACTOR) -> DataFrame:
-    """``lang, phrase, f, level, id``: words of at least ``min_count`` occurrences; the level grows with ``f``.
+def word_places(blocks: DataFrame, min_count: int, level_factor: int = LEVEL_FACTOR) -> DataFrame:
+    """``of, at, f, level, id, lang, phrase``: where the blocks list words of at least ``min_count`` occurrences.
 
-    The ids are unique but differ from run to run: the table is to be written before they are used.
+    The level grows with ``f``.  Only a word's first row names it and its language; no join looks counts up, as
+    one sort by word gives every row its word's count.  The ids are unique but differ from run to run: the
+    table is to be written before they are used.
     """
-    each = blocks.select("lang", F.explode(F.arrays_zip("words", "times")).alias("x"))
-    counted = each.groupBy("lang", F.col("x.words").alias("phrase")).agg(F.sum("x.times").alias("f"))
+    word = Window.partitionBy("lang", "phrase")
+    each = blocks.select(F.col("block").alias("of"), "lang", F.posexplode(F.arrays_zip("words", "times")).alias("at", "x"))
+    each = each.select("of", "at", "lang", F.col("x.words").alias("phrase"), F.col("x.times").alias("times"))
+    counted = each.withColumn("f", F.sum("times").over(word)).where(F.col("f") >= min_count)
+    numbered = counted.withColumn("row", F.monotonically_increasing_id()).withColumn("id", F.min("row").over(word))
     level = F.floor(F.log(F.col("f") / F.lit(min_count)) / F.log(F.lit(float(level_factor)))).cast("int")
-    return counted.where(F.col("f") >= min_count).withColumn("level", level).withColumn("id", F.monotonically_increasing_id())
+    named = [F.when(F.col("row") == F.col("id"), F.col(c)).alias(c) for c in ("lang", "phrase")]
+    return numbered.select("of", "at", "f", level.alias("level"), "id", *named)
 
 
-def levelled_blocks(blocks: DataFrame, words: DataFrame) -> DataFrame:
+def frequent_words(places: DataFrame) -> DataFrame:
+    """``lang, phrase, f, level, id``: each word of ``word_places`` once."""
+    return places.where(F.col("phrase").isNotNull()).select("lang", "phrase", "f", "level", "id")
+
+
+def levelled_blocks(blocks: DataFrame, places: DataFrame) -> DataFrame:
     """The blocks with the id and level of every frequent word; the others are taken out and separate pieces."""
-    asked = blocks.select(F.col("block").alias("of"), "lang", F.posexplode("words").alias("at", "phrase"))
-    known = asked.join(words.select("lang", "phrase", "level", "id"), ["lang", "phrase"]).select("of", "at", "level", "id")
+    known = places.select("of", "at", "level", "id")
 
     def run(block: pa.Table, levels: pa.Table) -> pa.Table:
         words = block.column("words")[0].values
@@ -334,10 +345,11 @@ def mine_phrases(
     area = stage_area(spark, "phrases")
     source = df.select(F.coalesce(F.col(f"`{lang}`"), F.lit(UNKNOWN_LANGUAGE)).alias("lang"), F.col(f"`{text}`").alias("text"))
     raw = put(area, word_blocks(source, block_bytes), "raw")
-    words = put(area, frequent_words(raw, min_count, level_factor), "words")
+    places = put(area, word_places(raw, min_count, level_factor), "places")
+    words = put(area, frequent_words(places), "words")
     sizes = put(area, raw.groupBy("lang").agg(F.sum("n").alias("n")), "sizes")
-    blocks = put(area, levelled_blocks(raw, words), "blocks")
-    area.drop("raw")
+    blocks = put(area, levelled_blocks(raw, places), "blocks")
+    area.drop("raw", "places")
     levels = [r["level"] for r in words.select("level").distinct().orderBy("level").collect()]
     none = spark.createDataFrame([], "lang string, phrase string, a long, l long, r long, n long, score long")
     results, counted, known, open_ = none, None, None, sizes

@@ -102,3 +102,17 @@ def test_tokenise():
     words, tokens = tokenise("Ab ab,É\tx\n\n..y".encode())
     assert [words[t].as_py() if t >= 0 else None for t in tokens] == ["ab", "ab", None, "É", "x", None, "y"]
     assert tokenise(b"")[1].tolist() == []
+
+
+def test_words_are_counted_and_placed_without_a_join(spark):
+    """A word common to every block is looked up nowhere: its own rows bring its count."""
+    lists = [("en", ["the", "a", f"x{b}"], [5, 1, 9]) for b in range(40)] + [("fr", ["the", "a"], [2, 1])]
+    blocks = spark.createDataFrame([(b << 32, *row) for b, row in enumerate(lists)], "block long, lang string, words array<string>, times array<long>")
+    places = phrases.word_places(blocks.repartition(7), 6, 4).localCheckpoint()
+    assert "Join" not in phrases.word_places(blocks, 6, 4)._jdf.queryExecution().optimizedPlan().toString()
+    words = {r.id: r for r in phrases.frequent_words(places).collect()}
+    want = {("en", "the"): 200, ("en", "a"): 40} | {("en", f"x{b}"): 9 for b in range(40)}
+    assert {(r.lang, r.phrase): r.f for r in words.values()} == want
+    assert len(words) == len(want) and {r.phrase: r.level for r in words.values() if r.phrase in ("the", "a", "x3")} == {"the": 2, "a": 1, "x3": 0}
+    got = [(r.of >> 32, r.at, words[r.id].phrase, r.level) for r in places.collect()]
+    assert sorted(got) == sorted((b, at, w, {"the": 2, "a": 1}.get(w, 0)) for b, (lang, ws, _) in enumerate(lists) for at, w in enumerate(ws) if lang == "en")
