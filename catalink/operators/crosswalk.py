@@ -31,6 +31,7 @@ def remap(
     ref_col: str,
     out_col: str,
     how: str = "inner",
+    strategy: str | None = "merge",
 ) -> DataFrame:
     """Add ``out_col`` = new id of ``ref_col`` in ``table``.
 
@@ -38,9 +39,11 @@ def remap(
     behaviour); ``how="left"`` keeps them with NULL (for audits and reject
     frames).  A hot parent (one project owning a third of all assemblies) is
     split by AQE's skew-join handling; the crosswalk side is unique per key,
-    so no row fan-out can happen.
+    so no row fan-out can happen.  ``strategy=None`` leaves the join to Catalyst.
     """
-    pairs = for_table(crosswalk, table).withColumnRenamed("old_id", "_xw_old").withColumnRenamed("new_id", out_col).hint("merge")
+    pairs = for_table(crosswalk, table).withColumnRenamed("old_id", "_xw_old").withColumnRenamed("new_id", out_col)
+    if strategy:
+        pairs = pairs.hint(strategy)
     return df.join(pairs, df[ref_col] == pairs["_xw_old"], how).drop("_xw_old")
 
 

@@ -60,6 +60,7 @@ def _run_steps(sources: SourceCatalogue, stage: StageArea | None) -> LoadResult:
     rejects: dict[str, DataFrame] = {}
     maps: list[DataFrame] = []
 
+    # Where an id repeats, its rows are numbered in the order that these joins give them: left to Catalyst, as ever.
     def run_map() -> DataFrame:
         return union_crosswalks(*maps)
 
@@ -78,7 +79,7 @@ def _run_steps(sources: SourceCatalogue, stage: StageArea | None) -> LoadResult:
     # assembly: project key through the run's project map
     projected = mapped_projection(sources.assemblies, "assembly").withColumnRenamed("assm_id", "old_id")
     rejects["assemblies_without_project"] = audit.rejected_by_parent(projected, run_map(), "project", "prj_id")
-    mapped = remap(projected.withColumnRenamed("prj_id", "prj_ref"), run_map(), "project", "prj_ref", "prj_id")
+    mapped = remap(projected.withColumnRenamed("prj_id", "prj_ref"), run_map(), "project", "prj_ref", "prj_id", strategy=None)
     keyed = numbered(mapped, "assm_id")
     out["assembly"] = keyed.select(*TARGET_SCHEMAS["assembly"].fieldNames())
     maps.append(crosswalk_rows(keyed, "assembly", new_col="assm_id"))
@@ -97,7 +98,7 @@ def _run_steps(sources: SourceCatalogue, stage: StageArea | None) -> LoadResult:
     # pkg_version: package key through the run's package map
     projected = mapped_projection(sources.pkg_versions, "pkg_version").withColumnRenamed("pkg_vrs_id", "old_id")
     rejects["versions_without_package"] = audit.rejected_by_parent(projected, run_map(), "package", "pkg_id")
-    mapped = remap(projected.withColumnRenamed("pkg_id", "src_pkg_ref"), run_map(), "package", "src_pkg_ref", "pkg_id")
+    mapped = remap(projected.withColumnRenamed("pkg_id", "src_pkg_ref"), run_map(), "package", "src_pkg_ref", "pkg_id", strategy=None)
     keyed = numbered(mapped, "pkg_vrs_id")
     out["pkg_version"] = keyed.select(*TARGET_SCHEMAS["pkg_version"].fieldNames())
     maps.append(crosswalk_rows(keyed, "pkg_version", new_col="pkg_vrs_id"))
@@ -116,11 +117,11 @@ def _run_steps(sources: SourceCatalogue, stage: StageArea | None) -> LoadResult:
     pv_time = sources.pkg_versions.select(F.col("id").alias("_pv"), F.col("time").alias("_pv_time"))
     narrow = (
         sources.changes.select("id", "pkg_vsn_ref")
-        .join(pv_time.hint("merge"), F.col("pkg_vsn_ref") == pv_time["_pv"], "left")
+        .join(pv_time, F.col("pkg_vsn_ref") == pv_time["_pv"], "left")
         .select(F.col("id").alias("old_id"), "pkg_vsn_ref", C.null_if_zero("_pv_time").alias("_time"))
     )
     rejects["changes_without_version"] = audit.rejected_by_parent(narrow, run_map(), "pkg_version", "pkg_vsn_ref")
-    keyed = numbered(remap(narrow, run_map(), "pkg_version", "pkg_vsn_ref", "_new_vrs"), "_new_id")
+    keyed = numbered(remap(narrow, run_map(), "pkg_version", "pkg_vsn_ref", "_new_vrs", strategy=None), "_new_id")
     maps.append(crosswalk_rows(keyed, "changelog", new_col="_new_id"))
     name_col = joined_column("vulnerabilities", "name")
     idents = known_idents_per_change(sources.chg_vln_lnk, sources.vulnerabilities).select(
