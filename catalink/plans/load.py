@@ -212,8 +212,8 @@ def _run_steps(
     cleaned = clean_assemblies(sources.assemblies, run_ts)
     delta = only_new(cleaned, steps.crosswalk, "assemblies")
     mapped, rejects["assemblies_without_project"], bounds = steps.routed(
-        # Rows of a repeated id are numbered as this join gives them: in a full load left to Catalyst, as ever.
-        remap(delta, steps.crosswalk, "projects", "prj_ref", "prj_id", "left", None if full else "merge"),
+        # Rows of a repeated id are numbered as this join gives them: left to Catalyst, as ever.
+        remap(delta, steps.crosswalk, "projects", "prj_ref", "prj_id", "left", strategy=None),
         "prj_id", "assembly-mapped",
     )
     base = steps.base(_target(spark, targets, "assembly"), "assm_id", "assemblies")
